@@ -8,13 +8,18 @@ group in its own partition to vertices, then groups of partial hulls are merged
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Ship the functions below with the job: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _POINTS = "region STRING, x DOUBLE, y DOUBLE"
 
 
