@@ -288,7 +288,8 @@ allp AS (SELECT ts, 'solar' AS technology, country, cf FROM solc UNION ALL SELEC
 p AS (SELECT * FROM allp WHERE ts IN (SELECT ts FROM allp GROUP BY ts HAVING count(DISTINCT technology) = 3))"""
 
 
-def _event_product(spark, d):
+def _event_inputs(spark, d):
+    """Solar, onshore and offshore factors plus a zone mask, all from hourly events."""
     country = F.when(F.col("user_id") % 10 < 6, "DE").otherwise("FR")
     e = (
         table(spark, d, "events")
@@ -315,7 +316,11 @@ def _event_product(spark, d):
         F.col("s_suppkey").alias("cell_lon"),
         F.lit(0.5).alias("coverage"),
     )
-    return country_plan.country_product(solar, onshore, offshore, zone_mask, country_plan.default_solar_weights(spark))
+    return solar, onshore, offshore, zone_mask
+
+
+def _event_product(spark, d):
+    return country_plan.country_product(*_event_inputs(spark, d), country_plan.default_solar_weights(spark))
 
 
 @workload(PRODUCT_SQL + " SELECT ts, technology, country, round(cf, 8) AS cf FROM p")
@@ -332,6 +337,21 @@ def country_slice(spark, d):
     return wide.select("ts", *[F.round(c, 8).alias(c) for c in ("wind_onshore", "wind_offshore", "solar")])
 
 
+@workload(PRODUCT_SQL + """,
+sv AS (SELECT DISTINCT zone_id FROM e WHERE event_type = 'view'),
+av AS (SELECT m.zone_id, sum(coverage * cos(radians(cell_lat))) AS area FROM m JOIN sv USING (zone_id) WHERE m.zone_id LIKE 'DE%' GROUP BY 1),
+w AS (SELECT e.ts, sum(e.cf * av.area / (SELECT sum(area) FROM av)) AS cf FROM e JOIN av USING (zone_id) WHERE e.event_type = 'view' GROUP BY e.ts)
+SELECT s.ts, round(max(s.cf) FILTER (technology = '60'), 8) AS solar_60, round(max(s.cf) FILTER (technology = '61'), 8) AS solar_61,
+  round(max(s.cf) FILTER (technology = '62'), 8) AS solar_62, round(max(s.cf) FILTER (technology = '63'), 8) AS solar_63,
+  round(max(o.cf), 8) AS wind_onshore, round(max(w.cf), 8) AS wind_offshore
+FROM sol s JOIN onc o ON o.ts = s.ts AND o.country = 'DE' JOIN w ON w.ts = s.ts WHERE s.country = 'DE' GROUP BY s.ts""")
+def technology_base(spark, d):
+    """Six series of one country, unblended, on hours every part covers."""
+    solar, onshore, offshore, zone_mask = _event_inputs(spark, d)
+    base = country_plan.technology_base(solar, onshore, offshore, zone_mask, zone_mask)
+    return base.select("ts", *[F.round(c, 8).alias(c) for c in base.columns[1:]])
+
+
 _HOURLY_SQL = "SELECT date_trunc('hour', ts) AS ts, event_type, round(sum(value), 2) AS value FROM events GROUP BY 1, 2"
 
 
