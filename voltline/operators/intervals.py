@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeutil import floor_to, seconds_between
@@ -34,28 +34,12 @@ def distribute_to_hours(
     running total sees at most the hours of the covered period.
     """
     keys = list(keys or [])
-
-    def piece(hour: Column) -> Column:
-        overlap = seconds_between(F.greatest(F.col("_start"), hour), F.least(F.col("_end"), hour + F.expr(_HOUR)))
-        return F.col("_value") * overlap / F.col("_seconds")
-
-    def row(hour: Column, direct: Column, rate: Column, switches: int) -> Column:
-        return F.struct(
-            hour.alias("hour"), direct.alias("direct"), rate.alias("rate"), F.lit(switches).cast("bigint").alias("active")
-        )
-
-    no_piece, no_rate = F.lit(None).cast("double"), F.lit(0).cast(_RATE)
+    hours = F.sequence(F.col("_first"), F.col("_last"), F.expr(_HOUR))
+    # Slots of a long interval: 0 and 1 its edge pieces, 2 rate on, 3 rate off.
+    slots = F.array("_first", "_last", F.col("_first") + F.expr(_HOUR), "_last")
+    overlap = seconds_between(F.greatest("_start", "hour"), F.least(F.col("_end"), F.col("hour") + F.expr(_HOUR)))
+    switch = F.when(~F.col("_long"), 0).when(F.col("_slot") == 2, 1).when(F.col("_slot") == 3, -1).otherwise(0)
     hourly_rate = (F.col("_value") * 3600.0 / F.col("_seconds")).cast(_RATE)
-    short = F.transform(
-        F.sequence(F.col("_first"), F.col("_last"), F.expr(_HOUR)), lambda h: row(h, piece(h), no_rate, 0)
-    )
-    long = F.array(
-        row(F.col("_first"), piece(F.col("_first")), no_rate, 0),
-        row(F.col("_last"), piece(F.col("_last")), no_rate, 0),
-        row(F.col("_first") + F.expr(_HOUR), no_piece, hourly_rate, 1),
-        row(F.col("_last"), no_piece, -hourly_rate, -1),
-    )
-    is_long = seconds_between("_first", "_last") > long_hours * 3600.0
     pieces = (
         df.select(*keys, F.col(start).alias("_start"), F.col(end).alias("_end"), F.col(value).cast("double").alias("_value"))
         .filter((F.col("_end") > F.col("_start")) & F.col("_value").isNotNull())
@@ -63,10 +47,20 @@ def distribute_to_hours(
         .withColumn("_first", floor_to("_start", "hour"))
         .withColumn("_last", floor_to(F.col("_end") - F.expr("INTERVAL 1 SECOND"), "hour"))
         .filter(F.col("_last") >= F.col("_first"))
-        .select(*keys, F.inline(F.when(is_long, long).otherwise(short)))
+        .withColumn("_long", seconds_between("_first", "_last") > long_hours * 3600.0)
+        # Only time stamps are exploded; what each is worth is worked out afterwards, in generated code.
+        .select("*", F.posexplode(F.when(F.col("_long"), slots).otherwise(hours)).alias("_slot", "hour"))
+        .withColumn("active", switch.cast("bigint"))
+        .select(
+            *keys,
+            "hour",
+            F.when(F.col("active") == 0, F.col("_value") * overlap / F.col("_seconds")).alias("direct"),
+            F.when(F.col("active") == 1, hourly_rate).when(F.col("active") == -1, -hourly_rate).alias("rate"),
+            "active",
+        )
     )
     per_hour = pieces.groupBy(*keys, "hour").agg(
-        F.sum("direct").alias("direct"), F.sum("rate").alias("rate"), F.sum("active").alias("active")
+        F.sum("direct").alias("direct"), F.coalesce(F.sum("rate"), F.lit(0).cast(_RATE)).alias("rate"), F.sum("active").alias("active")
     )
     return _carry_rates(per_hour, keys)
 

@@ -21,8 +21,12 @@ def grid_gap_check(
     the same shuffle, the comparison with the expected grid. That comparison is
     hashed on series and time together, so a dominant series spreads over all tasks.
     """
-    stamps = df.filter(F.col(ts).isNotNull()).groupBy(F.col(series).alias("series"), F.col(ts).alias("ts")).agg(
-        F.count("*").alias("n")
+    # Both keys are filtered here, as the join below would otherwise filter one of the
+    # two uses and Spark could no longer share their shuffle.
+    stamps = (
+        df.filter(F.col(series).isNotNull() & F.col(ts).isNotNull())
+        .groupBy(F.col(series).alias("series"), F.col(ts).alias("ts"))
+        .agg(F.count("*").alias("n"))
     )
     bounds = stamps.groupBy("series").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.sum("n").alias("actual"))
     expected = bounds.select("series", "actual", F.explode(_grid(step)).alias("ts"))
@@ -65,7 +69,8 @@ def _grid(step: str) -> Column:
 
 def missing_steps(df: DataFrame, series: str, ts: str, step: str) -> DataFrame:
     """The missing `(series, ts)` themselves."""
-    stamps = df.filter(F.col(ts).isNotNull()).select(F.col(series).alias("series"), F.col(ts).alias("ts")).distinct()
+    present = F.col(series).isNotNull() & F.col(ts).isNotNull()
+    stamps = df.filter(present).select(F.col(series).alias("series"), F.col(ts).alias("ts")).distinct()
     bounds = stamps.groupBy("series").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
     return bounds.select("series", F.explode(_grid(step)).alias("ts")).join(stamps, ["series", "ts"], "left_anti")
 

@@ -12,7 +12,7 @@ potential_*            a NULL product counts as 0; every hour is kept
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeutil import month_of
@@ -37,9 +37,13 @@ def technology_weights(pairs: DataFrame, weights: DataFrame, default_country: st
         .join(weights.withColumnRenamed("country", "_source"), ["_source", "technology"])
         .select("country", "technology", "weight")
     )
-    totals = chosen.groupBy("country").agg(F.sum("weight").alias("_total"), F.count("*").alias("n_technologies"))
-    return chosen.join(totals, "country").select(
-        "country", "technology", (F.col("weight") / F.col("_total")).alias("weight"), "n_technologies"
+    # A country has a handful of technologies, so this window is small by nature.
+    country = Window.partitionBy("country")
+    return chosen.select(
+        "country",
+        "technology",
+        (F.col("weight") / F.sum("weight").over(country)).alias("weight"),
+        F.count("*").over(country).alias("n_technologies"),
     )
 
 
@@ -76,18 +80,25 @@ def plain_mean(cf: DataFrame, ts: str = "ts") -> DataFrame:
     return cf.groupBy(ts, F.substring("zone_id", 1, 2).alias("country")).agg(F.avg("cf").alias("cf"))
 
 
-def in_all_series(df: DataFrame, series: str, names: list[str], ts: str = "ts") -> DataFrame:
+def in_all_series(df: DataFrame, series: str, names: list[str], ts: str = "ts", compact: bool = False) -> DataFrame:
     """Rows whose time step occurs in every one of `names` (inner alignment of long series).
 
-    Presence is one bit per series, so it combines on the map side.
+    Presence is one bit per series. By default it is aggregated per time step and
+    semi-joined, which also holds when one step has very many rows. `compact` is
+    for already aggregated input (few rows per step): a window then avoids
+    computing `df` twice.
     """
     if len(names) > 62:
         raise ValueError("more series than one BIGINT can flag")
     bit = F.lit(0).cast("bigint")
     for i, name in enumerate(names):
         bit = F.when(F.col(series) == name, F.lit(1 << i).cast("bigint")).otherwise(bit)
-    complete = df.groupBy(ts).agg(F.bit_or(bit).alias("_seen")).filter(F.col("_seen") == (1 << len(names)) - 1)
-    return df.filter(F.col(series).isin(*names)).join(complete.select(ts), ts, "left_semi")
+    everywhere = F.col("_seen") == (1 << len(names)) - 1
+    wanted = df.filter(F.col(series).isin(*names))
+    if compact:
+        return wanted.withColumn("_seen", F.bit_or(bit).over(Window.partitionBy(ts))).filter(everywhere).drop("_seen")
+    complete = wanted.groupBy(ts).agg(F.bit_or(bit).alias("_seen")).filter(everywhere)
+    return wanted.join(complete.select(ts), ts, "left_semi")
 
 
 def pivot_series(df: DataFrame, series: str, names: list[str], value: str, ts: str = "ts", prefix: str = "") -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import area_weight, grid_index
@@ -49,8 +49,9 @@ def country_area_shares(mask: DataFrame, modelled_zones: DataFrame) -> DataFrame
         .join(modelled_zones.select("zone_id").distinct(), "zone_id", "left_semi")
         .withColumn("country", F.substring("zone_id", 1, 2))
     )
-    totals = areas.groupBy("country").agg(F.sum("area").alias("_total"))
-    return areas.join(totals, "country").select("zone_id", "country", (F.col("area") / F.col("_total")).alias("weight"))
+    # One row per zone of a country: small by nature, hence a window rather than a second pass.
+    total = F.sum("area").over(Window.partitionBy("country"))
+    return areas.select("zone_id", "country", (F.col("area") / total).alias("weight"))
 
 
 def fractional_zone_weights(

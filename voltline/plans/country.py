@@ -39,7 +39,7 @@ def country_product(solar: DataFrame, onshore: DataFrame, offshore: DataFrame, m
     for family, df in parts.items():
         part = df.select("ts", F.lit(family).alias("technology"), "country", "cf")
         stacked = part if stacked is None else stacked.unionByName(part)
-    return in_all_series(stacked, "technology", FAMILIES)
+    return in_all_series(stacked, "technology", FAMILIES, compact=True)
 
 
 def country_slice(product: DataFrame, country: str) -> DataFrame:

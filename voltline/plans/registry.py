@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import classify
 from ..functions.timeutil import active_at, lenient_date
 from ..functions.values import kw_to_mw, normalise_key
+from ..operators.joins import left_join_spreading_nulls
 from ..schemas import CAPACITY_EVENTS, conform
 
 
@@ -33,12 +34,11 @@ def assign_region(units: DataFrame, crosswalk: DataFrame) -> DataFrame:
     return located.withColumn("region_code", region).filter(F.col("region_code").isNotNull())
 
 
-def flag_storage(units: DataFrame, storage: DataFrame) -> DataFrame:
+def flag_storage(units: DataFrame, storage: DataFrame, unit_id: str = "unit_id") -> DataFrame:
     """`has_storage`: does a storage unit share the location? A NULL location has none."""
     locations = storage.filter(F.col("location_id").isNotNull()).select("location_id").distinct()
-    return units.join(locations.withColumn("has_storage", F.lit(True)), "location_id", "left").withColumn(
-        "has_storage", F.coalesce("has_storage", F.lit(False))
-    )
+    flagged = left_join_spreading_nulls(units, locations.withColumn("has_storage", F.lit(True)), "location_id", unit_id)
+    return flagged.withColumn("has_storage", F.coalesce("has_storage", F.lit(False)))
 
 
 def capacity_events(wind: DataFrame, solar: DataFrame, crosswalk: DataFrame, storage: DataFrame) -> DataFrame:

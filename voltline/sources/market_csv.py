@@ -53,10 +53,11 @@ def parse_measures(raw: DataFrame) -> DataFrame:
     raw = raw.toDF(*[c.replace(BOM, "").strip() for c in raw.columns])
     start = wall_clock_to_utc(german_stamp("BEGINN_DATUM", "BEGINN_UHRZEIT"), "ZEITZONE_VON", on_unknown="null")
     end = wall_clock_to_utc(german_stamp("ENDE_DATUM", "ENDE_UHRZEIT"), "ZEITZONE_BIS", on_unknown="null")
-    return raw.select(
-        start.alias("start"),
+    # The start is parsed once, in its own step; the month is then taken from the result.
+    return raw.withColumn("start", start).select(
+        "start",
         end.alias("end"),
-        month_of(start).alias("month"),
+        month_of("start").alias("month"),
         classify.measure_direction("RICHTUNG").alias("direction"),
         decimal_comma("GESAMTE_ARBEIT_MWH").alias("mwh"),
         decimal_comma("MITTLERE_LEISTUNG_MW").alias("avg_mw"),

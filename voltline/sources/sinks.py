@@ -76,7 +76,7 @@ def write_missing_parts(df: DataFrame, path: str, part: str) -> list[str]:
     spark = df.sparkSession
     present = partitions(spark, path, part)
     todo = df.filter(~F.col(part).cast("string").isin(*sorted(present))) if present else df
-    todo.write.mode("append").partitionBy(part).parquet(path)
+    todo.hint("rebalance", part).write.mode("append").partitionBy(part).parquet(path)
     return sorted(partitions(spark, path, part) - present)
 
 

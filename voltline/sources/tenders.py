@@ -6,8 +6,6 @@ them into UTC hours.
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +14,7 @@ from ..functions.timeutil import lenient_date, ntz
 from ..functions.values import per_block_to_per_hour
 from ..operators.dedup import keep_last
 from ..operators.reshape import pivot_strict
+from .lines import read_lines
 
 BERLIN = "Europe/Berlin"
 FCR_COLUMNS = [f"negpos_{b}" for b in fixed.BLOCKS]
@@ -69,16 +68,15 @@ def block_table(prices: DataFrame, columns: list[str]) -> DataFrame:
 def read_tenders(spark: SparkSession, paths: list[str], product: str) -> DataFrame:
     """Landed CSV tables of `product` ("FCR" or "aFRR"), whatever columns each has.
 
-    Files are grouped by their header line, read once per distinct header, and
-    ordered by name, which carries the date range.
+    Files are grouped by their header line, found in one job, and read once per
+    distinct header. Their names carry the date range and so order them.
     """
     parse, columns = {"FCR": (fcr_prices, FCR_COLUMNS), "aFRR": (afrr_prices, AFRR_COLUMNS)}[product]
-    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in dict.fromkeys(paths):
-        by_header[tuple(spark.read.option("header", True).csv(path).columns)].append(path)
+    headers = read_lines(spark, list(dict.fromkeys(paths))).groupBy("file").agg(F.min_by("value", "pos").alias("header"))
+    groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
     prices = None
-    for group in by_header.values():
-        raw = spark.read.option("header", True).csv(group).withColumn("file", F.col("_metadata.file_name"))
+    for group in groups:
+        raw = spark.read.option("header", True).csv(group["files"]).withColumn("file", F.col("_metadata.file_name"))
         part = parse(raw)
         prices = part if prices is None else prices.unionByName(part)
     return block_table(prices, columns)

@@ -15,19 +15,24 @@ from .lines import body_with_header, field, read_lines
 def parse_zone_series(lines: DataFrame, zone_prefix: str = "", marker: str = "Date,") -> DataFrame:
     """Wide hour x zone files -> `(ts, zone_id, cf)`; only zones with the prefix.
 
-    Foreign columns are dropped before the rows are exploded. Blank cells stay as
-    NULL rows: a zone that is NULL throughout must remain visible. Where two files
-    carry the same hour the first one (by file name and position) wins.
+    Blank cells stay as NULL rows: a zone that is NULL throughout must remain
+    visible. Where two files of one layout carry the same hour the first line (by
+    file name and position) wins. That is settled on whole lines, already cut down
+    to the wanted zones, so one row per hour is shuffled and not one per cell.
     """
     body = body_with_header(lines, marker)
     cells = F.filter(
         F.transform("header", lambda h, i: F.struct(h.alias("zone_id"), F.get("fields", i).alias("text"))),
         lambda c: c["zone_id"].startswith(zone_prefix) & (c["zone_id"] != "Date"),
     )
-    rows = body.select(
-        F.get("fields", F.lit(0)).try_cast("timestamp_ntz").alias("ts"), "file", "pos", F.inline(cells)
-    ).select("ts", "zone_id", blank_to_null_double("text").alias("cf"), F.struct("file", "pos").alias("_order"))
-    return keep_first(rows, ["ts", "zone_id"], ["_order"]).drop("_order")
+    hours = body.select(
+        F.get("fields", F.lit(0)).try_cast("timestamp_ntz").alias("ts"),
+        F.xxhash64("header").alias("_layout"),
+        cells.alias("_cells"),
+        F.struct("file", "pos").alias("_order"),
+    )
+    first = keep_first(hours, ["ts", "_layout"], ["_order"])
+    return first.select("ts", F.inline("_cells")).select("ts", "zone_id", blank_to_null_double("text").alias("cf"))
 
 
 def read_zone_series(spark: SparkSession, paths: str | list[str], zone_prefix: str = "") -> DataFrame:

@@ -31,7 +31,7 @@ def semi_flag_category(spark, d):
     )
     storage = table(spark, d, "orders").filter("o_totalprice > 400000").select(F.col("o_custkey").alias("location_id"))
     units = table(spark, d, "customer").select("c_custkey", F.col("c_custkey").alias("location_id"), feed_in.alias("feed_in_type"))
-    return plan.flag_storage(units, storage).select(
+    return plan.flag_storage(units, storage, "c_custkey").select(
         "c_custkey", classify.feed_in_category("feed_in_type", "has_storage").alias("category")
     )
 
