@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import pin_small
+
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -58,7 +60,7 @@ def trim_trailing_nulls(df: DataFrame, keys: list[str], ts: str, value: str) ->
         bound = last_valid(df, [], ts, value).select("last_valid").scalar()
         return df.filter(F.col(ts) <= bound)
     return (
-        df.join(last_valid(df, keys, ts, value), keys, "inner")
+        df.join(pin_small(last_valid(df, keys, ts, value)), keys, "inner")
         .filter(F.col(ts) <= F.col("last_valid"))
         .select(*df.columns)
     )

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeutil import month_of
 from .dedup import keep_last
+from .joins import pin_small
 
 
 def modelled(cf: DataFrame, keys: list[str], value: str = "cf") -> DataFrame:
@@ -53,7 +54,7 @@ def blend_technologies(cf: DataFrame, weights: DataFrame, default_country: str =
     A technology that is NULL throughout for a country is left out and the other
     weights are scaled up; an hour in which a remaining one is missing is NULL.
     """
-    shares = technology_weights(modelled(cf, ["country", "technology"]), weights, default_country)
+    shares = pin_small(technology_weights(modelled(cf, ["country", "technology"]), weights, default_country))
     return (
         cf.join(shares, ["country", "technology"])
         .groupBy(ts, "country")
@@ -69,7 +70,7 @@ def blend_technologies(cf: DataFrame, weights: DataFrame, default_country: str =
 def area_weighted_mean(cf: DataFrame, shares: DataFrame, ts: str = "ts") -> DataFrame:
     """Country mean of zone factors; `shares` is `(zone_id, country, weight)`."""
     return (
-        cf.join(shares, "zone_id")
+        cf.join(pin_small(shares), "zone_id")
         .groupBy(ts, "country")
         .agg(F.coalesce(F.sum(F.col("cf") * F.col("weight")), F.lit(0.0)).alias("cf"))
     )
@@ -112,7 +113,7 @@ def month_to_hour(hours: DataFrame, monthly: DataFrame, keys: list[str], ts: str
 
     `monthly` may hold several dates of one month; the latest wins.
     """
-    by_month = keep_last(monthly.withColumn("_month", month_of(month)), [*keys, "_month"], month).drop(month)
+    by_month = pin_small(keep_last(monthly.withColumn("_month", month_of(month)), [*keys, "_month"], month).drop(month))
     return hours.withColumn("_month", month_of(ts)).join(by_month, [*keys, "_month"], "left").drop("_month")
 
 
@@ -123,7 +124,7 @@ def potential_monthly(cf: DataFrame, monthly: DataFrame, keys: list[str], ts: st
 
 def potential_fixed(cf: DataFrame, fleet: DataFrame, keys: list[str], ts: str = "ts", capacity: str = "capacity_mw") -> DataFrame:
     """Hourly potential (MW) of one fixed fleet."""
-    return _potential(cf.join(fleet, keys, "left"), ts, capacity)
+    return _potential(cf.join(pin_small(fleet), keys, "left"), ts, capacity)
 
 
 def _potential(joined: DataFrame, ts: str, capacity: str) -> DataFrame:
@@ -133,6 +134,7 @@ def _potential(joined: DataFrame, ts: str, capacity: str) -> DataFrame:
 
 def fleet_capacity_factor(cf: DataFrame, fleet: DataFrame, keys: list[str], ts: str = "ts", capacity: str = "capacity_mw") -> DataFrame:
     """Potential of a fixed fleet over its whole capacity (unmodelled zones included); no capacity -> NULL."""
+    fleet = pin_small(fleet)
     total = fleet.agg(F.sum(capacity).alias("t")).scalar()
     potential = potential_fixed(cf, fleet, keys, ts, capacity)
     return potential.select(ts, F.try_divide(F.col("potential_mw"), total).alias("capacity_factor"))

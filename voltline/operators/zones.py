@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import area_weight, grid_index
+from .joins import pin_small
 
 
 @dataclass(frozen=True)
@@ -82,6 +83,7 @@ def fractional_zone_weights(
         )
         .select("_lat_idx", "_lon_idx", "_zones")
     )
+    cells = pin_small(cells)
     centroids = (
         zone_centroids(covered)
         .agg(F.array_sort(F.collect_list(F.struct("zone_id", "centroid_lat", "centroid_lon"))).alias("c"), F.count("*").alias("n"))

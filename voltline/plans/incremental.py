@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.timeutil import month_of
 from ..operators.dedup import keep_last, trim_trailing_nulls
+from ..operators.joins import pin_small
 from ..sources.sinks import partitions, swap_partitions
 
 Rule = Callable[[Column], Column]
@@ -87,6 +88,7 @@ def load_since_watermark(
     """
     marks = existing.groupBy(*series).agg(F.max(ts).alias("_mark")).select(*series, rule(F.col("_mark")).alias("_since"))
     if series:
+        marks = pin_small(marks)
         since = F.coalesce("_since", default_start)
         tagged_old = existing.join(marks, series, "left")
         tagged_new = source.join(marks, series, "left")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import pin_small
+
 BOM = "﻿"
 
 
@@ -48,7 +50,7 @@ def body_with_header(lines: DataFrame, marker: str, separator: str = ",") -> Dat
     One small row per file is joined on the file name. A file without a header
     raises instead of vanishing.
     """
-    headers = header_rows(lines, marker, separator)
+    headers = pin_small(header_rows(lines, marker, separator))
     joined = lines.join(headers, "file", "left")
     missing = F.raise_error(F.concat(F.lit("no header line in "), F.col("file"))).cast("boolean")
     return joined.filter(F.when(F.col("header").isNull(), missing).otherwise(F.col("pos") > F.col("header_pos"))).select(

@@ -9,6 +9,7 @@ from .. import fixed_values as fixed
 from ..functions.timeutil import shift_hours
 from ..functions.values import blank_to_null_double
 from ..operators.dedup import keep_first
+from ..operators.joins import pin_small
 from .lines import body_with_header, field, read_lines
 
 
@@ -93,7 +94,7 @@ def parse_turbines(lines: DataFrame, columns: list[str] = fixed.SCADA_COLUMNS) -
         .groupBy("file")
         .agg(F.min_by(F.trim(F.regexp_replace("value", "^# Turbine:", "")), "pos").alias("turbine"))
     )
-    body = body_with_header(lines, "# Date and time").join(names, "file")
+    body = body_with_header(lines, "# Date and time").join(pin_small(names), "file")
     return body.select(
         "turbine",
         F.get("fields", F.lit(0)).try_cast("timestamp_ntz").alias("ts"),
