@@ -194,7 +194,9 @@ def test_stacked_parts_and_pruned_reads(spark, folder):
 
 def test_meter_and_turbines(spark, folder):
     meter = put(folder, "m.csv", "# Site: K\n# Date and time,Energy (kWh),Availability\n2016-01-01 00:00:00,12.5,1\n2016-01-01 00:10:00,,0\n")
-    assert rows(zone_csv.read_meter(spark, meter)) == [
+    assert rows(zone_csv.parse_meter(read_lines(spark, meter), ["Availability"])) == [(ts("2016-01-01 00:00"), 1.0), (ts("2016-01-01 00:10"), 0.0)]
+    assert set(zone_csv.read_meter(spark, meter).columns) == {"ts", *fixed.METER_COLUMNS}
+    assert rows(zone_csv.parse_meter_long(read_lines(spark, meter))) == [
         (ts("2016-01-01 00:00"), "Availability", 1.0), (ts("2016-01-01 00:00"), "Energy (kWh)", 12.5),
         (ts("2016-01-01 00:10"), "Availability", 0.0), (ts("2016-01-01 00:10"), "Energy (kWh)", None),
     ]

@@ -11,6 +11,7 @@ COLUMNS = ["table", "group", "source", "region", "resolution", "unit", "time_zon
 REQUIRED = ["source", "region", "resolution", "unit", "time_zone", "load_pattern"]
 LOAD_PATTERNS = ["full_refresh", "watermark", "missing_parts"]
 
+# The table names below are the ones users of these data already query by.
 _UTC = "naive, true UTC"
 _DATE = "calendar date, no time of day"
 _NONE = "n/a"

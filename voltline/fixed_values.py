@@ -163,5 +163,8 @@ GRID_RENAME = {
     "surface_solar_radiation_downwards": "ssrd",
 }
 
+# Site meter columns.
+METER_COLUMNS = ["Grid Meter Energy Export (kWh)", "Grid Meter Data Availability", "Energy meter based availability"]
+
 # Turbine telemetry columns that are kept, of some 250.
 SCADA_COLUMNS = ["Wind speed (m/s)", "Density adjusted wind speed (m/s)", "Power (kW)", "Data Availability"]

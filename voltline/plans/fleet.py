@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fixed
 from ..functions.timeutil import active_at
 from ..operators.panels import capacity_snapshot, monthly_capacity_panel
+from ..operators.zones import Axis, presplit_capacity
 from ..operators.weighting import (
     fleet_blend, fleet_capacity_factor, fleet_mix_snapshot, pivot_series, potential_monthly, unmodelled_capacity,
 )
+from . import registry
 
 
 @dataclass(frozen=True)
@@ -25,6 +27,30 @@ class Family:
     keys: list[str]
 
 
+def prepare_families(
+    wind: DataFrame, solar: DataFrame, solar_detail: DataFrame, crosswalk: DataFrame,
+    onshore_mask: DataFrame, offshore_mask: DataFrame, latitudes: Axis, longitudes: Axis,
+    cf_solar: DataFrame, cf_onshore: DataFrame, cf_offshore: DataFrame, zone_prefix: str = "DE",
+) -> list[Family]:
+    """Registry units matched to the key columns of their capacity factors.
+
+    Solar goes by technology and region (`cf_solar`: `ts, technology, region, cf`),
+    wind by zone, each unit split over the zones of its grid cell
+    (`ts, zone_id, cf`).
+    """
+    placed = registry.wind_units(wind)
+
+    def by_zone(siting: str, mask: DataFrame) -> DataFrame:
+        return presplit_capacity(placed.filter(F.col("siting") == siting), mask, latitudes, longitudes, zone_prefix)
+
+    panels = registry.solar_units(solar, solar_detail, crosswalk).withColumnRenamed("nuts2_region", "region")
+    return [
+        Family("solar", panels, cf_solar, ["technology", "region"]),
+        Family("wind_onshore", by_zone("onshore", onshore_mask), cf_onshore, ["zone_id"]),
+        Family("wind_offshore", by_zone("offshore", offshore_mask), cf_offshore, ["zone_id"]),
+    ]
+
+
 def _stack(parts: dict[str, DataFrame], value: str) -> DataFrame:
     stacked = None
     for name, df in parts.items():

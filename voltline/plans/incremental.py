@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timeutil import month_of
+from ..functions.timeutil import month_of, ntz
 from ..operators.dedup import keep_last, trim_trailing_nulls
 from ..operators.joins import pin_small
 from ..sources.sinks import partitions, swap_partitions
@@ -134,11 +134,21 @@ class PartitionedTable:
             df = df.filter(F.col("month") >= from_month)
         return df.select(*self.columns)
 
-    def watermark(self) -> dt.datetime | None:
+    def watermark(self) -> dt.datetime | dt.date | None:
         """Latest time stamp, from the newest month folder alone."""
         months = self.months()
         return self.read(months[-1]).agg(F.max(self.ts)).first()[0] if months else None
 
+    def watermarks(self) -> DataFrame:
+        """Latest time stamp per series, as `(<series>, mark)`."""
+        return self.read().groupBy(*self.series).agg(F.max(self.ts).alias("mark"))
+
+    def load_each(self, source: DataFrame, rule: Rule, default_start: Column, arrival: str | None = None) -> None:
+        """Like `load`, with a start of its own for each series."""
+        marks = pin_small(self.watermarks().select(*self.series, rule(F.col("mark")).alias("_since")))
+        fetched = source.join(marks, self.series, "left").filter(F.col(self.ts) >= F.coalesce("_since", default_start))
+        self.merge(fetched.drop("_since"), arrival)
+
     def load(
         self, source: DataFrame, rule: Rule, default_start: dt.date | dt.datetime, arrival: str | None = None,
         trim: str | None = None, prefer_non_null: list[str] = (), whole_block: bool = False,
@@ -150,7 +160,7 @@ class PartitionedTable:
         """
         mark = self.watermark()
         start = _evaluate(self.spark, rule, mark) if mark is not None else _midnight(default_start)
-        fetched = source if whole_block else source.filter(F.col(self.ts) >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
+        fetched = source if whole_block else source.filter(F.col(self.ts) >= ntz(start))
         self.merge(fetched, arrival, trim, prefer_non_null)
         return start
 
@@ -183,7 +193,6 @@ def _midnight(value: dt.date | dt.datetime) -> dt.datetime:
     return value if isinstance(value, dt.datetime) else dt.datetime.combine(value, dt.time())
 
 
-def _evaluate(spark: SparkSession, rule: Rule, mark: dt.datetime) -> dt.datetime:
+def _evaluate(spark: SparkSession, rule: Rule, mark: dt.date | dt.datetime) -> dt.datetime:
     """The rule applied to one literal; Spark folds it, no data is read."""
-    literal = F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz")
-    return spark.range(1).select(rule(literal).cast("timestamp_ntz")).first()[0]
+    return spark.range(1).select(rule(ntz(_midnight(mark))).cast("timestamp_ntz")).first()[0]

@@ -85,8 +85,8 @@ def wind_units(units: DataFrame) -> DataFrame:
 
 
 def capacity_by(df: DataFrame, keys: list[str], capacity: str = "capacity_mw", digits: int = 0) -> DataFrame:
-    """Rounded capacity per key, for reports."""
-    return df.groupBy(*keys).agg(F.round(F.sum(capacity), digits).alias(capacity))
+    """Rounded capacity per key (halves to even), for reports."""
+    return df.groupBy(*keys).agg(F.bround(F.sum(capacity), digits).alias(capacity))
 
 
 def offshore_now(events: DataFrame, as_of: Column, prefix: str = "DEZZ") -> DataFrame:

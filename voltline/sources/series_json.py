@@ -43,10 +43,11 @@ def prune_blocks(listing: DataFrame, starts: DataFrame) -> DataFrame:
     return listing.join(floors, "name").filter(F.col("block_ts") >= F.col("_from")).select(*listing.columns)
 
 
-def read_blocks(spark: SparkSession, root: str, from_block: Column | int | None = None) -> DataFrame:
+def read_blocks(spark: SparkSession, root: str, from_block: Column | int | None = None, only: Column | None = None) -> DataFrame:
     """Read landed blocks from `root/name=<series>/block_ts=<ms>/*.json`.
 
-    `block_ts` is a partition column, so `from_block` skips folders without opening them.
+    `name` and `block_ts` are partition columns, so `from_block` or any other
+    condition `only` on them skips folders without opening them.
     """
     blocks = (
         spark.read.schema("series ARRAY<ARRAY<DOUBLE>>, name STRING, block_ts BIGINT")
@@ -55,4 +56,6 @@ def read_blocks(spark: SparkSession, root: str, from_block: Column | int | None
     )
     if from_block is not None:
         blocks = blocks.filter(F.col("block_ts") >= from_block)
+    if only is not None:
+        blocks = blocks.filter(only)
     return parse_blocks(blocks)

@@ -71,8 +71,13 @@ def decade_of(ts: Column | str) -> Column:
     return F.when(year >= 2020, F.lit(fixed.DECADES[-1])).otherwise(label)
 
 
-def parse_meter(lines: DataFrame) -> DataFrame:
-    """Site meter file -> `(ts, <columns>)` in long form: `(ts, quantity, value)`."""
+def parse_meter(lines: DataFrame, columns: list[str] = fixed.METER_COLUMNS) -> DataFrame:
+    """Site meter file -> one row per time with the wanted columns."""
+    return body_with_header(lines, "# Date and time").select(*_wanted(columns))
+
+
+def parse_meter_long(lines: DataFrame) -> DataFrame:
+    """Site meter file with whatever columns it has -> `(ts, quantity, value)`."""
     body = body_with_header(lines, "# Date and time")
     cells = F.filter(
         F.transform("header", lambda h, i: F.struct(h.alias("quantity"), F.get("fields", i).alias("text"), i.alias("i"))),
@@ -95,11 +100,12 @@ def parse_turbines(lines: DataFrame, columns: list[str] = fixed.SCADA_COLUMNS) -
         .agg(F.min_by(F.trim(F.regexp_replace("value", "^# Turbine:", "")), "pos").alias("turbine"))
     )
     body = body_with_header(lines, "# Date and time").join(pin_small(names), "file")
-    return body.select(
-        "turbine",
-        F.get("fields", F.lit(0)).try_cast("timestamp_ntz").alias("ts"),
-        *[blank_to_null_double(field(c)).alias(c) for c in columns],
-    )
+    return body.select("turbine", *_wanted(columns))
+
+
+def _wanted(columns: list[str]) -> list[Column]:
+    stamp = F.get("fields", F.lit(0)).try_cast("timestamp_ntz").alias("ts")
+    return [stamp, *[blank_to_null_double(field(c)).alias(c) for c in columns]]
 
 
 def read_meter(spark: SparkSession, paths: str | list[str]) -> DataFrame:

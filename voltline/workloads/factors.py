@@ -37,7 +37,7 @@ MASK_SQL = f"""SELECT z.zone_id, 40 + (s_suppkey % 40) * 0.25 AS cell_lat, 5 + (
   max((s_suppkey % 4 + 1) * 0.25) AS coverage
 FROM supplier JOIN ({ZONES_SQL}) z ON z.n_nationkey = s_nationkey GROUP BY ALL"""
 
-FLEET_SQL = f"SELECT z.zone_id, sum(s_acctbal) AS capacity_mw FROM supplier JOIN ({ZONES_SQL}) z ON z.n_nationkey = s_nationkey WHERE s_suppkey % 3 <> 0 GROUP BY 1"
+FLEET_SQL = f"SELECT z.zone_id, sum(s_acctbal) AS capacity_mw FROM supplier JOIN ({ZONES_SQL}) z ON z.n_nationkey = s_nationkey WHERE s_acctbal > 0 GROUP BY 1"
 
 
 def zones(spark, d):
@@ -84,7 +84,7 @@ def located_units(spark, d):
 def fleet(spark, d):
     return (
         table(spark, d, "supplier")
-        .filter(F.col("s_suppkey") % 3 != 0)
+        .filter(F.col("s_acctbal") > 0)
         .withColumnRenamed("s_nationkey", "n_nationkey")
         .join(zones(spark, d), "n_nationkey")
         .groupBy("zone_id")

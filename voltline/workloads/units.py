@@ -80,9 +80,9 @@ def name_classifier(spark, d):
 _SOLAR_SQL = """
 raw AS (SELECT o_orderkey AS id, o_custkey, o_totalprice / 1000 AS kw, o_orderdate, o_orderstatus, o_orderpriority,
   CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Haushalt' WHEN '2' THEN 'Industrie' WHEN '3' THEN NULL ELSE 'Handel' END AS sector,
-  o_orderkey % 3 = 0 AS ground FROM orders WHERE o_orderkey % 50 <> 0),
+  o_totalprice > 300000 AS ground FROM orders WHERE o_orderpriority <> '5-LOW'),
 det AS (SELECT l_orderkey AS id, max(l_quantity) > 40 AS tracked FROM lineitem GROUP BY 1),
-lau AS (SELECT c_custkey, 'DE' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS nuts3 FROM customer WHERE c_nationkey % 6 <> 5)"""
+lau AS (SELECT c_custkey, 'DE' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS nuts3 FROM customer WHERE c_mktsegment <> 'FURNITURE')"""
 
 
 def _solar_registry(spark, d):
@@ -93,17 +93,17 @@ def _solar_registry(spark, d):
         F.col("o_orderkey").cast("string").alias("unit_id"),
         F.concat(F.lit("DE "), F.col("o_custkey").cast("string")).alias("municipality_key"),
         (F.col("o_totalprice") / 1000).alias("net_capacity_kw"),
-        F.when(F.col("o_orderkey") % 50 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("unknown").alias("commissioning_date"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("unknown").alias("commissioning_date"),
         F.lit(None).cast("string").alias("final_shutdown_date"),
         sector.alias("usage_sector"),
-        F.when(F.col("o_orderkey") % 3 == 0, classify.GROUND_MOUNTED).otherwise("Hausdach").alias("installation_type"),
+        F.when(F.col("o_totalprice") > 300000, classify.GROUND_MOUNTED).otherwise("Hausdach").alias("installation_type"),
     )
     detail = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("unit_id")).agg(
         F.when(F.max("l_quantity") > 40, "nachgeführt").otherwise("Süd").alias("main_orientation"),
         F.lit(None).cast("string").alias("main_orientation_tilt_bucket"),
     )
     lau = crosswalk(
-        table(spark, d, "customer").filter("c_nationkey % 6 <> 5").select(
+        table(spark, d, "customer").filter("c_mktsegment <> 'FURNITURE'").select(
             F.col("c_custkey").cast("string").alias("LAU CODE"),
             F.concat(F.lit("DE"), F.lpad(F.col("c_nationkey").cast("string"), 3, "0")).alias("NUTS3"),
         )
@@ -125,7 +125,7 @@ def solar_unit_preparation(spark, d):
 @workload("""
 SELECT CAST(c_custkey AS VARCHAR) AS unit_id, CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'offshore' ELSE 'onshore' END AS siting,
   round(c_acctbal / 1000, 8) AS capacity_mw FROM customer
-WHERE c_mktsegment IN ('HOUSEHOLD', 'MACHINERY', 'BUILDING') AND c_acctbal > 0 AND c_nationkey % 7 <> 0""")
+WHERE c_mktsegment IN ('HOUSEHOLD', 'MACHINERY', 'BUILDING') AND c_acctbal > 0 AND c_nationkey <> 3""")
 def wind_unit_preparation(spark, d):
     """Only dated units with capacity, coordinates and a known siting stay."""
     segment = F.col("c_mktsegment")
@@ -135,7 +135,7 @@ def wind_unit_preparation(spark, d):
         F.col("c_acctbal").alias("net_capacity_kw"),
         F.lit("2010-05-01").alias("commissioning_date"),
         F.lit(None).cast("string").alias("final_shutdown_date"),
-        F.when(F.col("c_nationkey") % 7 != 0, F.lit(8.5)).alias("longitude"),
+        F.when(F.col("c_nationkey") != 3, F.lit(8.5)).alias("longitude"),
         F.lit(53.5).alias("latitude"),
         label.alias("wind_onshore_or_offshore"),
     )
