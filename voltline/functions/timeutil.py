@@ -39,6 +39,8 @@ def floor_to(ts: Column | str, step: str) -> Column:
     midnight = ts.cast("date").cast("timestamp_ntz")
     if step == "day":
         return midnight
+    if step == "hour":
+        return midnight + F.make_dt_interval(F.lit(0), F.hour(ts))
     width = _STEP_MINUTES[step]
     minutes = F.floor((F.hour(ts) * 60 + F.minute(ts)) / width) * width
     return midnight + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"))
@@ -49,9 +51,26 @@ def month_of(ts: Column | str) -> Column:
     return F.trunc(_col(ts).cast("date"), "MM")
 
 
+def epoch_micros(ts: Column | str) -> Column:
+    """Microseconds since 1970 as BIGINT.
+
+    Whole seconds and the rest are taken apart: both stay in long arithmetic, where
+    a cast of the interval to DECIMAL would build an object per row.
+    """
+    since = _col(ts) - ntz("1970-01-01 00:00:00")
+    whole = since.cast("interval second").cast("bigint")
+    rest = ((since - F.expr("INTERVAL '1' SECOND") * whole) * F.lit(1_000_000)).cast("interval second").cast("bigint")
+    return whole * F.lit(1_000_000).cast("bigint") + rest
+
+
+def epoch_hour_to_utc(hour: Column | str) -> Column:
+    """Hours since 1970 -> TIMESTAMP_NTZ."""
+    return ntz("1970-01-01 00:00:00") + F.make_dt_interval(F.lit(0), _col(hour).cast("int"))
+
+
 def seconds_between(start: Column | str, end: Column | str) -> Column:
     """Exact elapsed seconds `end - start` as DOUBLE (microsecond resolution)."""
-    return (_col(end) - _col(start)).cast("interval second").cast("decimal(18,6)").cast("double")
+    return (epoch_micros(end) - epoch_micros(start)).cast("double") / 1e6
 
 
 def wall_clock_to_utc(local: Column | str, label: Column | str, on_unknown: str = "raise") -> Column:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeutil import floor_to, seconds_between
+from ..functions.timeutil import epoch_hour_to_utc, epoch_micros
 
 # 18 fraction digits: a rate that is switched on and off again cancels exactly.
 _RATE = "decimal(28,18)"
-_HOUR = "INTERVAL 1 HOUR"
+_SECOND = 1_000_000
+_HOUR = 3600 * _SECOND
 
 
 def distribute_to_hours(
@@ -26,64 +27,65 @@ def distribute_to_hours(
     are taken to be whole seconds: the last hour is that of `end` - 1 s), and only
     hours that some interval touches come out, as `(keys, hour, value)`.
 
-    One pass over the input. An interval of up to `long_hours` emits one piece per
-    hour. A longer one emits its two edge pieces plus a rate that switches on and
-    off, so its cost does not grow with its length; a running total over the hour
-    grid turns the rates back into hourly values. The map-side combine brings the
-    pieces down to one row per key and hour before anything is shuffled, so the
-    running total sees at most the hours of the covered period.
+    An interval of up to `long_hours` is exploded into its hours. A longer one is
+    not: it gives its two edge pieces plus a rate that is switched on and off, and
+    `_carry_rates` holds the rate over the hours between, so its cost does not grow
+    with its length. All pieces are summed in one shuffle, after a map-side
+    combine; the rates add a second, narrow pass over the input.
     """
     keys = list(keys or [])
-    hours = F.sequence(F.col("_first"), F.col("_last"), F.expr(_HOUR))
-    # Slots of a long interval: 0 and 1 its edge pieces, 2 rate on, 3 rate off.
-    slots = F.array("_first", "_last", F.col("_first") + F.expr(_HOUR), "_last")
-    overlap = seconds_between(F.greatest("_start", "hour"), F.least(F.col("_end"), F.col("hour") + F.expr(_HOUR)))
-    switch = F.when(~F.col("_long"), 0).when(F.col("_slot") == 2, 1).when(F.col("_slot") == 3, -1).otherwise(0)
-    hourly_rate = (F.col("_value") * 3600.0 / F.col("_seconds")).cast(_RATE)
-    pieces = (
-        df.select(*keys, F.col(start).alias("_start"), F.col(end).alias("_end"), F.col(value).cast("double").alias("_value"))
-        .filter((F.col("_end") > F.col("_start")) & F.col("_value").isNotNull())
-        .withColumn("_seconds", seconds_between("_start", "_end"))
-        .withColumn("_first", floor_to("_start", "hour"))
-        .withColumn("_last", floor_to(F.col("_end") - F.expr("INTERVAL 1 SECOND"), "hour"))
-        .filter(F.col("_last") >= F.col("_first"))
-        .withColumn("_long", seconds_between("_first", "_last") > long_hours * 3600.0)
-        # Only time stamps are exploded; what each is worth is worked out afterwards, in generated code.
-        .select("*", F.posexplode(F.when(F.col("_long"), slots).otherwise(hours)).alias("_slot", "hour"))
-        .withColumn("active", switch.cast("bigint"))
-        .select(
-            *keys,
-            "hour",
-            F.when(F.col("active") == 0, F.col("_value") * overlap / F.col("_seconds")).alias("direct"),
-            F.when(F.col("active") == 1, hourly_rate).when(F.col("active") == -1, -hourly_rate).alias("rate"),
-            "active",
-        )
+    # Everything in between is BIGINT microseconds and hour numbers: small expressions
+    # that stay well inside one compiled method, and time stamps only at the ends.
+    intervals = (
+        df.filter((F.col(end) > F.col(start)) & F.col(value).isNotNull())
+        .select(*keys, epoch_micros(start).alias("_start"), epoch_micros(end).alias("_end"), F.col(value).cast("double").alias("_value"))
+        .withColumn("_first", _hour_number(F.col("_start")))
+        .withColumn("_last", _hour_number(F.col("_end") - _SECOND))
     )
-    per_hour = pieces.groupBy(*keys, "hour").agg(
-        F.sum("direct").alias("direct"), F.coalesce(F.sum("rate"), F.lit(0).cast(_RATE)).alias("rate"), F.sum("active").alias("active")
+    is_long = F.col("_last") - F.col("_first") > long_hours
+    # Cases are told apart inside the generators: as filters they would be pushed below
+    # the projections, where every use of a column repeats the work behind it.
+    hours = F.when(is_long, F.array("_first", "_last")).when(F.col("_last") >= F.col("_first"), F.sequence("_first", "_last"))
+    opens = F.col("_hour") * _HOUR
+    overlap = F.least(F.col("_end"), opens + _HOUR) - F.greatest(F.col("_start"), opens)
+    pieces = intervals.withColumn("_hour", F.explode(hours)).select(
+        *keys, "_hour", (F.col("_value") * overlap / (F.col("_end") - F.col("_start"))).alias("value")
     )
-    return _carry_rates(per_hour, keys)
+    carried = _carry_rates(intervals, is_long, keys)
+    hourly = pieces.unionByName(carried).groupBy(*keys, "_hour").agg(F.sum("value").alias("value"))
+    return hourly.select(*keys, epoch_hour_to_utc("_hour").alias("hour"), "value")
+
+
+def _hour_number(micros: Column) -> Column:
+    """Hours since 1970, rounded down before 1970 too."""
+    hour = F.lit(_HOUR).cast("bigint")
+    return ((micros - F.pmod(micros, hour)) / hour).cast("bigint")
+
 
+def _carry_rates(intervals: DataFrame, is_long: Column, keys: list[str]) -> DataFrame:
+    """Inner hours of long intervals: every rate from its first whole hour to its last.
 
-def _carry_rates(per_hour: DataFrame, keys: list[str]) -> DataFrame:
-    """Hold each rate from the hour it switches on until the hour it switches off."""
-    ordered = Window.partitionBy(*keys).orderBy("hour")
+    The switches are summed per key and hour before the running total, which
+    therefore sees at most one row per hour of the covered period and key.
+    """
+    rate = (F.col("_value") * float(_HOUR) / (F.col("_end") - F.col("_start"))).cast(_RATE)
+    on = F.struct((F.col("_first") + 1).alias("_hour"), rate.alias("rate"), F.lit(1).cast("bigint").alias("active"))
+    off = F.struct(F.col("_last").alias("_hour"), (-rate).alias("rate"), F.lit(-1).cast("bigint").alias("active"))
+    switches = intervals.select(*keys, F.inline(F.when(is_long, F.array(on, off))))
+    ordered = Window.partitionBy(*keys).orderBy("_hour")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = per_hour.select(
-        *keys,
-        "hour",
-        "direct",
-        F.sum("rate").over(so_far).alias("_rate"),
-        F.sum("active").over(so_far).alias("_active"),
-        F.lead("hour").over(ordered).alias("_next"),
-    )
-    # While a long interval is under way its last switch is still ahead, so _next is set.
-    held = F.sequence(F.col("hour"), F.col("_next") - F.expr(_HOUR), F.expr(_HOUR))
-    under_way = F.col("_active") > 0
-    carried = F.when(under_way, F.col("_rate").cast("double")).otherwise(F.lit(0.0))
-    direct = F.when(F.col("_at") == F.col("hour"), F.col("direct"))
     return (
-        running.filter(under_way | F.col("direct").isNotNull())
-        .withColumn("_at", F.explode(F.when(under_way, held).otherwise(F.array("hour"))))
-        .select(*keys, F.col("_at").alias("hour"), (F.coalesce(direct, F.lit(0.0)) + carried).alias("value"))
+        switches.groupBy(*keys, "_hour")
+        .agg(F.sum("rate").alias("rate"), F.sum("active").alias("active"))
+        .select(
+            *keys,
+            "_hour",
+            F.sum("rate").over(so_far).cast("double").alias("value"),
+            F.sum("active").over(so_far).alias("_active"),
+            F.lead("_hour").over(ordered).alias("_next"),
+        )
+        # While an interval is under way the switch that ends it is still ahead, so _next is set.
+        .filter(F.col("_active") > 0)
+        .withColumn("_hour", F.explode(F.sequence(F.col("_hour"), F.col("_next") - 1)))
+        .select(*keys, "_hour", "value")
     )

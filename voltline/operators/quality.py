@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeutil import STEP_INTERVALS, seconds_between
+from ..functions.timeutil import STEP_INTERVALS, epoch_micros, seconds_between
 
 _STEP_SECONDS = {"hour": 3600.0, "quarter_hour": 900.0, "day": 86400.0}
 
@@ -16,11 +16,16 @@ def grid_gap_check(
     """Is every step between a series' first and last time stamp present?
 
     Missing steps on the allowlist (`series, ts, reason`) are known; any other
-    missing step fails the check. All series are checked in one job: the source is
-    scanned once into (series, ts) counts, which feed both the bounds and, through
-    the same shuffle, the comparison with the expected grid. That comparison is
-    hashed on series and time together, so a dominant series spreads over all tasks.
+    missing step fails the check. Stamps between two steps are counted in `actual`
+    only. All series are checked in one job.
+
+    The expected grid is never built: what is missing follows from the distance
+    between neighbouring stamps. The source is scanned once into (series, ts) counts,
+    hashed on both, so that a dominant series spreads over all tasks; they give the
+    bounds and, reduced to the grid, the neighbours. A series' window therefore holds
+    at most one row per step, however many rows the series has.
     """
+    micros = F.lit(int(_STEP_SECONDS[step]) * 1_000_000).cast("bigint")
     # Both keys are filtered here, as the join below would otherwise filter one of the
     # two uses and Spark could no longer share their shuffle.
     stamps = (
@@ -29,25 +34,30 @@ def grid_gap_check(
         .agg(F.count("*").alias("n"))
     )
     bounds = stamps.groupBy("series").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.sum("n").alias("actual"))
-    expected = bounds.select("series", "actual", F.explode(_grid(step)).alias("ts"))
-    compared = expected.join(stamps, ["series", "ts"], "left").withColumn("_missing", F.col("n").isNull())
-    if allowlist is not None:
-        allowed = allowlist.select("series", "ts").distinct().withColumn("_allowed", F.lit(True))
-        compared = compared.join(allowed, ["series", "ts"], "left").withColumn(
-            "_allowed", F.coalesce("_allowed", F.lit(False))
-        )
-    else:
-        compared = compared.withColumn("_allowed", F.lit(False))
-    unexpected = F.col("_missing") & ~F.col("_allowed")
+    covered = stamps
+    if allowlist is not None:  # allowed steps count as covered, with no row of their own
+        allowed = allowlist.select("series", "ts", F.lit(0).cast("bigint").alias("n"))
+        covered = stamps.unionByName(allowed).groupBy("series", "ts").agg(F.sum("n").alias("n"))
+    on_grid = (
+        covered.withColumn("_at", epoch_micros("ts"))
+        .join(bounds.withColumn("_lo", epoch_micros("lo")), "series")
+        .filter(F.col("ts").between(F.col("lo"), F.col("hi")) & (F.pmod(F.col("_at") - F.col("_lo"), micros) == 0))
+    )
+    step_no = ((F.col("_at") - F.col("_lo")) / micros).cast("bigint")
+    previous = F.lag("_step", 1, -1).over(Window.partitionBy("series").orderBy("ts"))
+    unexpected = F.coalesce(F.sum("_skipped"), F.lit(0)).cast("bigint")
+    width = F.expr(STEP_INTERVALS[step])
     return (
-        compared.groupBy("series")
+        on_grid.withColumn("_step", step_no)
+        .withColumn("_skipped", F.col("_step") - previous - 1)
+        .groupBy("series")
         .agg(
-            F.count_if(unexpected).alias("unexpected"),
-            F.count_if(F.col("_missing") & F.col("_allowed")).alias("known"),
-            F.count("*").alias("expected"),
+            unexpected.alias("unexpected"),
+            F.count_if(F.col("n") == 0).alias("known"),
+            (F.max("_step") + 1).alias("expected"),
             F.max("actual").alias("actual"),
-            F.min(F.when(unexpected, F.col("ts"))).alias("first_unexpected"),
-            F.max(F.when(unexpected, F.col("ts"))).alias("last_unexpected"),
+            F.min(F.when(F.col("_skipped") > 0, F.col("ts") - width * F.col("_skipped"))).alias("first_unexpected"),
+            F.max(F.when(F.col("_skipped") > 0, F.col("ts") - width)).alias("last_unexpected"),
         )
         .select(
             "series",

@@ -96,16 +96,16 @@ def fractional_zone_weights(
         east = F.col(longitude).cast("double") - z["centroid_lon"]
         return north * north + east * east
 
-    nearest = F.array_min(
-        F.transform(F.col("_centroids"), lambda z: F.struct(distance(z).alias("d"), z["zone_id"].alias("zone_id")))
-    )
-    fallback = F.array(F.struct(nearest["zone_id"].alias("zone_id"), F.lit(1.0).alias("weight")))
+    # Distances as plain doubles, then the position of the first smallest one: centroids are in zone order.
+    first = F.array_position("_distances", F.array_min("_distances")).cast("int")
+    fallback = F.array(F.struct(F.get("_centroids", first - 1)["zone_id"].alias("zone_id"), F.lit(1.0).alias("weight")))
     return (
         units.select(unit_id, latitude, longitude)
         .withColumn("_lat_idx", lat_axis.index(latitude))
         .withColumn("_lon_idx", lon_axis.index(longitude))
         .join(cells, ["_lat_idx", "_lon_idx"], "left")
         .withColumn("_centroids", F.when(F.col("_zones").isNull(), centroids))
+        .withColumn("_distances", F.transform("_centroids", distance))
         .select(unit_id, F.inline(F.coalesce("_zones", fallback)))
         .filter(F.col("weight") > 0)
     )
