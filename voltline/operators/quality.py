@@ -38,12 +38,11 @@ def grid_gap_check(
     if allowlist is not None:  # allowed steps count as covered, with no row of their own
         allowed = allowlist.select("series", "ts", F.lit(0).cast("bigint").alias("n"))
         covered = stamps.unionByName(allowed).groupBy("series", "ts").agg(F.sum("n").alias("n"))
-    on_grid = (
-        covered.withColumn("_at", epoch_micros("ts"))
-        .join(bounds.withColumn("_lo", epoch_micros("lo")), "series")
-        .filter(F.col("ts").between(F.col("lo"), F.col("hi")) & (F.pmod(F.col("_at") - F.col("_lo"), micros) == 0))
+    from_start = epoch_micros("ts") - epoch_micros("lo")
+    on_grid = covered.join(bounds, "series").filter(
+        F.col("ts").between(F.col("lo"), F.col("hi")) & (F.pmod(from_start, micros) == 0)
     )
-    step_no = ((F.col("_at") - F.col("_lo")) / micros).cast("bigint")
+    step_no = (from_start / micros).cast("bigint")
     previous = F.lag("_step", 1, -1).over(Window.partitionBy("series").orderBy("ts"))
     unexpected = F.coalesce(F.sum("_skipped"), F.lit(0)).cast("bigint")
     width = F.expr(STEP_INTERVALS[step])
