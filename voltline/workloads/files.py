@@ -103,6 +103,13 @@ def measure_csv(spark, d):
         minutes = (F.col("l_linenumber") * 75 + extra).cast("int")
         return F.col(day) + F.make_dt_interval(F.lit(0), F.lit(0), minutes)
 
+    def german_day(ts):
+        iso = ts.cast("string")
+        return F.concat_ws(".", F.substring(iso, 9, 2), F.substring(iso, 6, 2), F.substring(iso, 1, 4))
+
+    def clock(ts):
+        return F.substring(ts.cast("string"), 12, 5)
+
     def label(ts):
         return F.when(F.month(ts).between(4, 10), "CEST").otherwise("CET")
 
@@ -115,9 +122,9 @@ def measure_csv(spark, d):
     )
     entity = F.when(F.col("l_returnflag") == "A", "Park PV Nord").when(F.col("l_returnflag") == "N", "UW Dörpen-West").otherwise("Cluster 7")
     raw = rows.select(
-        F.date_format(start, "dd.MM.yyyy").alias("BEGINN_DATUM"), F.date_format(start, "HH:mm").alias("BEGINN_UHRZEIT"),
-        label(start).alias("ZEITZONE_VON"), F.date_format(end, "dd.MM.yyyy").alias("ENDE_DATUM"),
-        F.date_format(end, "HH:mm").alias(" ENDE_UHRZEIT "),
+        german_day(start).alias("BEGINN_DATUM"), clock(start).alias("BEGINN_UHRZEIT"),
+        label(start).alias("ZEITZONE_VON"), german_day(end).alias("ENDE_DATUM"),
+        clock(end).alias(" ENDE_UHRZEIT "),
         F.when(F.col("l_linestatus") == "F", label(end)).otherwise("XYZ").alias("ZEITZONE_BIS"),
         direction.alias("RICHTUNG"), comma("l_quantity").alias("GESAMTE_ARBEIT_MWH"), comma("l_extendedprice").alias("MITTLERE_LEISTUNG_MW"),
         comma("l_tax").alias("MAXIMALE_LEISTUNG_MW"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("GRUND_DER_MASSNAHME"),
