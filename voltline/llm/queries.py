@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_quality, mixing, token_counts
+from . import ctw, language_id, line_quality, mixing, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,14 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+@query()
+def op2_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Context-tree-weighting scores of all texts, learned from six of seven folds."""
+    training = language_id.learns(F.col("doc_id"), 7, 2)
+    out = ctw.score_texts(documents(spark, folder).select("doc_id", "text"), training)
+    return out.select("doc_id", (~training).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_symbols")
+
+
 LINE_QUALITY_SQL = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
 p AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
@@ -70,3 +78,13 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Sources mixed to target weights by permuted blocks."""
     out = mixing.mix_sources(documents(spark, folder).select("doc_id", "text", "source"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query()
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every text by segmentation-marginalised pieces, learned from two of three folds."""
+    vocabulary, training = public_tokenizers.path("piece_bpe_32k.model"), language_id.learns(F.col("doc_id"), 3, 1)
+    docs = documents(spark, folder)
+    model = language_id.fit(docs.filter(training), vocabulary)
+    out = language_id.identify(docs.select("doc_id", "text"), model, vocabulary)
+    return out.select("doc_id", (~training).alias("held_out"), "lang_pred", "score")
