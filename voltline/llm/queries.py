@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, language_id, line_quality, mixing, token_counts
+from . import ctw, language_id, line_quality, mixing, ngram_join, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,12 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+@query()
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents joined by Jaccard similarity of three-word shingles, 0.9 or more."""
+    return ngram_join.join_by_shingles(documents(spark, folder))
+
+
 @query()
 def op2_context_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Context-tree-weighting scores of all texts, learned from six of seven folds."""
