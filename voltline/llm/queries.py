@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, language_id, line_quality, mixing, ngram_join, token_counts
+from . import ctw, decontaminate, language_id, line_dedup, line_quality, mixing, ngram_join, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,13 @@ def op2_context_tree(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", (~training).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_symbols")
 
 
+@query()
+def op3_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold benchmark passages, in whatever order, by greedy string tiling."""
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontaminate.contamination(documents(spark, folder).select("doc_id", "text"), items)
+
+
 LINE_QUALITY_SQL = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
 p AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
@@ -72,6 +79,27 @@ def op4_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "base_failed", "kept")
 
 
+LINE_DEDUP_SQL = rf"""
+WITH raw AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
+li AS (SELECT doc_id, unnest(a) AS l, generate_subscripts(a, 1) AS pos FROM raw),
+n AS (SELECT doc_id, l, pos, array_to_string(regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), ' ') AS t FROM li),
+s AS (SELECT doc_id, pos, t, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM n WHERE t <> ''),
+v AS (SELECT doc_id, i, t AS a, lead(t) OVER x AS b, lead(t, 2) OVER x AS c FROM s WINDOW x AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS k FROM v WHERE c IS NOT NULL),
+gone AS (SELECT DISTINCT s.doc_id, s.pos FROM r JOIN s ON r.doc_id = s.doc_id AND s.i BETWEEN r.i AND r.i + 2 WHERE r.k > 1)
+SELECT n.doc_id, CAST(count(*) FILTER (t <> '') AS BIGINT) AS n_lines, CAST(count(gone.pos) AS BIGINT) AS n_removed_lines,
+  md5(coalesce(string_agg(l, chr(10) ORDER BY n.pos) FILTER (gone.pos IS NULL), '')) AS kept_md5
+FROM n LEFT JOIN gone ON n.doc_id = gone.doc_id AND n.pos = gone.pos GROUP BY n.doc_id
+"""
+
+
+@query(LINE_DEDUP_SQL)
+def op5_line_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    """Later repeats of runs of three lines or more removed."""
+    out = line_dedup.dedup_lines(documents(spark, folder).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed_lines", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("kept_md5"))
+
+
 @query()
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Exact token counts of whole texts by overlapping chunks."""
