@@ -59,24 +59,40 @@ def common_lines(rows: DataFrame, key: str, most: int = MOST_DOCUMENTS) -> DataF
     return texts.groupBy("_host", "_line").agg(F.count("*").alias("n_documents"), F.min("_first").alias("_first")).filter(F.col("n_documents") > most)
 
 
+def _judged(documents: DataFrame, key: str, text: str, host: str, most_documents: int, least_share: float) -> DataFrame:
+    """`documents` with the text as _text, the measures, n_removed_words, _gone (hashes of the lines to remove), base_failed and kept."""
+    rows = line_rows(documents, key, text, host)
+    common = common_lines(rows, key, most_documents).select(F.col("_host").alias("_h"), F.col("_line").alias("_l"), "_first")
+    hit = rows.join(common, rows["_host"].eqNullSafe(common["_h"]) & (rows["_line"] == common["_l"])).filter(F.col(key) != F.col("_first"))
+    removed = hit.groupBy(F.col(key).alias("_key")).agg(F.sum("_n").alias("n_removed_words"), F.collect_set("_line").alias("_gone"))
+    out = measures(documents.withColumn("_text", F.col(text)), text).join(removed, F.col(key) == F.col("_key"), "left").drop("_key").withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)).cast("long"))
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
+    # one comparison over both sides of the join: a filter on it can't be pushed below, where the measures would be worked out again inside of it
+    floor = F.when(failed, F.col("n_words") + 1).otherwise(least_share * F.col("n_words"))
+    kept = F.col("n_words") - F.least("n_removed_words", "n_words") >= floor
+    return out.withColumn("base_failed", failed).withColumn("kept", kept)
+
+
 def line_quality(documents: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", most_documents: int = MOST_DOCUMENTS, least_share: float = LEAST_SHARE) -> DataFrame:
     """All columns of `documents` but the text, then n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, n_removed_words, kept.
+    n_repeat_words, n_removed_words, base_failed, kept.
 
     Normalised lines that more than `most_documents` different texts of a host share are removed
     from all documents but the first that has them, so that one copy of everything stays. A
     document fails the base rule under 50 words or if over half of its words are in three-word
     windows that it holds twice; it is depleted if less than `least_share` of its words are left.
     kept: neither. NULL and empty texts have no words and fail; a NULL host is a host; rows with
-    equal keys are one document to the line count; an empty table gives no rows; columns with
-    the names of added ones are replaced.
+    equal keys are one document to the line count; lines of a NULL key are never removed; an
+    empty table gives no rows; columns with the names of added ones are replaced.
     """
     plain = documents.drop("base_failed", "n_removed_words", "kept")
-    rows = line_rows(plain, key, text, host)
-    common = common_lines(rows, key, most_documents).select(F.col("_host").alias("_h"), F.col("_line").alias("_l"), "_first")
-    hit = rows.join(common, rows["_host"].eqNullSafe(common["_h"]) & (rows["_line"] == common["_l"])).filter(F.col(key) != F.col("_first"))
-    removed = hit.groupBy(F.col(key).alias("_key")).agg(F.sum("_n").alias("n_removed_words"))
-    out = measures(plain, text).join(removed, F.col(key) == F.col("_key"), "left").drop("_key").withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)).cast("long"))
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    kept = ~failed & (F.col("n_words") - F.least("n_removed_words", "n_words") >= least_share * F.col("n_words"))
-    return out.withColumn("base_failed", failed).withColumn("kept", kept)
+    return _judged(plain, key, text, host, most_documents, least_share).drop("_text", "_gone")
+
+
+def apply_rules(documents: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", most_documents: int = MOST_DOCUMENTS, least_share: float = LEAST_SHARE) -> DataFrame:
+    """The rows of `documents` that line_quality() keeps, their texts without the lines that it removes."""
+    names = {c: f"_own_{c}" for c in documents.columns if c not in (key, text, host)}  # columns may be named like measures
+    judged = _judged(documents.withColumnsRenamed(names), key, text, host, most_documents, least_share).filter("kept")
+    stays = F.filter(F.split("_text", "\n"), lambda x: (F.translate(x, _SPACES, "") == "") | ~F.array_contains("_gone", F.xxhash64(normal_line(x))))
+    cleaned = judged.withColumn(text, F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(stays, "\n")))
+    return cleaned.select(*[F.col(names.get(c, c)).alias(c) for c in documents.columns])
