@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chain_dedup, ctw, decontaminate, language_id, line_dedup, line_quality, mixing, ngram_join, token_counts
+from . import chain_dedup, ctw, decontaminate, language_id, line_dedup, line_quality, mixing, ngram_join, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,6 +100,13 @@ def op5_line_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed_lines", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("kept_md5"))
 
 
+@query()
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes under 50-byte strings that start in an earlier document too, removed."""
+    out = suffix_dedup.dedup_substrings(documents(spark, folder).select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op7_chained_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Fuzzy passages that documents share with earlier ones, by chained seeds."""
