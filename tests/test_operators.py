@@ -37,14 +37,13 @@ def brute_hours(intervals):
     return dict(hourly)
 
 
-@pytest.mark.parametrize("long_hours", [0, 5, 10_000])
-def test_intervals_match_brute_force_on_either_path(spark, long_hours):
+def test_intervals_match_brute_force_at_every_length(spark):
     rng = random.Random(7)
     base = ts("2023-03-25 20:00:00")
     data = [(base + dt.timedelta(minutes=15 * rng.randrange(400)), dt.timedelta(minutes=15 * rng.randrange(-4, 200)), rng.uniform(-5, 50)) for _ in range(120)]
     intervals = [(s, s + d, v) for s, d, v in data] + [(base, base + H, 3.0), (base, base, 9.0), (base + 90 * H, base + 900 * H, 10.0)]
     df = spark.createDataFrame(intervals, "s timestamp_ntz, e timestamp_ntz, v double")
-    got = {r["hour"]: r["value"] for r in distribute_to_hours(df, "s", "e", "v", long_hours=long_hours).collect()}
+    got = {r["hour"]: r["value"] for r in distribute_to_hours(df, "s", "e", "v").collect()}
     want = brute_hours(intervals)
     assert set(got) == set(want)
     assert all(math.isclose(got[h], want[h], rel_tol=1e-9, abs_tol=1e-9) for h in want)
@@ -310,3 +309,28 @@ def test_footprints(spark):
     assert got["sq"]["wkt"] == "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))" and (got["sq"]["capacity_mw"], got["sq"]["unit_count"]) == (50.0, 25)
     assert got["pt"]["wkt"] == "POINT (1 2)" and got["pt"]["unit_count"] == 2
     assert got["ln"]["wkt"] == "LINESTRING (0 0, 2 2)" and got["ln"]["geojson"] == '{"type":"LineString","coordinates":[[0,0],[2,2]]}'
+
+
+@pytest.mark.parametrize("value", [1e13, 1e-15])
+@pytest.mark.parametrize("hours", [3, 40, 60, 9_000])
+def test_intervals_conserve_totals_at_extreme_rates(spark, value, hours):
+    start = ts("2023-01-01 05:20:00")
+    df = spark.createDataFrame([(start, start + hours * H, value)], "s timestamp_ntz, e timestamp_ntz, v double")
+    out = distribute_to_hours(df, "s", "e", "v")
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    got = [r["value"] for r in out.collect()]
+    assert len(got) == hours + 1 and math.isclose(sum(got), value, rel_tol=1e-12)
+
+
+def test_pivots_refuse_unlisted_names(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "new", 2.0)], "i int, n string, v double")
+    for pivot in (reshape.pivot_strict, reshape.pivot_mean):
+        with pytest.raises(Exception, match="not listed: new"):
+            pivot(df, ["i"], "n", ["a"], "v").collect()
+
+
+def test_grid_index_of_missing_and_far_values(spark):
+    from voltline.functions.values import grid_index
+
+    df = spark.createDataFrame([(None,), (float("nan"),), (1e300,), (-1e300,), (2.4,)], "v double")
+    assert [r[0] for r in df.select(grid_index("v", 0.0, 1.0, 5)).collect()] == [None, None, 4, 0, 2]

@@ -247,10 +247,6 @@ def test_region_features_and_geojson(spark, folder):
     sinks.write_features(own, f"{folder}/out", "geometry", ["NUTS_ID", "LEVL_CODE"])
     lines = [json.loads(r["value"]) for r in spark.read.text(f"{folder}/out").collect()]
     assert {f["properties"]["NUTS_ID"] for f in lines} == {"DE", "DE300"} and lines[0]["geometry"]["type"] == "Point"
-    collection = json.loads(sinks.feature_collection(own, "geometry", ["NUTS_ID"]).first()["value"])
-    assert collection["type"] == "FeatureCollection" and len(collection["features"]) == 2
-    with pytest.raises(Exception, match="too many features"):
-        sinks.feature_collection(own, "geometry", ["NUTS_ID"], max_features=1).collect()
 
 
 def test_mask_prefix_is_pushed_down(spark, folder):

@@ -84,9 +84,12 @@ def area_weight(latitude: Column | str) -> Column:
 def grid_index(value: Column | str, origin: float, step: float, size: int) -> Column:
     """Index of the nearest point of a regular axis, clipped to the axis.
 
-    `step` may be negative (north-to-south latitudes); halves round to even.
+    `step` may be negative (north-to-south latitudes); halves round to even. NULL
+    and NaN have no index; however far a value lies off, it is clipped.
     """
     if not step or math.isnan(step):
         raise ValueError("grid step must be non-zero")
-    raw = F.rint((_col(value).cast("double") - F.lit(float(origin))) / F.lit(float(step)))
-    return F.greatest(F.lit(0), F.least(F.lit(size - 1), raw.cast("int")))
+    number = _col(value).cast("double")
+    raw = F.rint((number - F.lit(float(origin))) / F.lit(float(step)))
+    clipped = F.greatest(F.lit(0.0), F.least(F.lit(float(size - 1)), raw)).cast("int")
+    return F.when(number.isNotNull() & ~F.isnan(number), clipped)

@@ -46,8 +46,6 @@ def hull_vertices(points: np.ndarray) -> np.ndarray:
 
 def _outside_octagon(points: np.ndarray) -> np.ndarray:
     """Drop points strictly inside the polygon of the eight extreme directions (vectorised)."""
-    if len(points) < 64:
-        return points
     directions = np.array([[1, 0], [1, 1], [0, 1], [-1, 1], [-1, 0], [-1, -1], [0, -1], [1, -1]], dtype=float)
     corners = points[np.argmax(points @ directions.T, axis=0)]
     ahead = np.roll(corners, -1, axis=0)

@@ -2,36 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeutil import epoch_hour_to_utc, epoch_micros
 
-# 18 fraction digits: a rate that is switched on and off again cancels exactly.
-_RATE = "decimal(28,18)"
 _SECOND = 1_000_000
 _HOUR = 3600 * _SECOND
 
 
-def distribute_to_hours(
-    df: DataFrame,
-    start: str,
-    end: str,
-    value: str,
-    keys: list[str] | None = None,
-    long_hours: int = 48,
-) -> DataFrame:
+def distribute_to_hours(df: DataFrame, start: str, end: str, value: str, keys: list[str] | None = None) -> DataFrame:
     """Total `value` per hour, each interval split by how much of it falls in the hour.
 
     Intervals without a positive length are skipped, totals are conserved (stamps
     are taken to be whole seconds: the last hour is that of `end` - 1 s), and only
     hours that some interval touches come out, as `(keys, hour, value)`.
 
-    An interval of up to `long_hours` is exploded into its hours. A longer one is
-    not: it gives its two edge pieces plus a rate that is switched on and off, and
-    `_carry_rates` holds the rate over the hours between, so its cost does not grow
-    with its length. All pieces are summed in one shuffle, after a map-side
-    combine; the rates add a second, narrow pass over the input.
+    Whatever its length, an interval gives a row for each hour of a day that it covers
+    in part and one for each day that it covers whole; whole days are summed as days,
+    after a map-side combine, before they become hours. All is DOUBLE, no running total
+    is kept, and no task needs an order.
     """
     keys = list(keys or [])
     # Everything in between is BIGINT microseconds and hour numbers: small expressions
@@ -41,18 +31,25 @@ def distribute_to_hours(
         .select(*keys, epoch_micros(start).alias("_start"), epoch_micros(end).alias("_end"), F.col(value).cast("double").alias("_value"))
         .withColumn("_first", _hour_number(F.col("_start")))
         .withColumn("_last", _hour_number(F.col("_end") - _SECOND))
+        .filter(F.col("_last") >= F.col("_first"))
+        # the whole days are those from _dawn up to _dusk, in hours; none if the one isn't before the other
+        .withColumn("_dawn", F.col("_first") + 1 + F.pmod(-(F.col("_first") + 1), F.lit(24)))
+        .withColumn("_dusk", F.col("_last") - F.pmod(F.col("_last"), F.lit(24)))
     )
-    is_long = F.col("_last") - F.col("_first") > long_hours
+    has_days = F.col("_dawn") < F.col("_dusk")
     # Cases are told apart inside the generators: as filters they would be pushed below
     # the projections, where every use of a column repeats the work behind it.
-    hours = F.when(is_long, F.array("_first", "_last")).when(F.col("_last") >= F.col("_first"), F.sequence("_first", "_last"))
+    edges = F.concat(F.sequence("_first", F.col("_dawn") - 1), F.sequence("_dusk", "_last"))
+    hours = F.when(has_days, edges).otherwise(F.sequence("_first", "_last"))
     opens = F.col("_hour") * _HOUR
     overlap = F.least(F.col("_end"), opens + _HOUR) - F.greatest(F.col("_start"), opens)
-    pieces = intervals.withColumn("_hour", F.explode(hours)).select(
-        *keys, "_hour", (F.col("_value") * overlap / (F.col("_end") - F.col("_start"))).alias("value")
-    )
-    carried = _carry_rates(intervals, is_long, keys)
-    hourly = pieces.unionByName(carried).groupBy(*keys, "_hour").agg(F.sum("value").alias("value"))
+    length = F.col("_end") - F.col("_start")
+    pieces = intervals.withColumn("_hour", F.explode(hours)).select(*keys, "_hour", (F.col("_value") * overlap / length).alias("value"))
+    days = F.when(has_days, F.sequence("_dawn", F.col("_dusk") - 24, F.lit(24).cast("bigint")))
+    whole = intervals.withColumn("_day", F.explode(days)).select(*keys, "_day", (F.col("_value") * float(_HOUR) / length).alias("value"))
+    by_day = whole.groupBy(*keys, "_day").agg(F.sum("value").alias("value"))
+    inner = by_day.withColumn("_hour", F.explode(F.sequence("_day", F.col("_day") + 23))).select(*keys, "_hour", "value")
+    hourly = pieces.unionByName(inner).groupBy(*keys, "_hour").agg(F.sum("value").alias("value"))
     return hourly.select(*keys, epoch_hour_to_utc("_hour").alias("hour"), "value")
 
 
@@ -60,32 +57,3 @@ def _hour_number(micros: Column) -> Column:
     """Hours since 1970, rounded down before 1970 too."""
     hour = F.lit(_HOUR).cast("bigint")
     return ((micros - F.pmod(micros, hour)) / hour).cast("bigint")
-
-
-def _carry_rates(intervals: DataFrame, is_long: Column, keys: list[str]) -> DataFrame:
-    """Inner hours of long intervals: every rate from its first whole hour to its last.
-
-    The switches are summed per key and hour before the running total, which
-    therefore sees at most one row per hour of the covered period and key.
-    """
-    rate = (F.col("_value") * float(_HOUR) / (F.col("_end") - F.col("_start"))).cast(_RATE)
-    on = F.struct((F.col("_first") + 1).alias("_hour"), rate.alias("rate"), F.lit(1).cast("bigint").alias("active"))
-    off = F.struct(F.col("_last").alias("_hour"), (-rate).alias("rate"), F.lit(-1).cast("bigint").alias("active"))
-    switches = intervals.select(*keys, F.inline(F.when(is_long, F.array(on, off))))
-    ordered = Window.partitionBy(*keys).orderBy("_hour")
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        switches.groupBy(*keys, "_hour")
-        .agg(F.sum("rate").alias("rate"), F.sum("active").alias("active"))
-        .select(
-            *keys,
-            "_hour",
-            F.sum("rate").over(so_far).cast("double").alias("value"),
-            F.sum("active").over(so_far).alias("_active"),
-            F.lead("_hour").over(ordered).alias("_next"),
-        )
-        # While an interval is under way the switch that ends it is still ahead, so _next is set.
-        .filter(F.col("_active") > 0)
-        .withColumn("_hour", F.explode(F.sequence(F.col("_hour"), F.col("_next") - 1)))
-        .select(*keys, "_hour", "value")
-    )

@@ -18,19 +18,3 @@ def left_join_spreading_nulls(left: DataFrame, right: DataFrame, key: str, sprea
         .join(right.withColumn("_salt", F.lit(-1).cast("bigint")), [key, "_salt"], "left")
         .drop("_salt")
     )
-
-
-def pin_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Compute a lookup table now if it is small; return `df` unchanged if it is not.
-
-    Spark cannot know before it runs that an aggregate over a huge input yields a
-    handful of rows, so it would plan to shuffle both sides of the join, the huge
-    one included. With at most `max_rows` rows the result is held as a local table
-    of known size, which Spark broadcasts under its own threshold, and the large
-    side stays where it is. Above the limit the join remains an ordinary one, where
-    AQE splits skewed keys.
-    """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(head, df.schema)

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions.timeutil import month_of
 from .dedup import keep_last
-from .joins import pin_small
 
 
 def modelled(cf: DataFrame, keys: list[str], value: str = "cf") -> DataFrame:
@@ -54,7 +53,7 @@ def blend_technologies(cf: DataFrame, weights: DataFrame, default_country: str =
     A technology that is NULL throughout for a country is left out and the other
     weights are scaled up; an hour in which a remaining one is missing is NULL.
     """
-    shares = pin_small(technology_weights(modelled(cf, ["country", "technology"]), weights, default_country))
+    shares = technology_weights(modelled(cf, ["country", "technology"]), weights, default_country)
     return (
         cf.join(shares, ["country", "technology"])
         .groupBy(ts, "country")
@@ -70,7 +69,7 @@ def blend_technologies(cf: DataFrame, weights: DataFrame, default_country: str =
 def area_weighted_mean(cf: DataFrame, shares: DataFrame, ts: str = "ts") -> DataFrame:
     """Country mean of zone factors; `shares` is `(zone_id, country, weight)`."""
     return (
-        cf.join(pin_small(shares), "zone_id")
+        cf.join(shares, "zone_id")
         .groupBy(ts, "country")
         .agg(F.coalesce(F.sum(F.col("cf") * F.col("weight")), F.lit(0.0)).alias("cf"))
     )
@@ -84,21 +83,16 @@ def plain_mean(cf: DataFrame, ts: str = "ts") -> DataFrame:
 def in_all_series(df: DataFrame, series: str, names: list[str], ts: str = "ts", compact: bool = False) -> DataFrame:
     """Rows whose time step occurs in every one of `names` (inner alignment of long series).
 
-    Presence is one bit per series. By default it is aggregated per time step and
-    semi-joined, which also holds when one step has very many rows. `compact` is
-    for already aggregated input (few rows per step): a window then avoids
-    computing `df` twice.
+    Different names are counted per time step and semi-joined, which also holds
+    when one step has very many rows. `compact` is for already aggregated input
+    (few rows per step): a window then avoids computing `df` twice.
     """
-    if len(names) > 62:
-        raise ValueError("more series than one BIGINT can flag")
-    bit = F.lit(0).cast("bigint")
-    for i, name in enumerate(names):
-        bit = F.when(F.col(series) == name, F.lit(1 << i).cast("bigint")).otherwise(bit)
-    everywhere = F.col("_seen") == (1 << len(names)) - 1
+    everywhere = F.col("_seen") == len(set(names))
     wanted = df.filter(F.col(series).isin(*names))
     if compact:
-        return wanted.withColumn("_seen", F.bit_or(bit).over(Window.partitionBy(ts))).filter(everywhere).drop("_seen")
-    complete = wanted.groupBy(ts).agg(F.bit_or(bit).alias("_seen")).filter(everywhere)
+        seen = F.size(F.collect_set(series).over(Window.partitionBy(ts)))
+        return wanted.withColumn("_seen", seen).filter(everywhere).drop("_seen")
+    complete = wanted.groupBy(ts).agg(F.count_distinct(series).alias("_seen")).filter(everywhere)
     return wanted.join(complete.select(ts), ts, "left_semi")
 
 
@@ -113,7 +107,7 @@ def month_to_hour(hours: DataFrame, monthly: DataFrame, keys: list[str], ts: str
 
     `monthly` may hold several dates of one month; the latest wins.
     """
-    by_month = pin_small(keep_last(monthly.withColumn("_month", month_of(month)), [*keys, "_month"], month).drop(month))
+    by_month = keep_last(monthly.withColumn("_month", month_of(month)), [*keys, "_month"], month).drop(month)
     return hours.withColumn("_month", month_of(ts)).join(by_month, [*keys, "_month"], "left").drop("_month")
 
 
@@ -124,7 +118,7 @@ def potential_monthly(cf: DataFrame, monthly: DataFrame, keys: list[str], ts: st
 
 def potential_fixed(cf: DataFrame, fleet: DataFrame, keys: list[str], ts: str = "ts", capacity: str = "capacity_mw") -> DataFrame:
     """Hourly potential (MW) of one fixed fleet."""
-    return _potential(cf.join(pin_small(fleet), keys, "left"), ts, capacity)
+    return _potential(cf.join(fleet, keys, "left"), ts, capacity)
 
 
 def _potential(joined: DataFrame, ts: str, capacity: str) -> DataFrame:
@@ -134,7 +128,6 @@ def _potential(joined: DataFrame, ts: str, capacity: str) -> DataFrame:
 
 def fleet_capacity_factor(cf: DataFrame, fleet: DataFrame, keys: list[str], ts: str = "ts", capacity: str = "capacity_mw") -> DataFrame:
     """Potential of a fixed fleet over its whole capacity (unmodelled zones included); no capacity -> NULL."""
-    fleet = pin_small(fleet)
     total = fleet.agg(F.sum(capacity).alias("t")).scalar()
     potential = potential_fixed(cf, fleet, keys, ts, capacity)
     return potential.select(ts, F.try_divide(F.col("potential_mw"), total).alias("capacity_factor"))

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import area_weight, grid_index
-from .joins import pin_small
 
 
 @dataclass(frozen=True)
@@ -57,7 +56,7 @@ def country_area_shares(mask: DataFrame, modelled_zones: DataFrame) -> DataFrame
 
 def fractional_zone_weights(
     units: DataFrame, mask: DataFrame, lat_axis: Axis, lon_axis: Axis, zone_prefix: str = "",
-    unit_id: str = "unit_id", latitude: str = "latitude", longitude: str = "longitude", max_zones: int = 20_000,
+    unit_id: str = "unit_id", latitude: str = "latitude", longitude: str = "longitude",
 ) -> DataFrame:
     """Split each unit over the zones that cover its nearest grid cell.
 
@@ -69,7 +68,8 @@ def fractional_zone_weights(
     units only look them up: no shuffle per unit, and a crowded cell is harmless
     while the cell table is small enough for Spark to broadcast (otherwise AQE
     splits it). Centroids travel as one array in a scalar subquery, never as a
-    cross join; a mask with more than `max_zones` zones is refused.
+    cross join: three values per zone of the mask, whatever the number of units.
+    A unit without a position gets no zone.
     """
     covered = mask.filter(F.col("zone_id").startswith(zone_prefix) & (F.col("coverage") > 0))
     cells = (
@@ -83,11 +83,9 @@ def fractional_zone_weights(
         )
         .select("_lat_idx", "_lon_idx", "_zones")
     )
-    cells = pin_small(cells)
     centroids = (
         zone_centroids(covered)
-        .agg(F.array_sort(F.collect_list(F.struct("zone_id", "centroid_lat", "centroid_lon"))).alias("c"), F.count("*").alias("n"))
-        .select(F.when(F.col("n") <= max_zones, F.col("c")).otherwise(F.raise_error(F.lit("too many zones in the mask"))).alias("c"))
+        .agg(F.array_sort(F.collect_list(F.struct("zone_id", "centroid_lat", "centroid_lon"))).alias("c"))
         .scalar()
     )
 
@@ -104,9 +102,9 @@ def fractional_zone_weights(
         .withColumn("_lat_idx", lat_axis.index(latitude))
         .withColumn("_lon_idx", lon_axis.index(longitude))
         .join(cells, ["_lat_idx", "_lon_idx"], "left")
-        .withColumn("_centroids", F.when(F.col("_zones").isNull(), centroids))
+        .withColumn("_centroids", F.when(F.col("_zones").isNull() & F.col("_lat_idx").isNotNull() & F.col("_lon_idx").isNotNull(), centroids))
         .withColumn("_distances", F.transform("_centroids", distance))
-        .select(unit_id, F.inline(F.coalesce("_zones", fallback)))
+        .select(unit_id, F.inline(F.coalesce("_zones", F.when(F.col("_centroids").isNotNull(), fallback))))
         .filter(F.col("weight") > 0)
     )
 

@@ -14,6 +14,7 @@ run costs what it brings, not what the table holds.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -22,9 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timeutil import month_of, ntz
-from ..operators.dedup import keep_last, trim_trailing_nulls
-from ..operators.joins import pin_small
-from ..sources.sinks import partitions, swap_partitions
+from ..operators.dedup import keep_last, last_valid, trim_trailing_nulls
+from ..sources.sinks import NULL_PART, partitions, recover_partitions, remove, swap_partitions
 
 Rule = Callable[[Column], Column]
 
@@ -88,7 +88,6 @@ def load_since_watermark(
     """
     marks = existing.groupBy(*series).agg(F.max(ts).alias("_mark")).select(*series, rule(F.col("_mark")).alias("_since"))
     if series:
-        marks = pin_small(marks)
         since = F.coalesce("_since", default_start)
         tagged_old = existing.join(marks, series, "left")
         tagged_new = source.join(marks, series, "left")
@@ -124,14 +123,16 @@ class PartitionedTable:
     def months(self) -> list[str]:
         return sorted(partitions(self.spark, self.path, "month"))
 
-    def read(self, from_month: str | None = None) -> DataFrame:
-        """The table, or its months from `from_month` on (a partition filter)."""
+    def read(self, from_month: str | None = None, months: set[str] | None = None) -> DataFrame:
+        """The table, or its months from `from_month` on, or just `months` (partition filters)."""
         if not self.months():
             return self.spark.createDataFrame([], self.schema)
         stored = T.StructType([*self.schema.fields, T.StructField("month", T.StringType())])
         df = self.spark.read.schema(stored).parquet(self.path)
         if from_month is not None:
             df = df.filter(F.col("month") >= from_month)
+        if months is not None:
+            df = df.filter(F.col("month").isin(*sorted(months)))
         return df.select(*self.columns)
 
     def watermark(self) -> dt.datetime | dt.date | None:
@@ -145,7 +146,7 @@ class PartitionedTable:
 
     def load_each(self, source: DataFrame, rule: Rule, default_start: Column, arrival: str | None = None) -> None:
         """Like `load`, with a start of its own for each series."""
-        marks = pin_small(self.watermarks().select(*self.series, rule(F.col("mark")).alias("_since")))
+        marks = self.watermarks().select(*self.series, rule(F.col("mark")).alias("_since"))
         fetched = source.join(marks, self.series, "left").filter(F.col(self.ts) >= F.coalesce("_since", default_start))
         self.merge(fetched.drop("_since"), arrival)
 
@@ -164,29 +165,48 @@ class PartitionedTable:
         self.merge(fetched, arrival, trim, prefer_non_null)
         return start
 
-    def merge(self, incoming: DataFrame, arrival: str | None = None, trim: str | None = None, prefer_non_null: list[str] = ()) -> None:
-        """Last-write-wins merge of `incoming` into the months it touches."""
-        earliest = incoming.agg(F.min(self.ts)).first()[0]
-        if earliest is None:
-            return
-        stored = self.months()
-        from_month = earliest.strftime("%Y-%m")
-        while True:
-            merged = merge_last_wins(self.read(from_month), incoming, [*self.series, self.ts], arrival, prefer_non_null)
-            older = [m for m in stored if m < from_month]
-            if not trim or not older or not self._has_blank_series(merged, trim):
-                break
-            # A series without any value in this slice may have trailing NULLs further back.
-            from_month = older[-1]
+    def merge(self, incoming: DataFrame, arrival: str | None = None, trim: str | None = None, prefer_non_null: list[str] = ()) -> set[str]:
+        """Last-write-wins merge of `incoming` into the months its rows fall in; returns the months that were rewritten.
+
+        `incoming` is computed once, into a hidden folder by month, whose listing says
+        which months are touched. Rows without a time stamp raise. With `trim`, rows
+        after a series' last value go: one aggregate over the stored values finds that
+        value, and only if a correction has blanked it are older months rewritten too.
+        """
+        recover_partitions(self.spark, self.path)
+        landed = f"{self.path.rstrip('/')}/_incoming_{uuid.uuid4().hex}"
+        incoming.withColumn("month", F.date_format(self.ts, "yyyy-MM")).write.partitionBy("month").parquet(landed)
+        try:
+            touched = partitions(self.spark, landed, "month")
+            if NULL_PART in touched:
+                raise ValueError(f"rows without {self.ts} can't be stored")
+            if touched:
+                fresh = self.spark.read.schema(T.StructType([*incoming.schema.fields, T.StructField("month", T.StringType())])).parquet(landed).drop("month")
+                touched = self._merge(fresh, touched, arrival, trim, prefer_non_null)
+            return touched
+        finally:
+            remove(self.spark, landed)
+
+    def _merge(self, incoming: DataFrame, touched: set[str], arrival: str | None, trim: str | None, prefer_non_null: list[str]) -> set[str]:
+        stored = set(self.months())
+        keys = [*self.series, self.ts]
         if trim:
-            merged = trim_trailing_nulls(merged, self.series, self.ts, trim)
+            merged = merge_last_wins(self.read(months=touched), incoming, keys, arrival, prefer_non_null)
+            rest = self.read(months=stored - touched)
+            valid = last_valid(merged.select(*keys, trim).unionByName(rest.select(*keys, trim)), self.series, self.ts, trim)
+            # rows of months that weren't touched are past the last value only if that value was blanked just now
+            late = rest.join(valid, self.series, "left") if self.series else rest.withColumn("last_valid", valid.select("last_valid").scalar())
+            past = late.filter(F.col("last_valid").isNull() | (F.col(self.ts) > F.col("last_valid"))).select(F.date_format(self.ts, "yyyy-MM").alias("m"))
+            touched = touched | {r["m"] for r in past.distinct().collect()}  # month names
+        merged = merge_last_wins(self.read(months=touched), incoming, keys, arrival, prefer_non_null)
+        if trim:
+            bounds = valid.select("last_valid").scalar() if not self.series else None
+            merged = merged.filter(F.col(self.ts) <= bounds) if bounds is not None else merged.join(valid, self.series).filter(F.col(self.ts) <= F.col("last_valid")).select(*self.columns)
         rows = merged.withColumn("month", F.date_format(self.ts, "yyyy-MM"))
         # rebalance, not repartition: AQE splits a month that a dominant series makes too big.
         rows = rows.hint("rebalance", "month").sortWithinPartitions("month", *self.series, self.ts)
-        swap_partitions(rows, self.path, "month", {m for m in stored if m >= from_month})
-
-    def _has_blank_series(self, df: DataFrame, column: str) -> bool:
-        return not df.groupBy(*self.series).agg(F.count(column).alias("n")).filter("n = 0").isEmpty()
+        swap_partitions(rows, self.path, "month", touched & stored)
+        return touched
 
 
 def _midnight(value: dt.date | dt.datetime) -> dt.datetime:

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Folder value that Spark's writer gives to NULL.
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -28,11 +32,40 @@ def partitions(spark: SparkSession, path: str, column: str) -> set[str]:
     return {n[len(prefix):] for n in names if n.startswith(prefix)}
 
 
+def _move(fs, source, target) -> None:
+    """Rename, and say so if the file system didn't (it answers with False, not with an error)."""
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Finish or undo a replacement that broke off: the old table comes back if no new one is in place."""
+    fs, target = _path(spark, path)
+    parent = target.getParent()
+    if not fs.exists(parent):
+        return
+    for found in fs.listStatus(parent):
+        name = found.getPath().getName()
+        if name.startswith(f"{target.getName()}__old_"):
+            if fs.exists(target):
+                fs.delete(found.getPath(), True)
+            else:
+                _move(fs, found.getPath(), target)
+        elif name.startswith(f"{target.getName()}__staging_"):
+            fs.delete(found.getPath(), True)
+
+
 def replace_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
     """Replace a table as a whole, even one that `df` itself reads.
 
     The new state is written beside the old one and swapped in by renaming, so a
-    failed write leaves the old table as it was.
+    failed write leaves the old table as it was. What a run that broke off between
+    two renames has left is put right by the next one, or by recover_table().
     """
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
@@ -40,44 +73,82 @@ def replace_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> Non
     fs, target = _path(spark, path)
     old = _path(spark, f"{path.rstrip('/')}__old_{uuid.uuid4().hex}")[1]
     if fs.exists(target):
-        fs.rename(target, old)
-    fs.rename(_path(spark, staging)[1], target)
-    if fs.exists(old):
-        fs.delete(old, True)
+        _move(fs, target, old)
+    _move(fs, _path(spark, staging)[1], target)
+    recover_table(spark, path)
+
+
+def recover_partitions(spark: SparkSession, path: str) -> None:
+    """Undo what a swap that broke off has left: parts moved aside come back unless their successor is in place."""
+    fs, root = _path(spark, path)
+    if not fs.exists(root):
+        return
+    for found in fs.listStatus(root):
+        name = found.getPath().getName()
+        if name.startswith("_old_"):
+            for part in fs.listStatus(found.getPath()):
+                target = _path(spark, f"{path}/{part.getPath().getName()}")[1]
+                if not fs.exists(target):
+                    _move(fs, part.getPath(), target)
+        if name.startswith(("_old_", "_staging_")):
+            fs.delete(found.getPath(), True)
 
 
 def swap_partitions(df: DataFrame, path: str, column: str, replaced: set[str]) -> None:
     """Write `df` partitioned by `column` and put its parts in place of the `replaced` ones.
 
     The parts are complete in a hidden staging folder before the first one moves, so
-    `df` may read the parts it replaces. A replaced part without rows in `df` is removed.
+    `df` may read the parts it replaces. A replaced part is moved aside, not deleted,
+    until all are in place; recover_partitions() brings it back after a crash. A
+    replaced part without rows in `df` is removed. One writer per table at a time.
     """
     spark = df.sparkSession
-    staging = f"{path.rstrip('/')}/_staging_{uuid.uuid4().hex}"
+    run = uuid.uuid4().hex
+    staging, aside = f"{path.rstrip('/')}/_staging_{run}", f"{path.rstrip('/')}/_old_{run}"
     df.write.partitionBy(column).parquet(staging)
     fs, staged = _path(spark, staging)
     fresh = partitions(spark, staging, column)
+    _refuse_null_part(spark, fresh, staging, column)
+    old = _path(spark, aside)[1]
+    fs.mkdirs(old)
     for value in sorted(replaced | fresh):
         name = f"{column}={value}"
         target = _path(spark, f"{path}/{name}")[1]
         if fs.exists(target):
-            fs.delete(target, True)
+            _move(fs, target, _path(spark, f"{aside}/{name}")[1])
         if value in fresh:
-            fs.rename(_path(spark, f"{staging}/{name}")[1], target)
+            _move(fs, _path(spark, f"{staging}/{name}")[1], target)
+    fs.delete(old, True)
     fs.delete(staged, True)
 
 
+def _refuse_null_part(spark: SparkSession, parts: set[str], staging: str, column: str) -> None:
+    if NULL_PART in parts:
+        fs, staged = _path(spark, staging)
+        fs.delete(staged, True)
+        raise ValueError(f"rows without {column} can't be stored")
+
+
 def write_missing_parts(df: DataFrame, path: str, part: str) -> list[str]:
     """Write only the parts the target lacks; a part on disk is final. Returns the new parts.
 
     `part` must be a column; existing parts are excluded by a filter on it, so a
-    partitioned source is pruned before it is read.
+    partitioned source is pruned before it is read. New parts are complete in a
+    staging folder before each is moved in place. Rows without a part raise.
     """
     spark = df.sparkSession
     present = partitions(spark, path, part)
-    todo = df.filter(~F.col(part).cast("string").isin(*sorted(present))) if present else df
-    todo.hint("rebalance", part).write.mode("append").partitionBy(part).parquet(path)
-    return sorted(partitions(spark, path, part) - present)
+    known = F.col(part).cast("string").isin(*sorted(present))
+    todo = df.filter(~F.coalesce(known, F.lit(False))) if present else df
+    staging = f"{path.rstrip('/')}/_staging_{uuid.uuid4().hex}"
+    todo.hint("rebalance", part).write.partitionBy(part).parquet(staging)
+    fresh = partitions(spark, staging, part)
+    _refuse_null_part(spark, fresh, staging, part)
+    fs, staged = _path(spark, staging)
+    for value in sorted(fresh):
+        _move(fs, _path(spark, f"{staging}/{part}={value}")[1], _path(spark, f"{path}/{part}={value}")[1])
+    fs.delete(staged, True)
+    return sorted(fresh)
 
 
 def missing_parts(expected: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
@@ -96,13 +167,3 @@ def feature(geometry_json: Column, properties: list[str]) -> Column:
 def write_features(df: DataFrame, path: str, geometry: str, properties: list[str]) -> None:
     """One Feature per line (GeoJSON text sequence), written in parallel."""
     df.select(feature(F.col(geometry), properties).alias("value")).write.mode("overwrite").text(path)
-
-
-def feature_collection(df: DataFrame, geometry: str, properties: list[str], max_features: int = 10_000) -> DataFrame:
-    """A FeatureCollection as one row; only for region tables, larger inputs raise."""
-    gathered = df.select(feature(F.col(geometry), properties).alias("f")).limit(max_features + 1).agg(
-        F.sort_array(F.collect_list("f")).alias("fs")
-    )
-    text = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join("fs", ","), F.lit("]}"))
-    too_many = F.raise_error(F.lit("too many features for one collection")).cast("string")
-    return gathered.select(F.when(F.size("fs") > max_features, too_many).otherwise(text).alias("value"))

@@ -6,13 +6,15 @@ them into UTC hours.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions.timeutil import lenient_date, ntz
 from ..functions.values import per_block_to_per_hour
-from ..operators.dedup import keep_last
+from ..operators.dedup import keep_first, keep_last
 from ..operators.reshape import pivot_strict
 from .lines import read_lines
 
@@ -72,11 +74,14 @@ def read_tenders(spark: SparkSession, paths: list[str], product: str) -> DataFra
     distinct header. Their names carry the date range and so order them.
     """
     parse, columns = {"FCR": (fcr_prices, FCR_COLUMNS), "aFRR": (afrr_prices, AFRR_COLUMNS)}[product]
+    if not paths:
+        return spark.createDataFrame([], ", ".join(["delivery_date DATE", *[f"{c} DOUBLE" for c in columns]]))
     headers = read_lines(spark, list(dict.fromkeys(paths))).groupBy("file").agg(F.min_by("value", "pos").alias("header"))
     groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
     prices = None
     for group in groups:
-        raw = spark.read.option("header", True).csv(group["files"]).withColumn("file", F.col("_metadata.file_name"))
+        # metadata has paths as URLs; readers take them as they are
+        raw = spark.read.option("header", True).csv([unquote(f) for f in group["files"]]).withColumn("file", F.col("_metadata.file_name"))
         part = parse(raw)
         prices = part if prices is None else prices.unionByName(part)
     return block_table(prices, columns)
@@ -84,7 +89,8 @@ def read_tenders(spark: SparkSession, paths: list[str], product: str) -> DataFra
 
 def latest_files(listing: DataFrame) -> DataFrame:
     """Monthly result files, each once, by date range: `(file_name, date_range, ...)`."""
-    return listing.dropDuplicates(["file_name"]).orderBy("date_range", "file_name")
+    columns = [c for c in listing.columns if c not in ("file_name", "date_range")]
+    return keep_first(listing, ["file_name"], ["date_range", *columns]).orderBy("date_range", "file_name")
 
 
 def delivery_block_hours(prices: DataFrame, zone: str = BERLIN) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..schemas import WEATHER_GRID, conform, struct
+from .sinks import exists
 
 _KEYS = ["cell_lon", "cell_lat", "valid_time"]
 _ALIASES = {"longitude": "cell_lon", "latitude": "cell_lat", "time": "valid_time", **fixed.GRID_RENAME}
@@ -33,6 +34,8 @@ def sort_part(grid: DataFrame) -> DataFrame:
 
 def read_grid(spark: SparkSession, root: str, first_month: str | None = None, last_month: str | None = None) -> DataFrame:
     """Stored months in `[first, last]`; months that are absent are simply not there."""
+    if not exists(spark, root):
+        return spark.createDataFrame([], WEATHER_GRID)
     df = spark.read.schema(f"{WEATHER_GRID}, month STRING").parquet(root)
     if first_month is not None:
         df = df.filter(F.col("month") >= first_month)

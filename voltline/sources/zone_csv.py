@@ -9,17 +9,18 @@ from .. import fixed_values as fixed
 from ..functions.timeutil import shift_hours
 from ..functions.values import blank_to_null_double
 from ..operators.dedup import keep_first
-from ..operators.joins import pin_small
 from .lines import body_with_header, field, read_lines
+from .sinks import exists
 
 
 def parse_zone_series(lines: DataFrame, zone_prefix: str = "", marker: str = "Date,") -> DataFrame:
     """Wide hour x zone files -> `(ts, zone_id, cf)`; only zones with the prefix.
 
     Blank cells stay as NULL rows: a zone that is NULL throughout must remain
-    visible. Where two files of one layout carry the same hour the first line (by
-    file name and position) wins. That is settled on whole lines, already cut down
-    to the wanted zones, so one row per hour is shuffled and not one per cell.
+    visible. Where two files carry the same hour the first line (by file name and
+    position) wins, also if the files list different zones. That is settled on whole
+    lines, already cut down to the wanted zones, so one row per hour is shuffled and
+    not one per cell.
     """
     body = body_with_header(lines, marker)
     cells = F.filter(
@@ -28,11 +29,10 @@ def parse_zone_series(lines: DataFrame, zone_prefix: str = "", marker: str = "Da
     )
     hours = body.select(
         F.get("fields", F.lit(0)).try_cast("timestamp_ntz").alias("ts"),
-        F.xxhash64("header").alias("_layout"),
         cells.alias("_cells"),
         F.struct("file", "pos").alias("_order"),
     )
-    first = keep_first(hours, ["ts", "_layout"], ["_order"])
+    first = keep_first(hours, ["ts"], ["_order"])
     return first.select("ts", F.inline("_cells")).select("ts", "zone_id", blank_to_null_double("text").alias("cf"))
 
 
@@ -55,6 +55,8 @@ def read_factor_parts(spark: SparkSession, root: str, kind: str, technology: str
     The three keys are partition columns, so the filters skip folders.
     """
     schema = "ts TIMESTAMP_NTZ, zone_id STRING, cf DOUBLE, kind STRING, technology STRING, decade STRING"
+    if not exists(spark, root):
+        return spark.createDataFrame([], schema).select("ts", "technology", "zone_id", "cf")
     df = spark.read.schema(schema).parquet(root).filter(F.col("kind") == kind)
     if technology is not None:
         df = df.filter(F.col("technology") == technology)
@@ -99,7 +101,7 @@ def parse_turbines(lines: DataFrame, columns: list[str] = fixed.SCADA_COLUMNS) -
         .groupBy("file")
         .agg(F.min_by(F.trim(F.regexp_replace("value", "^# Turbine:", "")), "pos").alias("turbine"))
     )
-    body = body_with_header(lines, "# Date and time").join(pin_small(names), "file")
+    body = body_with_header(lines, "# Date and time").join(names, "file")
     return body.select("turbine", *_wanted(columns))
 
 

@@ -225,21 +225,20 @@ def country_mean(spark, d):
 
 # --- technology blends ----------------------------------------------------------------
 
-SOLAR_SQL = """SELECT date_trunc('month', o_orderdate) AS ts, n_name AS country, CAST(59 + CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS VARCHAR) AS technology,
-  CASE WHEN NOT (n_nationkey % 5 = 0 AND substr(o_orderpriority, 1, 1) = '4') THEN avg(o_totalprice) / 600011 END AS cf
+SOLAR_SQL = """SELECT date_trunc('month', o_orderdate) AS ts, n_name AS country, CAST(59 + CAST(least(substr(o_orderpriority, 1, 1), '4') AS INTEGER) AS VARCHAR) AS technology,
+  CASE WHEN NOT (n_nationkey % 5 = 0 AND least(substr(o_orderpriority, 1, 1), '4') = '4') THEN avg(o_totalprice) / 600011 END AS cf
 FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
-WHERE substr(o_orderpriority, 1, 1) < '5' GROUP BY date_trunc('month', o_orderdate), n_name, n_nationkey, substr(o_orderpriority, 1, 1)"""
+GROUP BY date_trunc('month', o_orderdate), n_name, n_nationkey, least(substr(o_orderpriority, 1, 1), '4')"""
 
 MIX_SQL = """SELECT * FROM (VALUES ('*', '60', 0.28), ('*', '61', 0.39), ('*', '62', 0.31), ('*', '63', 0.02),
   ('NATION_3', '60', 0.5), ('NATION_3', '62', 0.5)) AS t(country, technology, weight)"""
 
 
 def solar_factors(spark, d):
-    digit = F.substring("o_orderpriority", 1, 1)
+    digit = F.least(F.substring("o_orderpriority", 1, 1), F.lit("4"))
     customer = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     monthly = (
         table(spark, d, "orders")
-        .filter(digit < "5")
         .join(customer, "o_custkey")
         .groupBy(month_of("o_orderdate").cast("timestamp_ntz").alias("ts"), "n_nationkey", digit.alias("digit"))
         .agg((F.avg("o_totalprice") / 600011).alias("_cf"))
@@ -369,12 +368,10 @@ def inner_align_series(spark, d):
 
 
 @workload(f"""WITH h AS ({_HOURLY_SQL})
-SELECT ts, max(value) FILTER (event_type = 'click') AS click, max(value) FILTER (event_type = 'view') AS view FROM h
-WHERE event_type IN ('click', 'view') GROUP BY ts""")
+SELECT ts, max(value) FILTER (event_type = 'click') AS click, max(value) FILTER (event_type = 'view') AS view, max(value) FILTER (event_type = 'error') AS error,
+  max(value) FILTER (event_type = 'purchase') AS purchase, max(value) FILTER (event_type = 'signup') AS signup FROM h GROUP BY ts""")
 def outer_align_series(spark, d):
-    names = ["click", "view"]
-    rows = _hourly_types(spark, d).filter(F.col("event_type").isin(*names))
-    return w.pivot_series(rows, "event_type", names, "value")
+    return w.pivot_series(_hourly_types(spark, d), "event_type", ["click", "view", "error", "purchase", "signup"], "value")
 
 
 # --- fleets ----------------------------------------------------------------------------
@@ -456,10 +453,11 @@ p{status} AS (SELECT g.zone_id, g.m, sum(coalesce(t.c, 0)) OVER (PARTITION BY g.
 r{status} AS (SELECT cf.ts, coalesce(sum(cf.cf * p.c), 0) AS v FROM cf LEFT JOIN p{status} p ON p.zone_id = cf.zone_id AND p.m = date_trunc('month', cf.ts) AND p.m >= DATE '1996-01-01' GROUP BY cf.ts)"""
 
 
-@workload(f"""WITH cf AS ({CF_SQL}), {_ZONE_UNITS_SQL}, {_potential_sql('F')}, {_potential_sql('P')}
-SELECT ts, round(rF.v, 2) AS potential_closed_mw, round(rP.v, 2) AS potential_partial_mw FROM rF FULL JOIN rP USING (ts)""")
+@workload(f"""WITH cf AS ({CF_SQL}), {_ZONE_UNITS_SQL}, {_potential_sql('F')}, {_potential_sql('P')}, {_potential_sql('O')}
+SELECT ts, round(rF.v, 2) AS potential_closed_mw, round(rP.v, 2) AS potential_partial_mw, round(rO.v, 2) AS potential_open_mw
+FROM rF FULL JOIN rP USING (ts) FULL JOIN rO USING (ts)""")
 def historic_potential(spark, d):
-    """Units -> monthly panels -> potential, two families aligned on every time step."""
+    """Units -> monthly panels -> potential, three families aligned on every time step."""
     families, first, last, export = _families(spark, d)
     panel = fleet_plan.historic_potential(families, first, last, export)
     return panel.select("ts", *[F.round(c, 2).alias(c) for c in panel.columns[1:]])
@@ -472,6 +470,7 @@ def _families(spark, d):
     families = [
         fleet_plan.Family("closed", units.filter(F.col("technology") == "F"), cf, ["zone_id"]),
         fleet_plan.Family("partial", units.filter(F.col("technology") == "P"), cf, ["zone_id"]),
+        fleet_plan.Family("open", units.filter(F.col("technology") == "O"), cf, ["zone_id"]),
     ]
     first, last, export = (F.lit(x).cast("date") for x in ("1995-01-01", "2001-08-01", "1996-01-01"))
     return families, first, last, export
@@ -481,8 +480,10 @@ def _families(spark, d):
 n AS (SELECT zone_id, technology, sum(capacity_mw) AS c FROM zu WHERE start <= DATE '1999-06-30' AND (stop IS NULL OR stop > DATE '1999-06-30') GROUP BY ALL),
 tot AS (SELECT technology, sum(c) AS total FROM n GROUP BY 1)
 SELECT cf.ts, round(coalesce(sum(cf.cf * f.c), 0) / (SELECT total FROM tot WHERE technology = 'F'), 8) AS capacity_factor_closed,
-  round(coalesce(sum(cf.cf * p.c), 0) / (SELECT total FROM tot WHERE technology = 'P'), 8) AS capacity_factor_partial
-FROM cf LEFT JOIN n f ON f.zone_id = cf.zone_id AND f.technology = 'F' LEFT JOIN n p ON p.zone_id = cf.zone_id AND p.technology = 'P' GROUP BY cf.ts""")
+  round(coalesce(sum(cf.cf * p.c), 0) / (SELECT total FROM tot WHERE technology = 'P'), 8) AS capacity_factor_partial,
+  round(coalesce(sum(cf.cf * o.c), 0) / (SELECT total FROM tot WHERE technology = 'O'), 8) AS capacity_factor_open
+FROM cf LEFT JOIN n f ON f.zone_id = cf.zone_id AND f.technology = 'F' LEFT JOIN n p ON p.zone_id = cf.zone_id AND p.technology = 'P'
+  LEFT JOIN n o ON o.zone_id = cf.zone_id AND o.technology = 'O' GROUP BY cf.ts""")
 def current_fleet_factors(spark, d):
     """The fleet of one date under all past time steps."""
     families, *_ = _families(spark, d)
@@ -529,9 +530,12 @@ def imbalance_price(spark, d):
 
 
 @workload(f"""WITH mc AS ({MONTHLY_SQL}) SELECT CAST(date_trunc('year', month) AS DATE) AS year, round(coalesce(avg(capacity_mw) FILTER (zone_id LIKE 'AF%'), 0), 6) AS "AF",
-  round(coalesce(avg(capacity_mw) FILTER (zone_id LIKE 'EU%'), 0), 6) AS "EU", round(coalesce(avg(capacity_mw) FILTER (zone_id LIKE 'XX%'), 0), 6) AS "XX" FROM mc GROUP BY 1""")
+  round(coalesce(avg(capacity_mw) FILTER (zone_id LIKE 'EU%'), 0), 6) AS "EU", round(coalesce(avg(capacity_mw) FILTER (zone_id LIKE 'AM%'), 0), 6) AS "AM",
+  round(coalesce(avg(capacity_mw) FILTER (zone_id LIKE 'AS%'), 0), 6) AS "AS", round(coalesce(avg(capacity_mw) FILTER (zone_id LIKE 'MI%'), 0), 6) AS "MI",
+  round(coalesce(avg(capacity_mw) FILTER (zone_id LIKE 'XX%'), 0), 6) AS "XX" FROM mc GROUP BY 1""")
 def pivot_mean_fill(spark, d):
     """Duplicates averaged, absent cells 0."""
     rows = monthly_capacity(spark, d).select(F.trunc("month", "year").alias("year"), F.substring("zone_id", 1, 2).alias("c"), "capacity_mw")
-    wide = pivot_mean(rows, ["year"], "c", ["AF", "EU", "XX"], "capacity_mw")
-    return wide.select("year", *[F.round(c, 6).alias(c) for c in ("AF", "EU", "XX")])
+    names = ["AF", "AM", "AS", "EU", "MI", "XX"]  # no zone begins with XX: its cells are filled
+    wide = pivot_mean(rows, ["year"], "c", names, "capacity_mw")
+    return wide.select("year", *[F.round(c, 6).alias(c) for c in names])

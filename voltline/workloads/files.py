@@ -172,8 +172,7 @@ _BLOCK_OF_CUSTOMER = "['00_04', '04_08', '08_12', '12_16', '16_20', '20_24'][o_c
 
 
 @workload(f"""
-WITH t AS (SELECT CAST(o_orderdate AS DATE) AS delivery_date, year(o_orderdate) AS file, {_BLOCK_OF_CUSTOMER} AS b, max(o_totalprice) AS p FROM orders
-  WHERE o_orderstatus <> 'P' GROUP BY ALL),
+WITH t AS (SELECT CAST(o_orderdate AS DATE) AS delivery_date, year(o_orderdate) AS file, {_BLOCK_OF_CUSTOMER} AS b, max(o_totalprice) AS p FROM orders GROUP BY ALL),
 k AS (SELECT * FROM t WHERE file <> 1997)
 SELECT delivery_date, max(p / 4) FILTER (b = '00_04') AS negpos_00_04, max(p / 4) FILTER (b = '04_08') AS negpos_04_08, max(p / 4) FILTER (b = '08_12') AS negpos_08_12,
   max(p / 4) FILTER (b = '12_16') AS negpos_12_16, max(p / 4) FILTER (b = '16_20') AS negpos_16_20, max(p / 4) FILTER (b = '20_24') AS negpos_20_24 FROM k GROUP BY 1""")
@@ -201,8 +200,7 @@ def _tender_rows(spark, d, direction):
 
 
 @workload(f"""
-WITH t AS (SELECT CAST(o_orderdate AS DATE) AS delivery_date, CASE WHEN o_orderstatus = 'F' THEN 'neg' ELSE 'pos' END || '_' || {_BLOCK_OF_CUSTOMER} AS b, max(o_totalprice) AS p FROM orders
-  WHERE o_orderstatus <> 'P' GROUP BY ALL),
+WITH t AS (SELECT CAST(o_orderdate AS DATE) AS delivery_date, CASE WHEN o_orderstatus = 'F' THEN 'neg' ELSE 'pos' END || '_' || {_BLOCK_OF_CUSTOMER} AS b, max(o_totalprice) AS p FROM orders GROUP BY ALL),
 u AS (SELECT delivery_date, b, CASE WHEN delivery_date >= DATE '2000-01-01' THEN p ELSE p / 4 END AS p FROM t)
 SELECT delivery_date, {', '.join(f"max(p) FILTER (b = '{s}_{b}') AS {s}_{b}" for s in ('neg', 'pos') for b in fixed.BLOCKS)} FROM u GROUP BY 1""")
 def tender_afrr(spark, d):
@@ -211,7 +209,6 @@ def tender_afrr(spark, d):
     side = F.when(F.col("o_orderstatus") == "F", "NEG").otherwise("POS")
     rows = (
         table(spark, d, "orders")
-        .filter("o_orderstatus <> 'P'")
         .groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("DATE_FROM"), F.concat_ws("_", side, block).alias("PRODUCT"))
         .agg(F.max("o_totalprice").cast("string").alias("price"))
     )

@@ -176,12 +176,12 @@ def capacity_events(spark, d):
 
 @workload("""
 WITH w AS (SELECT l_shipdate AS day, sum(l_quantity) FILTER (l_returnflag = 'A') AS a, sum(l_quantity) FILTER (l_returnflag = 'N') AS n,
-  sum(l_quantity) FILTER (l_returnflag = 'R') AS r FROM lineitem WHERE l_discount > 0.05 GROUP BY 1)
+  sum(l_quantity) FILTER (l_returnflag = 'R') AS r FROM lineitem GROUP BY 1)
 SELECT day, source, gwh FROM w UNPIVOT (gwh FOR source IN (a, n, r))""")
 def unpivot_dropna_sources(spark, d):
     """Wide day table -> one row per existing value."""
     cells = {c.lower(): F.sum(F.when(F.col("l_returnflag") == c, F.col("l_quantity"))).alias(c.lower()) for c in "ANR"}
-    wide = table(spark, d, "lineitem").filter("l_discount > 0.05").groupBy(F.col("l_shipdate").alias("day")).agg(*cells.values())
+    wide = table(spark, d, "lineitem").groupBy(F.col("l_shipdate").alias("day")).agg(*cells.values())
     return unpivot_dropna(wide, ["day"], list(cells), "source", "gwh")
 
 
@@ -204,10 +204,10 @@ def _block_prices(spark, d):
 
 @workload(f"""WITH b AS ({_BLOCK_PRICE})
 SELECT delivery_date, max(price) FILTER (block = 'negpos_00_04') AS negpos_00_04, max(price) FILTER (block = 'negpos_04_08') AS negpos_04_08,
-  max(price) FILTER (block = 'negpos_12_16') AS negpos_12_16 FROM b GROUP BY 1""")
+  max(price) FILTER (block = 'negpos_08_12') AS negpos_08_12, max(price) FILTER (block = 'negpos_16_20') AS negpos_16_20, max(price) FILTER (block = 'negpos_20_24') AS negpos_20_24 FROM b GROUP BY 1""")
 def pivot_blocks(spark, d):
     """Day x block table over a fixed block list; duplicates would raise."""
-    return pivot_strict(_block_prices(spark, d), ["delivery_date"], "block", ["negpos_00_04", "negpos_04_08", "negpos_12_16"], "price")
+    return pivot_strict(_block_prices(spark, d), ["delivery_date"], "block", ["negpos_00_04", "negpos_04_08", "negpos_08_12", "negpos_16_20", "negpos_20_24"], "price")
 
 
 # Summer time by calendar arithmetic: last Sunday of March 02:00 to last Sunday of October 03:00 local (September until 1995).
@@ -251,13 +251,29 @@ def value_cleaning(spark, d):
     )
 
 
-# --- hulls: no SQL equivalent, tested against brute force ---------------------------------
+# --- hulls ---------------------------------------------------------------------------------
 
-@workload()
+# A directed pair of points is an edge of its region's hull if no point of the region lies to the right of it.
+@workload("""
+WITH p AS (SELECT CAST(label AS VARCHAR) AS region, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+u AS (SELECT DISTINCT region, x, y FROM p WHERE x IS NOT NULL AND y IS NOT NULL),
+e AS (SELECT a.region, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS bz FROM u a JOIN u b ON a.region = b.region AND (a.x <> b.x OR a.y <> b.y)),
+r AS (SELECT DISTINCT e.* FROM e JOIN u q ON q.region = e.region WHERE (bx - ax) * (q.y - ay) - (bz - ay) * (q.x - ax) < 0),
+h AS (SELECT * FROM e EXCEPT SELECT * FROM r)
+SELECT h.region, count(*) AS vertex_count, round(sum(ax * bz - bx * ay) / 2, 6) AS area, round(min(ax), 6) AS west, round(max(ax), 6) AS east,
+  max(t.capacity_mw) AS capacity_mw, max(t.unit_count) AS unit_count
+FROM h JOIN (SELECT region, CAST(count(*) AS DOUBLE) AS capacity_mw, count(*) AS unit_count FROM p GROUP BY region) t ON t.region = h.region GROUP BY h.region""")
 def footprint_hull(spark, d):
-    """Convex hull of the first two embedding dimensions per label."""
+    """Convex hull of the first two embedding dimensions per label: vertices, area (from the printed ring) and extent."""
     points = table(spark, d, "embeddings").select(
         F.col("label").cast("string").alias("region"), F.get("embedding", F.lit(0)).alias("x"), F.get("embedding", F.lit(1)).alias("y"),
         F.lit(1.0).alias("mw"),
     )
-    return footprint_hulls(points, "region", "x", "y", "mw")
+    hulls = footprint_hulls(points, "region", "x", "y", "mw")
+    ring = F.from_json(F.get_json_object("geojson", "$.coordinates[0]"), "array<array<double>>")
+    cross = F.transform(F.sequence(F.lit(0), F.size("ring") - 2), lambda i: F.get("ring", i)[0] * F.get("ring", i + 1)[1] - F.get("ring", i + 1)[0] * F.get("ring", i)[1])
+    area = F.aggregate(cross, F.lit(0.0), lambda a, x: a + x) / 2
+    xs = F.transform("ring", lambda p: p[0])
+    return hulls.withColumn("ring", ring).select(
+        "region", "vertex_count", F.round(area, 6).alias("area"), F.round(F.array_min(xs), 6).alias("west"), F.round(F.array_max(xs), 6).alias("east"), "capacity_mw", "unit_count"
+    )
