@@ -445,17 +445,17 @@ _ZONE_UNITS_SQL = f"""zu AS (SELECT u.*, z.zone_id FROM ({UNITS_SQL}) u JOIN ({Z
 
 def _potential_sql(status: str) -> str:
     return f"""
-x{status} AS (SELECT zone_id, date_trunc('month', start) AS m, capacity_mw AS c FROM zu WHERE technology = '{status}'
+x_{status} AS (SELECT zone_id, date_trunc('month', start) AS m, capacity_mw AS c FROM zu WHERE technology = '{status}'
       UNION ALL SELECT zone_id, date_trunc('month', stop), -capacity_mw FROM zu WHERE stop IS NOT NULL AND technology = '{status}'),
-g{status} AS (SELECT zone_id, CAST(unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS DATE) AS m FROM (SELECT DISTINCT zone_id FROM zu)),
-t{status} AS (SELECT zone_id, m, sum(c) AS c FROM x{status} GROUP BY zone_id, m),
-p{status} AS (SELECT g.zone_id, g.m, sum(coalesce(t.c, 0)) OVER (PARTITION BY g.zone_id ORDER BY g.m) AS c FROM g{status} g LEFT JOIN t{status} t ON t.zone_id = g.zone_id AND t.m = g.m),
-r{status} AS (SELECT cf.ts, coalesce(sum(cf.cf * p.c), 0) AS v FROM cf LEFT JOIN p{status} p ON p.zone_id = cf.zone_id AND p.m = date_trunc('month', cf.ts) AND p.m >= DATE '1996-01-01' GROUP BY cf.ts)"""
+g_{status} AS (SELECT zone_id, CAST(unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS DATE) AS m FROM (SELECT DISTINCT zone_id FROM zu)),
+t_{status} AS (SELECT zone_id, m, sum(c) AS c FROM x_{status} GROUP BY zone_id, m),
+p_{status} AS (SELECT g.zone_id, g.m, sum(coalesce(t.c, 0)) OVER (PARTITION BY g.zone_id ORDER BY g.m) AS c FROM g_{status} g LEFT JOIN t_{status} t ON t.zone_id = g.zone_id AND t.m = g.m),
+r_{status} AS (SELECT cf.ts, coalesce(sum(cf.cf * p.c), 0) AS v FROM cf LEFT JOIN p_{status} p ON p.zone_id = cf.zone_id AND p.m = date_trunc('month', cf.ts) AND p.m >= DATE '1996-01-01' GROUP BY cf.ts)"""
 
 
 @workload(f"""WITH cf AS ({CF_SQL}), {_ZONE_UNITS_SQL}, {_potential_sql('F')}, {_potential_sql('P')}, {_potential_sql('O')}
-SELECT ts, round(rF.v, 2) AS potential_closed_mw, round(rP.v, 2) AS potential_partial_mw, round(rO.v, 2) AS potential_open_mw
-FROM rF FULL JOIN rP USING (ts) FULL JOIN rO USING (ts)""")
+SELECT ts, round(r_F.v, 2) AS potential_closed_mw, round(r_P.v, 2) AS potential_partial_mw, round(r_O.v, 2) AS potential_open_mw
+FROM r_F FULL JOIN r_P USING (ts) FULL JOIN r_O USING (ts)""")
 def historic_potential(spark, d):
     """Units -> monthly panels -> potential, three families aligned on every time step."""
     families, first, last, export = _families(spark, d)

@@ -172,7 +172,8 @@ _BLOCK_OF_CUSTOMER = "['00_04', '04_08', '08_12', '12_16', '16_20', '20_24'][o_c
 
 
 @workload(f"""
-WITH t AS (SELECT CAST(o_orderdate AS DATE) AS delivery_date, year(o_orderdate) AS file, {_BLOCK_OF_CUSTOMER} AS b, max(o_totalprice) AS p FROM orders GROUP BY ALL),
+WITH t AS (SELECT CAST(o_orderdate AS DATE) AS delivery_date, year(o_orderdate) AS file, {_BLOCK_OF_CUSTOMER} AS b, max(o_totalprice) AS p FROM orders
+  WHERE o_orderstatus <> 'P' GROUP BY ALL),
 k AS (SELECT * FROM t WHERE file <> 1997)
 SELECT delivery_date, max(p / 4) FILTER (b = '00_04') AS negpos_00_04, max(p / 4) FILTER (b = '04_08') AS negpos_04_08, max(p / 4) FILTER (b = '08_12') AS negpos_08_12,
   max(p / 4) FILTER (b = '12_16') AS negpos_12_16, max(p / 4) FILTER (b = '16_20') AS negpos_16_20, max(p / 4) FILTER (b = '20_24') AS negpos_20_24 FROM k GROUP BY 1""")
@@ -220,7 +221,7 @@ def tender_afrr(spark, d):
 # --- files with a preamble ---------------------------------------------------------------
 
 @workload(f"""
-WITH cf AS ({CF_SQL}), k AS (SELECT ts, zone_id, round(cf, 6) AS cf, substr(zone_id, 1, 2) AS f FROM cf), z AS (SELECT DISTINCT f, zone_id FROM k), t AS (SELECT DISTINCT f, ts FROM k)
+WITH cf AS ({CF_SQL}), k AS (SELECT ts, zone_id, round(cf, 6) AS cf, substr(zone_id, 1, 2) AS f FROM cf), z AS (SELECT DISTINCT f, zone_id FROM k), t AS (SELECT min(f) AS f, ts FROM k GROUP BY ts)
 SELECT t.ts, z.zone_id, k.cf FROM t JOIN z USING (f) LEFT JOIN k ON k.ts = t.ts AND k.zone_id = z.zone_id""")
 def zone_csv_series(spark, d):
     """Wide zone files with a preamble -> long rows; blank cells stay as NULL."""
