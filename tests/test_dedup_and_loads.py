@@ -137,3 +137,65 @@ def test_parts_are_final_once_written(spark, folder):
     stored = spark.read.parquet(path)
     expected = spark.createDataFrame([("1980-1989",), ("2000-2009",)], "decade string")
     assert rows(sinks.missing_parts(expected, stored, ["decade"])) == [("2000-2009",)]
+
+
+def test_late_row_rewrites_one_month(spark, folder):
+    table = table_of(spark, folder)
+    table.merge(hourly(spark, "2023-01-01 00:00", 24 * 150, name="a"))
+    before = {m: {f["path"] for f in _files(spark, table.path, m)} for m in table.months()}
+    late = spark.createDataFrame([("b", ts("2023-02-10 00:00"), 1.0)], SERIES)
+    assert table.merge(late) == {"2023-02"} and table.merge(late.limit(0)) == set()
+    after = {m: {f["path"] for f in _files(spark, table.path, m)} for m in table.months()}
+    assert [m for m in before if before[m] != after[m]] == ["2023-02"]
+    assert table.read().count() == 24 * 150 + 1
+
+
+def test_rows_without_time_are_refused(spark, folder):
+    table = table_of(spark, folder)
+    table.merge(hourly(spark, "2023-01-01 00:00", 5))
+    with pytest.raises(ValueError, match="without ts"):
+        table.merge(spark.createDataFrame([("a", None, 1.0)], SERIES))
+    assert table.months() == ["2023-01"] and table.read().count() == 5
+    parts = spark.createDataFrame([("x", 1), (None, 2)], "p string, v int")
+    for _ in range(2):
+        with pytest.raises(ValueError, match="without p"):
+            sinks.write_missing_parts(parts, f"{folder}/q", "p")
+        sinks.write_missing_parts(parts.filter("p IS NOT NULL"), f"{folder}/q", "p")
+
+
+def test_swap_that_broke_off_loses_nothing(spark, folder, monkeypatch):
+    table = table_of(spark, folder)
+    table.merge(hourly(spark, "2023-01-01 00:00", 24 * 80))
+    stored = rows(table.read())
+    for stop in range(1, 7):
+        moves, move = [], sinks._move
+
+        def broken(fs, source, target):
+            if len(moves) == stop:
+                raise OSError("power cut")
+            moves.append(source)
+            move(fs, source, target)
+
+        with monkeypatch.context() as m:
+            m.setattr(sinks, "_move", broken)
+            try:
+                table.merge(hourly(spark, "2023-01-01 00:00", 24 * 80, lambda i: float(i)))
+            except OSError:
+                pass
+        sinks.recover_partitions(spark, table.path)
+        assert rows(table.read()) == stored
+    path = f"{folder}/whole"
+    sinks.replace_table(hourly(spark, "2024-01-01 00:00", 5), path)
+
+    def second(fs, source, target, seen=[]):
+        seen.append(source)
+        if len(seen) == 2:
+            raise OSError("power cut")
+        move(fs, source, target)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_move", second)
+        with pytest.raises(OSError):
+            sinks.replace_table(hourly(spark, "2024-01-01 00:00", 9), path)
+    sinks.recover_table(spark, path)
+    assert spark.read.parquet(path).count() == 5

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from voltline import fixed_values as fixed
+from voltline import catalog, fixed_values as fixed
 from voltline.operators.zones import Axis
 from voltline.plans import fleet, jobs
 
@@ -32,8 +32,10 @@ def test_market_series_catch_up_series_by_series(spark, folder):
     assert [(r[0].hour, r[1]) for r in stored] == [(0, 1.0), (1, 2.0), (2, 3.0), (3, 44.0), (5, 66.0)]
     again = rows(jobs.load_market_series(spark, landing, path))
     assert again[0][0] == 7
-    check = {r["series"]: (r["passed"], r["unexpected"]) for r in jobs.check_market_series(spark, path).collect()}
-    assert check == {"smard_load": (False, 1), "smard_price_at": (True, 0)}
+    check = {r["series"]: (r["passed"], r["unexpected"], r["severity"]) for r in jobs.check_market_series(spark, path).collect()}
+    assert check.pop("smard_load") == (False, 1, "ERROR") and check.pop("smard_price_at") == (True, 0, "ERROR")
+    # every other series of the catalogue was never loaded
+    assert len(check) == catalog.series_ids(spark).count() - 2 and set(check.values()) == {(False, None, "WARN")}
 
 
 def quarter_file(folder, name, first, values):
@@ -79,7 +81,7 @@ def test_gas(spark, folder):
     header = "Date,Open,High,Low,Close,Volume\n"
     jobs.load_gas(spark, put(folder, "a.csv", header + "2024-01-02,1,1,1,1,5\n2024-01-03,2,2,2,2,5\n"), path)
     report = jobs.load_gas(spark, put(folder, "b.csv", header + "2024-01-03,9,9,9,9,9\n2024-01-10,3,3,3,3,5\n"), path)
-    assert rows(report) == [(3, 3, day("2024-01-02"), day("2024-01-10"))]
+    assert rows(report) == [(3, 1, day("2024-01-02"), day("2024-01-10"))]
     assert [r["open"] for r in jobs.gas_table(spark, path).read().orderBy("date").collect()] == [1.0, 2.0, 3.0]
     assert tuple(jobs.check_gas(spark, path).first())[1:] == (False, "ERROR", 7, 1, day("2024-01-10"))
 

@@ -136,9 +136,15 @@ def null_runs(df: DataFrame, series: str, ts: str, value: str, step: str) -> Dat
     )
 
 
-def run_report(df: DataFrame, ts: str, new_since: Column | None = None) -> DataFrame:
-    """One row: rows, rows newer than `new_since`, first and last time stamp."""
-    new = F.count_if(F.col(ts) > new_since) if new_since is not None else F.count("*")
+def run_report(df: DataFrame, ts: str, new_since: Column | None = None, is_new: Column | None = None) -> DataFrame:
+    """One row: rows, new rows, first and last time stamp.
+
+    New is what `is_new` says, or is newer than `new_since`; where that is NULL or
+    nothing is given, everything is.
+    """
+    if is_new is None:
+        is_new = F.coalesce(F.col(ts) > new_since, F.lit(True)) if new_since is not None else F.lit(True)
+    new = F.count_if(is_new)
     return df.agg(
         F.count("*").alias("row_count"), new.alias("new_rows"), F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts")
     )

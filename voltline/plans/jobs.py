@@ -16,7 +16,7 @@ from .. import catalog, fixed_values as fixed
 from ..functions import values
 from ..functions.timeutil import in_half_open, ntz, seconds_between
 from ..operators.panels import annual_capacity_panel
-from ..operators.quality import grid_gap_check, max_gap_check, run_report
+from ..operators.quality import grid_gap_check, max_gap_check, never_loaded, run_report
 from ..operators.zones import spatial_mean
 from ..schemas import SERIES, struct
 from ..sources import market_csv, series_json, sinks, tenders
@@ -48,21 +48,28 @@ def load_market_series(spark: SparkSession, landing: str, path: str) -> DataFram
     blocks are merged, since their values may have been restated.
     """
     table = market_table(spark, path)
-    next_start = table.watermarks().select(
+    # read once before the table changes: one row per series of the catalogue
+    marks = spark.createDataFrame(table.watermarks().toArrow(), "series STRING, mark TIMESTAMP_NTZ")
+    next_start = marks.select(
         F.col("series").alias("name"),
         (seconds_between(ntz("1970-01-01 00:00:00"), inc.next_hour(F.col("mark"))) * 1000).cast("bigint").alias("start_ms"),
     )
-    first_blocks = series_json.prune_blocks(landed_blocks(spark, landing), next_start).groupBy("name").agg(F.min("block_ts").alias("b"))
-    wanted = F.lit(False)
-    for row in first_blocks.collect():  # one row per series of the catalogue
-        wanted = wanted | ((F.col("name") == row["name"]) & (F.col("block_ts") >= row["b"]))
-    table.merge(series_json.read_blocks(spark, landing, only=wanted))
-    return run_report(table.read(), "ts")
+    table.merge(series_json.read_blocks(spark, landing, blocks=series_json.prune_blocks(landed_blocks(spark, landing), next_start)))
+    rows = table.read().join(marks, "series", "left")
+    is_new = F.col("mark").isNull() | (F.col("ts") > F.col("mark"))
+    return run_report(rows, "ts", is_new=is_new)
 
 
-def check_market_series(spark: SparkSession, path: str) -> DataFrame:
-    """Hourly gap check of every stored series; known gaps do not fail it."""
-    return grid_gap_check(market_table(spark, path).read(), "series", "ts", "hour", catalog.known_gaps(spark), catalog.gap_severity())
+def check_market_series(spark: SparkSession, path: str, expected: DataFrame | None = None) -> DataFrame:
+    """Hourly gap check of every series; known gaps do not fail it.
+
+    A series of `expected` (by default of the catalogue) without a row was never
+    loaded: it doesn't pass, as a warning.
+    """
+    stored = market_table(spark, path).read()
+    checked = grid_gap_check(stored, "series", "ts", "hour", catalog.known_gaps(spark), catalog.gap_severity())
+    wanted = (catalog.series_ids(spark) if expected is None else expected).select("series").distinct()
+    return checked.unionByName(never_loaded(wanted, stored, "series"), allowMissingColumns=True)
 
 
 # --- quarter-hour balancing series ------------------------------------------------------
@@ -81,13 +88,24 @@ def load_quarter_hours(spark: SparkSession, name: str, files: str | list[str], p
         in_half_open("ts", ntz(start), ntz(today + dt.timedelta(days=1)))
     )
     trim = next(iter(market_csv.LAYOUTS[name].values.values()))
+    mark = table.watermark()
     table.load(source, rule, start, trim=trim)
-    return run_report(table.read(), "ts")
+    return run_report(table.read(), "ts", ntz(mark) if mark is not None else None)
 
 
 def check_quarter_hours(spark: SparkSession, name: str, path: str) -> DataFrame:
-    stored = quarter_hour_table(spark, name, path).read().withColumn("series", F.lit(name))
-    return grid_gap_check(stored, "series", "ts", "quarter_hour", severity=catalog.gap_severity())
+    """Gap check of one table; one that was never written doesn't pass, as a warning, one without rows does."""
+    table = quarter_hour_table(spark, name, path)
+    stored = table.read().withColumn("series", F.lit(name))
+    checked = grid_gap_check(stored, "series", "ts", "quarter_hour", severity=catalog.gap_severity())
+    if table.months():
+        return checked
+    there = sinks.exists(spark, path)
+    row = spark.range(1).select(
+        F.lit(name).alias("series"), F.lit(there).alias("passed"), F.lit("ERROR" if there else "WARN").alias("severity"),
+        *[F.lit(0).cast("bigint").alias(c) for c in ("unexpected", "known", "expected", "actual")],
+    )
+    return checked.unionByName(row, allowMissingColumns=True)
 
 
 # --- capacity tenders, gas ---------------------------------------------------------------
@@ -106,8 +124,9 @@ def load_tenders(spark: SparkSession, product: str, files: list[str], path: str,
     table = tender_table(spark, product, path)
     start = dt.date.fromisoformat(fixed.SOURCE_STARTS[name])
     source = tenders.in_days(tenders.read_tenders(spark, files, product), str(start), str(today))
+    mark = table.watermark()
     table.load(source, inc.month_restart, start)
-    return run_report(table.read(), "delivery_date")
+    return run_report(table.read(), "delivery_date", F.lit(mark))
 
 
 def check_tenders(spark: SparkSession, product: str, path: str) -> DataFrame:
@@ -123,8 +142,9 @@ def gas_table(spark: SparkSession, path: str) -> inc.PartitionedTable:
 def load_gas(spark: SparkSession, files: str | list[str], path: str) -> DataFrame:
     """Daily bars from the day after the last stored one."""
     table = gas_table(spark, path)
+    mark = table.watermark()
     table.load(market_csv.read_price_bars(spark, files), inc.next_day, dt.date(1900, 1, 1))
-    return run_report(table.read(), "date")
+    return run_report(table.read(), "date", F.lit(mark))
 
 
 def check_gas(spark: SparkSession, path: str) -> DataFrame:

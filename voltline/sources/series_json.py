@@ -43,19 +43,23 @@ def prune_blocks(listing: DataFrame, starts: DataFrame) -> DataFrame:
     return listing.join(floors, "name").filter(F.col("block_ts") >= F.col("_from")).select(*listing.columns)
 
 
-def read_blocks(spark: SparkSession, root: str, from_block: Column | int | None = None, only: Column | None = None) -> DataFrame:
+def read_blocks(spark: SparkSession, root: str, from_block: Column | int | None = None, only: Column | None = None, blocks: DataFrame | None = None) -> DataFrame:
     """Read landed blocks from `root/name=<series>/block_ts=<ms>/*.json`.
 
     `name` and `block_ts` are partition columns, so `from_block` or any other
-    condition `only` on them skips folders without opening them.
+    condition `only` on them skips folders without opening them. `blocks` lists the
+    wanted ones as `(name, block_ts)` and is joined on them, so that Spark prunes
+    folders by it at run time.
     """
-    blocks = (
+    landed = (
         spark.read.schema("series ARRAY<ARRAY<DOUBLE>>, name STRING, block_ts BIGINT")
         .option("multiLine", True)
         .json(root)
     )
     if from_block is not None:
-        blocks = blocks.filter(F.col("block_ts") >= from_block)
+        landed = landed.filter(F.col("block_ts") >= from_block)
     if only is not None:
-        blocks = blocks.filter(only)
-    return parse_blocks(blocks)
+        landed = landed.filter(only)
+    if blocks is not None:
+        landed = landed.join(blocks.select("name", "block_ts").distinct(), ["name", "block_ts"], "left_semi")
+    return parse_blocks(landed)
