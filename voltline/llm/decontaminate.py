@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import shields, stored
 from .words import as_long, find_words, run_hash, slices, text_bytes
 
 SEED_WORDS = 5
@@ -132,9 +132,10 @@ def tilings(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     return tiled.groupBy("key", "item").agg(F.max(F.struct("coverage", "n_words", "n_tiles", "n_covered")).alias("x")).select("key", "item", "x.n_words", "x.n_tiles", "x.n_covered", "x.coverage")
 
 
+@shields("contaminated", "n_items", "item", "coverage")
 def contamination(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """All columns of `documents` but the text, then contaminated, n_items, item (the best covered, of equals the smallest) and coverage; see tilings()."""
-    plain = documents.drop("contaminated", "n_items", "item", "coverage", text)
+    plain = documents.drop(text)
     best = F.max(F.struct("coverage", F.negative("item").alias("i")))
     found = tilings(documents, items, key, text, **options).groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("n_items"), best.alias("_b"))
     out = plain.join(found, F.col(key) == F.col("_k"), "left")

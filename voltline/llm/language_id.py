@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from .store import shields
 from .words import SLICE_BYTES, mix
 
 #: Training takes all rows of a language up to about so many, chosen by a hash of their key.
@@ -199,6 +200,7 @@ def fit(labelled: DataFrame, vocabulary_path: str, key: str = "doc_id", text: st
     return Model(languages, probability)
 
 
+@shields("lang_pred", "score")
 def identify(documents: DataFrame, model: Model, vocabulary_path: str, text: str = "text") -> DataFrame:
     """All columns of `documents` but the text, then lang_pred and score (the language's share of the likelihood).
 
@@ -206,8 +208,7 @@ def identify(documents: DataFrame, model: Model, vocabulary_path: str, text: str
     learned; of equal languages the first by name. Repeated rows are judged each; an empty table
     gives no rows; columns named lang_pred or score are replaced.
     """
-    plain = documents.drop("lang_pred", "score")
-    fields = [f for f in plain.schema.fields if f.name != text]
+    fields = [f for f in documents.schema.fields if f.name != text]
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +228,7 @@ def identify(documents: DataFrame, model: Model, vocabulary_path: str, text: str
                 yield pa.RecordBatch.from_arrays(out, names=[batch.schema.names[k] for k in keep] + ["lang_pred", "score"])
                 first = n
 
-    return plain.mapInArrow(predict, StructType([*fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    return documents.mapInArrow(predict, StructType([*fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
 def judge(texts: list[str], vocab: Vocabulary, model: Model) -> tuple[list[str], list[float]]:

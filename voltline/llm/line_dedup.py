@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .store import stored
+from .store import shields, stored
 from .words import as_long, mix
 
 WINDOW = 3
@@ -76,6 +76,7 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     return later.groupBy("key").agg(F.collect_set("start").alias("starts"))
 
 
+@shields("n_lines", "n_removed_lines")
 def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = WINDOW) -> DataFrame:
     """All columns of `documents`, its text without repeated runs, then n_lines and n_removed_lines (long).
 
@@ -87,7 +88,7 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", s
     a NULL key stay whole. An empty table gives no rows; columns with the names of added ones are
     replaced.
     """
-    plain = documents.drop("n_lines", "n_removed_lines")
+    plain = documents
     starts = stored(repeated_windows(stored(window_rows(plain, key, text, size))))
     joined = plain.join(starts.select(F.col("key").alias("_k"), F.col("starts").alias("_starts")), F.col(key) == F.col("_k"), "left").drop("_k")
     names = plain.columns

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import shields
+
 #: Documents of one host that may share a line; texts that are equal as a whole count once.
 MOST_DOCUMENTS = 20
 #: A document of which less than this share of words is left is depleted.
@@ -73,6 +75,7 @@ def _judged(documents: DataFrame, key: str, text: str, host: str, most_documents
     return out.withColumn("base_failed", failed).withColumn("kept", kept)
 
 
+@shields("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "base_failed", "kept")
 def line_quality(documents: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", most_documents: int = MOST_DOCUMENTS, least_share: float = LEAST_SHARE) -> DataFrame:
     """All columns of `documents` but the text, then n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, n_removed_words, base_failed, kept.
@@ -85,14 +88,13 @@ def line_quality(documents: DataFrame, key: str = "doc_id", text: str = "text",
     equal keys are one document to the line count; lines of a NULL key are never removed; an
     empty table gives no rows; columns with the names of added ones are replaced.
     """
-    plain = documents.drop("base_failed", "n_removed_words", "kept")
-    return _judged(plain, key, text, host, most_documents, least_share).drop("_text", "_gone")
+    return _judged(documents, key, text, host, most_documents, least_share).drop("_text", "_gone")
 
 
+@shields()
 def apply_rules(documents: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", most_documents: int = MOST_DOCUMENTS, least_share: float = LEAST_SHARE) -> DataFrame:
     """The rows of `documents` that line_quality() keeps, their texts without the lines that it removes."""
-    names = {c: f"_own_{c}" for c in documents.columns if c not in (key, text, host)}  # columns may be named like measures
-    judged = _judged(documents.withColumnsRenamed(names), key, text, host, most_documents, least_share).filter("kept")
+    judged = _judged(documents, key, text, host, most_documents, least_share).filter("kept")
     stays = F.filter(F.split("_text", "\n"), lambda x: (F.translate(x, _SPACES, "") == "") | ~F.array_contains("_gone", F.xxhash64(normal_line(x))))
     cleaned = judged.withColumn(text, F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(stays, "\n")))
-    return cleaned.select(*[F.col(names.get(c, c)).alias(c) for c in documents.columns])
+    return cleaned.select(*documents.columns)

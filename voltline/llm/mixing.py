@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import shields, stored
 
 BLOCK_WORDS = 64
 SHARDS = 64
@@ -96,6 +96,7 @@ def draw_slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shards: int =
     return slots.select("shard", "source", "slot", permuted(F.pmod("slot", "_blocks"), F.col("_blocks"), F.xxhash64(F.lit(seed), "source", turn)).alias("block"))
 
 
+@shields("size", "source_size", "target", "taken")
 def mix_sources(documents: DataFrame, text: str = "text", source: str = "source", block_words: int = BLOCK_WORDS, shards: int = SHARDS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
     """All columns of `documents` but the text, then size, source_size, target, taken.
 
@@ -104,8 +105,7 @@ def mix_sources(documents: DataFrame, text: str = "text", source: str = "source"
     source is a source. Repeated rows are texts of their own. An empty table gives no rows.
     Columns that have the names of added ones are replaced. The same table gives the same mix.
     """
-    plain = documents.drop(*[c for c in ("size", "source_size", "target", "taken") if c in documents.columns])
-    packed = pack(plain, text, source)
+    packed = pack(documents, text, source)
     targets = source_targets(packed.select(F.col("_source").alias("source"), "size"), most=most)
     slots = draw_slots(targets, block_words, shards, most, seed)
     uses = slots.groupBy(F.col("source").alias("_s"), F.col("block").alias("_b")).agg(F.count("*").alias("_uses"))
@@ -118,4 +118,4 @@ def mix_sources(documents: DataFrame, text: str = "text", source: str = "source"
     out = packed.join(taken, F.col("_row") == F.col("_r"), "left")
     goal = targets.select(F.col("source").alias("_s"), "source_size", "target")
     out = out.join(goal, F.col("_source").eqNullSafe(F.col("_s")), "left")
-    return out.select(*[c for c in plain.columns if c != text], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return out.select(*[c for c in documents.columns if c != text], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import functools
+import inspect
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: list[str] = []
+_MARK_BITS = 22
+_USED = ("key", "text", "host", "source")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,3 +34,40 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/voltline-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+
+def key_place(column: str = "key") -> Column:
+    """A key's place in a table of marks."""
+    return F.shiftrightunsigned(F.xxhash64(column), 64 - _MARK_BITS).cast("int")
+
+
+def key_marks(wanted: DataFrame, column: str = "key") -> np.ndarray:
+    """A table of fixed size that is true at the places of all wanted keys, and by chance at those of others."""
+    marks = np.zeros(1 << _MARK_BITS, bool)
+    marks[wanted.select(key_place(column).alias("p")).distinct().toArrow()["p"].to_numpy()] = True
+    return marks
+
+
+def shields(*added: str) -> Callable:
+    """For operators on a table of documents: columns that an operator doesn't use pass through it under names that can't clash.
+
+    Names of its own columns come from its arguments `key`, `text`, `host` and `source`; `added`
+    are those that it adds, which replace any of the same name.
+    """
+
+    def wrap(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(operator)
+        def shielded(documents: DataFrame, *args, **options) -> DataFrame:
+            bound = inspect.signature(operator).bind(documents, *args, **options)
+            bound.apply_defaults()
+            used = {bound.arguments[n] for n in _USED if n in bound.arguments}
+            hidden = {c: f"_extra_{i}" for i, c in enumerate(documents.columns) if c not in used}
+            out = operator(documents.withColumnsRenamed(hidden), *args, **options)
+            new = {c.lower() for c in added}
+            out = out.drop(*[h for c, h in hidden.items() if c.lower() in new])
+            return out.withColumnsRenamed({h: c for c, h in hidden.items()})
+
+        return shielded
+
+    return wrap

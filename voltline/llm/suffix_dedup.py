@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .store import stored
+from .store import shields, stored
 from .words import as_long, mix, text_bytes
 
 LENGTH = 50
@@ -120,6 +120,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     return rows.join(shared, "name")
 
 
+@shields("n_bytes", "n_removed", "n_spans", "kept")
 def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """All columns of `documents` but the text, then n_bytes, n_removed, n_spans (long) and kept (binary: the bytes that stay).
 
@@ -130,7 +131,7 @@ def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "tex
     each other; rows with a NULL key stay whole. An empty table gives no rows; columns with the
     names of added ones are replaced.
     """
-    plain = documents.drop("n_bytes", "n_removed", "n_spans", "kept")
+    plain = documents
     known = plain.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).filter(F.octet_length("text") >= length)
     whole = stored(known.select("key", F.sha2("text", 256).alias("sum"), F.xxhash64("text").alias("h")))
     copies = stored(whole.join(whole.groupBy("sum").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "sum").filter("key > first").select("key").distinct())

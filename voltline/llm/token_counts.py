@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import shields
+
 CHUNK_BYTES = 16_000
 OVERLAP_BYTES = 400
 _loaded: dict[str, Encoder] = {}
@@ -86,6 +88,7 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
+@shields("n_bytes", "n_tokens")
 def count_tokens(documents: DataFrame, model_path: str, text: str = "text", chunk_bytes: int = CHUNK_BYTES, overlap_bytes: int = OVERLAP_BYTES) -> DataFrame:
     """All columns of `documents`, then n_bytes (UTF-8) and n_tokens.
 
@@ -93,7 +96,7 @@ def count_tokens(documents: DataFrame, model_path: str, text: str = "text", chun
     gives no rows. Columns named n_bytes or n_tokens are replaced. Rows keep their partition:
     there is no shuffle. `model_path` must exist on every executor.
     """
-    kept = documents.drop("n_bytes", "n_tokens").withColumn("n_bytes", F.coalesce(F.octet_length(text), F.lit(0)).cast("long"))
+    kept = documents.withColumn("n_bytes", F.coalesce(F.octet_length(text), F.lit(0)).cast("long"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(model_path)
