@@ -113,7 +113,8 @@ def mix_sources(documents: DataFrame, text: str = "text", source: str = "source"
     blocks = F.sequence(F.floor(F.col("_begin") / block_words), F.floor((last - 1) / block_words))
     parts = packed.filter("size > 0").select("_row", "_source", "_begin", "size", F.explode(blocks).alias("_block"))
     words = F.least(last, (F.col("_block") + 1) * block_words) - F.greatest(F.col("_begin"), F.col("_block") * block_words)
-    joined = parts.join(uses, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
+    # planned by the size of the few rows of targets that slots come from, the uses would be broadcast
+    joined = parts.join(uses.hint("merge"), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
     taken = joined.groupBy(F.col("_row").alias("_r")).agg(F.sum(words * F.col("_uses")).alias("taken"))
     out = packed.join(taken, F.col("_row") == F.col("_r"), "left")
     goal = targets.select(F.col("source").alias("_s"), "source_size", "target")
