@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import stored
+from .store import key_marks, key_place, stored
 from .words import as_long, find_words, mix, shingles, slices, text_bytes
 
 SHINGLE_WORDS = 3
@@ -41,6 +41,7 @@ CLASSES = (32, 1024)
 SHORT = 32
 _BLOCK, _MEMBERS = 256, 2048
 _SLICES = 64
+_PARITY = 1024
 
 
 def sets_of(batch: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -55,16 +56,20 @@ def sets_of(batch: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def fingerprints(documents: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """key, n_shingles, f1, f2: equal for equal sets."""
+    """key, n_shingles, f1, f2 (equal for equal sets), bits: for each of 1,024 places the parity of the shingles there."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, f1, f2 = (np.zeros(batch.num_rows, np.uint64) for _ in range(3))
+            bits = np.zeros((batch.num_rows, _PARITY), np.uint8)
             for k, tokens in sets_of(batch.column(1), size):
                 n[k], f1[k], f2[k] = len(tokens), mix(tokens).sum(), mix(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()
-            yield pa.RecordBatch.from_arrays([batch.column(0), as_long(n), as_long(f1), as_long(f2)], names=["key", "n_shingles", "f1", "f2"])
+                bits[k] = np.bincount((tokens % np.uint64(_PARITY)).astype(np.int64), minlength=_PARITY) & 1
+            packed = np.packbits(bits, axis=1).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * packed.shape[1]), pa.array(packed.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), as_long(n), as_long(f1), as_long(f2), lists], names=["key", "n_shingles", "f1", "f2", "bits"])
 
-    return documents.select(F.col(key).cast("long"), text).mapInArrow(work, "key long, n_shingles long, f1 long, f2 long")
+    return documents.select(F.col(key).cast("long"), text).mapInArrow(work, "key long, n_shingles long, f1 long, f2 long, bits array<long>")
 
 
 def frequencies(texts: DataFrame, size: int, bits: int = SKETCH_BITS) -> np.ndarray:
@@ -129,7 +134,7 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, classes: np.ndarray, perc
 
 
 def postings(texts: DataFrame, table: np.ndarray, size: int, percent: int, classes: tuple[int, ...] = CLASSES) -> DataFrame:
-    """sig, key, n for every signature of every set; texts: key, text."""
+    """sig, set, key for every signature of every different set; texts: key, text. Of equal sets the smallest key stands."""
     bits = int(len(table)).bit_length() - 1
     load = int(table.sum() / len(table))
     limits = np.array([load + c for c in classes], np.uint32)
@@ -139,33 +144,52 @@ def postings(texts: DataFrame, table: np.ndarray, size: int, percent: int, class
         counts = shared.value
         for batch in batches:
             keys = batch.column(0).to_numpy()
-            found, owner, sizes = [], [], []
+            found, owner, sets = [], [], []
             for k, tokens in sets_of(batch.column(1), size):
                 if len(tokens):
                     c = counts[(tokens >> np.uint64(64 - bits)).astype(np.int64)]
                     s = signatures(tokens, c, np.searchsorted(limits, c, "left") + 1, percent)
                     found.append(s)
                     owner.append(np.full(len(s), keys[k]))
-                    sizes.append(np.full(len(s), len(tokens), np.int32))
+                    sets.append(np.full(len(s), mix(tokens).sum() + np.uint64(len(tokens)), np.uint64))
             if found:
-                yield pa.RecordBatch.from_arrays([as_long(np.concatenate(found)), pa.array(np.concatenate(owner)), pa.array(np.concatenate(sizes))], names=["sig", "key", "n"])
+                yield pa.RecordBatch.from_arrays([as_long(np.concatenate(found)), as_long(np.concatenate(sets)), pa.array(np.concatenate(owner))], names=["sig", "set", "key"])
 
-    return texts.mapInArrow(work, "sig long, key long, n int")
+    return texts.mapInArrow(work, "sig long, set long, key long").groupBy("sig", "set").agg(F.min("key").alias("key")).select("sig", "key")
 
 
-def token_sets(texts: DataFrame, size: int) -> DataFrame:
+def token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """key, tokens of the texts whose keys are in `wanted` (key).
+
+    A table of fixed size says which keys may be wanted, so that other texts are neither hashed nor shuffled.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(key_marks(wanted))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(shared.value[batch.column(2).to_numpy()]))
             found = [tokens for _, tokens in sets_of(batch.column(1), size)]
             cut = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
             flat = as_long(np.concatenate(found) if found else np.zeros(0, np.uint64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(cut), flat)], names=["key", "tokens"])
 
-    return texts.mapInArrow(work, "key long, tokens array<long>")
+    sets = texts.select("key", "text", key_place()).mapInArrow(work, "key long, tokens array<long>")
+    return sets.join(wanted.select("key").distinct(), "key", "left_semi")
+
+
+def possible(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and parities allow to link: sets can't differ in fewer shingles than in parities."""
+    side = lambda k: prints.select(F.col("key").alias(k), F.col("n_shingles").alias(f"n{k}"), F.col("bits").alias(f"bits_{k}"))
+    both = pairs.join(side("a"), "a").filter("na > 0").join(side("b"), "b")
+    differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    sized = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    return both.filter(sized & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))).select("a", "b").distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link."""
+    pairs = stored(pairs)
+    sets = stored(token_sets(texts, pairs.select(F.col("a").alias("key")).union(pairs.select("b")), size))
     right = pairs.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("tb")), "b")
     both = right.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("ta")), "a")
     common = F.size(F.array_intersect("ta", "tb"))
@@ -173,14 +197,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.filter(F.col("i") * 100 >= (F.col("s") - F.col("i")) * percent).select("a", "b")
 
 
-def _blocks(entries: DataFrame, groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _blocks(entries: DataFrame, groups: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between documents of long lists that aren't of one component yet; entries: key; groups: node, component of the joined lists."""
     keys = entries.select("key").distinct()
     g = keys.join(groups.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("component", "key").alias("g"))
     named = g.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "g", F.coalesce("component", "key").alias("c"))
     sized = named.groupBy("g", "c").agg(F.count("*").alias("m"))
     largest = sized.groupBy("g").agg(F.max(F.struct("m", F.negative("c").alias("c"))).alias("x"), F.sum("m").alias("total")).select("g", F.negative(F.col("x.c")).alias("main"), "total", (F.col("total") - F.col("x.m")).alias("rest")).filter("rest > 0")
-    placed = named.join(largest, "g").join(sets, "key")
+    chosen = stored(named.join(largest, "g"))
+    placed = chosen.join(token_sets(texts, chosen, size), "key")
     h = F.abs(F.xxhash64("key") % (1 << 40))
     n_rest, n_all = F.ceil(F.col("rest") / _BLOCK).cast("long"), F.ceil(F.col("total") / _MEMBERS).cast("int")
     queries = placed.filter(F.col("c") != F.col("main")).select("g", (h % n_rest).alias("q"), F.explode(F.sequence(F.lit(0), n_all - 1)).alias("p"), "key", "c", "tokens")
@@ -224,40 +249,37 @@ def join_by_shingles(documents: DataFrame, key: str = "doc_id", text: str = "tex
         raise ValueError("percent must be from 50 to 100")
     prints = stored(fingerprints(documents, key, text, size))
     real = prints.filter("key IS NOT NULL AND n_shingles > 0")
-    groups = stored(real.groupBy("n_shingles", "f1", "f2").agg(F.min("key").alias("rep"), F.count("*").alias("copies")))
-    same = real.join(groups, ["n_shingles", "f1", "f2"]).select("key", "rep")
-    texts = documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    chosen = texts.join(groups.select(F.col("rep").alias("key")).distinct(), "key", "left_semi")
+    groups = real.groupBy("n_shingles", "f1", "f2").agg(F.min("key").alias("rep"), F.count("*").alias("copies")).filter("copies > 1")
+    same = stored(real.select("key", "n_shingles", "f1", "f2").join(groups, ["n_shingles", "f1", "f2"], "left").select("key", F.coalesce("rep", "key").alias("rep")))
+    texts = documents.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
 
-    table = frequencies(chosen.select("text"), size)
-    listed = stored(postings(chosen, table, size, percent))
+    table = frequencies(texts.select("text"), size)
+    listed = stored(postings(texts, table, size, percent))
     lists = listed.groupBy("sig").agg(F.count("*").alias("c"), F.min("key").alias("lead")).filter("c > 1")
-    entries = stored(listed.join(lists, "sig").select("sig", "key", "n", "c", "lead"))
-    sets = stored(token_sets(texts.join(entries.select("key").distinct(), "key", "left_semi"), size).dropDuplicates(["key"]))
+    entries = stored(listed.join(lists, "sig").select("sig", "key", "c", "lead"))
 
-    sized = sets.select(F.col("key").alias("a"), F.size("tokens").alias("na"))
-    stars = entries.filter("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b"), "n").distinct()
-    fit = stars.join(sized, "a").filter(F.least("n", "na") * 100 >= F.greatest("n", "na") * percent).select("a", "b")
-    links = stored(_verified(fit, sets, percent))
+    stars = entries.filter("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
+    links = stored(_verified(possible(stars, real, percent), texts, size, percent))
     labels = components(links)
 
     named = entries.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
+    named = stored(named)
     mixed = named.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("sig")
     open_ = stored(named.join(mixed, "sig"))
     short = open_.filter(F.col("c") <= SHORT)
-    other = short.select("sig", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("comp_b"))
+    other = short.select("sig", F.col("key").alias("b"), F.col("comp").alias("comp_b"))
     pairs = short.join(other, "sig").filter((F.col("key") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & (F.col("key") != F.col("lead")))
-    pairs = pairs.filter(F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent).select(F.col("key").alias("a"), "b").distinct()
-    more = _verified(pairs, sets, percent)
+    more = _verified(possible(pairs.select(F.col("key").alias("a"), "b").distinct(), real, percent), texts, size, percent)
     long_ = open_.filter(F.col("c") > SHORT)
     regions = components(long_.select(F.col("lead").alias("a"), F.col("key").alias("b")))
-    far = _blocks(long_, regions, labels, sets, percent)
-    final = components(links.union(stored(more.union(far))))
+    far = _blocks(long_, regions, labels, texts, size, percent)
+    rest = stored(more.union(far))
+    final = components(links.union(rest))
 
     same_key = same.groupBy("key").agg(F.min("rep").alias("rep"))
     extra = same.join(same_key.withColumnRenamed("rep", "low"), "key").filter("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
     if extra.take(1):  # equal keys with different texts join their groups
-        final = components(links.union(more).union(far).union(extra))
+        final = components(links.union(rest).union(extra))
     found = same_key.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("key").alias("k"), F.coalesce("component", "rep").alias("comp"))
     out = prints.join(found, F.col("key") == F.col("k"), "left")
     return out.select(F.col("key").alias(key), "n_shingles", F.coalesce("comp", "key").alias("component_id"))
