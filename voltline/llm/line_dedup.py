@@ -84,8 +84,8 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", s
     document with a smaller key, or further up in its own. Comparison is on the input, not on
     what is left. Lines without a word are not counted, break no run and stay. NULL and empty
     texts stay as they are; a document of which nothing is left stays with what blank lines it
-    had. Rows with equal keys are one document: they don't remove each other's lines. Rows with
-    a NULL key stay whole. An empty table gives no rows; columns with the names of added ones are
+    had. Rows with equal keys are taken for one document and share its marks. Rows with a NULL
+    key stay whole. An empty table gives no rows; columns with the names of added ones are
     replaced.
     """
     plain = documents
@@ -106,6 +106,7 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", s
                     continue
                 lines, at, _ = line_hashes(body)
                 gone = np.zeros(len(at) + 1, np.int64)
+                found = [s for s in found if s + size <= len(at)]  # of another row with this key
                 np.add.at(gone, found, 1)
                 np.add.at(gone, np.minimum(np.array(found) + size, len(at)), -1)
                 out = set(at[np.cumsum(gone)[:-1] > 0].tolist())

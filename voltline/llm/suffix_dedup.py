@@ -101,6 +101,7 @@ def merged_names(texts: DataFrame, length: int) -> DataFrame:
             def found(batch=batch):
                 for row, data in enumerate(_texts(batch.column(1))):
                     places = batch.column(2)[row].values.to_numpy()
+                    places = places[places < len(data)]  # others are of another row with this key
                     near = np.zeros(len(data) + 1, np.int32)
                     np.add.at(near, np.maximum(places - MODULUS + 1, 0), 1)
                     np.add.at(near, places + 1, -1)
@@ -127,8 +128,8 @@ def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "tex
     A byte goes if a string of `length` bytes that covers it also starts in a document with a
     smaller key; strings never cross documents and are judged on the input. Documents that are
     equal as a whole are searched once: of those the later ones go whole (if long enough). NULL
-    and empty texts have 0 bytes, and the hash of none. Rows with equal keys don't remove from
-    each other; rows with a NULL key stay whole. An empty table gives no rows; columns with the
+    and empty texts have 0 bytes and nothing to remove. Rows with equal keys are taken for one
+    document and share its marks; rows with a NULL key stay whole. An empty table gives no rows; columns with the
     names of added ones are replaced.
     """
     plain = documents
@@ -157,6 +158,7 @@ def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "tex
                 elif starts.is_valid and len(starts):
                     change = np.zeros(len(data) + 1, np.int32)
                     at = starts.values.to_numpy()
+                    at = at[at + length <= len(data)]
                     np.add.at(change, at, 1)
                     np.add.at(change, at + length, -1)
                     gone = np.cumsum(change)[:-1] > 0
