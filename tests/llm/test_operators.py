@@ -572,3 +572,14 @@ def test_pipeline(spark):
             clean.add(i)
     assert {r["doc_id"] for r in out} == clean
     assert sum(r["size"] for r in out) == sum(len(split(lines[i])) for i in clean)
+
+
+def test_equal_keys_with_other_texts(spark):
+    """Odd, but no reason to break down."""
+    rng = random.Random(21)
+    long = "\n".join(words(rng, 40, 9_000) for _ in range(6))
+    rows = [(1, long), (2, long), (2, "short"), (2, None), (3, long.replace("\n", " "))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert line_dedup.dedup_lines(df).count() == suffix_dedup.dedup_substrings(df).count() == chain_dedup.repeated_passages(df).count() == len(rows)
+    assert ngram_join.join_by_shingles(df).filter("component_id = 1").count() == len(rows)
+    assert mixing.mix_sources(df.withColumn("source", F.lit("a"))).count() == len(rows)
