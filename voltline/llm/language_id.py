@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .store import shields
-from .words import SLICE_BYTES, mix
+from .words import mix
 
 #: Training takes all rows of a language up to about so many, chosen by a hash of their key.
 SAMPLE_ROWS = 3_000
 ROUNDS = 2
 SMOOTHING = 0.1
+#: Characters whose different words are worked out together.
+BATCH_CHARS = 4 << 20
 UNKNOWN = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _vocabularies: dict[str, Vocabulary] = {}
@@ -219,7 +221,7 @@ def identify(documents: DataFrame, model: Model, vocabulary_path: str, text: str
             first = 0
             while first < batch.num_rows:
                 texts, held, n = [], 0, first
-                while n < batch.num_rows and held < 2 * SLICE_BYTES:
+                while n < batch.num_rows and held < BATCH_CHARS:
                     texts.append(batch.column(place)[n].as_py() or "")
                     held += len(texts[-1])
                     n += 1
