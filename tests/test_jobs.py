@@ -127,3 +127,31 @@ def test_prepared_families_from_registry_to_potential(spark):
     assert panel["potential_wind_onshore_mw"] == pytest.approx(3.0 * 0.3)
     assert panel["potential_wind_offshore_mw"] == pytest.approx(6.0 * 0.5)
     assert rows(fleet.unmodelled(families[0], F.lit("2020-06-01").cast("date"))) == [("60", "DE21", 0.02)]
+
+
+def test_fleet_tables_are_the_same_twice(spark, folder):
+    at = ts("2020-06-01 00:00")
+    cf = spark.createDataFrame([(at, "a", 0.5)], "ts timestamp_ntz, z string, cf double")
+    units = spark.createDataFrame([("a", 10.0, "60", "onshore")], "z string, capacity_mw double, technology string, siting string").select(
+        "*", F.lit("2010-01-01").cast("date").alias("commissioning_date"), F.lit(None).cast("date").alias("final_shutdown_date"))
+    base = spark.createDataFrame([(at, 0.4, 0.8, 0.1, 0.1, 0.5, 1.0)], "ts timestamp_ntz, solar_60 double, solar_61 double, solar_62 double, solar_63 double, wind_onshore double, wind_offshore double")
+    months = [F.lit(x).cast("date") for x in ("2010-01-01", "2020-12-01", "2020-01-01", "2020-06-01")]
+    states = []
+    for _ in range(2):
+        jobs.refresh_fleet(spark, [fleet.Family("solar", units, cf, ["z"])], units, units, base, folder, *months)
+        states.append({n: rows(spark.read.parquet(f"{folder}/{n}")) for n in ("de_potential_historic", "de_capacity_factor_current_fleet", "de_fleet_weights_snapshot", "de_capacity_factors_fleet_weighted")})
+    assert states[0] == states[1] and states[0]["de_potential_historic"] == [(at, 5.0)]
+    assert {"solar_weight_60", "solar_total_mw", "wind_onshore_total_mw"} <= set(spark.read.parquet(f"{folder}/de_fleet_weights_snapshot").columns)
+
+
+def test_country_factors_from_parts(spark, folder):
+    at = ts("2020-06-01 01:00")
+    mask = spark.createDataFrame([("DE01", 54.0, 9.0, 0.5)], "zone_id string, cell_lat double, cell_lon double, coverage double")
+    weights = spark.createDataFrame([("*", "60", 1.0)], "country string, technology string, weight double")
+    for _ in range(2):
+        for kind, technology, zone, stamp in (("solar", "60", "DE", at), ("wind_onshore", "on", "DE01", at - dt.timedelta(hours=1)), ("wind_offshore", "off", "DE09", at - dt.timedelta(hours=1))):
+            new = jobs.load_factor_parts(spark.createDataFrame([(stamp, zone, 0.5)], "ts timestamp_ntz, zone_id string, cf double"), f"{folder}/parts", kind, technology)
+        jobs.refresh_country_factors(spark, f"{folder}/parts", mask, weights, folder)
+        assert spark.read.parquet(f"{folder}/pecd_country_capacity_factors_simple").count() == 3
+    assert new == []
+    assert rows(spark.read.parquet(f"{folder}/pecd_country_capacity_factors_simple_de")) == [(ts("2020-06-01 00:00"), 0.5, 0.5, 0.5)]

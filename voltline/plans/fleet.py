@@ -102,6 +102,12 @@ def fleet_snapshot(solar: DataFrame, wind: DataFrame, as_of: Column) -> DataFram
     return fleet_mix_snapshot(active, fixed.SOLAR_TECHNOLOGIES, as_of, totals)
 
 
+def snapshot_table(snapshot: DataFrame) -> DataFrame:
+    """The snapshot under the column names of its stored table."""
+    names = {c: f"solar_{c}" for c in snapshot.columns if c.startswith("weight_")} | {c: f"{c.removesuffix('_mw')}_total_mw" for c in snapshot.columns if c.endswith("_mw")}
+    return snapshot.withColumnsRenamed(names)
+
+
 def fleet_weighted(base: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Technology base x one fleet vintage; another vintage needs no new base."""
     return fleet_blend(base, snapshot, fixed.SOLAR_TECHNOLOGIES)

@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 from .. import catalog, fixed_values as fixed
 from ..functions import values
-from ..functions.timeutil import in_half_open, ntz, seconds_between
+from ..functions.timeutil import in_half_open, ntz, seconds_between, shift_hours
 from ..operators.panels import annual_capacity_panel
 from ..operators.quality import grid_gap_check, max_gap_check, never_loaded, run_report
 from ..operators.zones import spatial_mean
 from ..schemas import SERIES, struct
-from ..sources import market_csv, series_json, sinks, tenders
+from ..sources import market_csv, series_json, sinks, tenders, zone_csv
+from ..sources import registry as extracts
 from ..sources.lines import read_lines
+from . import country, fleet
 from . import incremental as inc
 from . import registry
 
@@ -187,3 +189,49 @@ def precipitation_mean(grid: DataFrame, band: str = "tp", weight: Column | None
     """National hourly precipitation (mm) from a band in metres."""
     mean = spatial_mean(grid, values.metres_to_mm(band), "valid_time", weight)
     return mean.select(F.col("valid_time").alias("ts"), F.col("value").alias("avg_de_precipitation_mm"))
+
+
+# --- capacity factors, potential, fleet ------------------------------------------------------
+
+def load_factor_parts(factors: DataFrame, root: str, kind: str, technology: str) -> list[str]:
+    """Factors `(ts, zone_id, cf)` by decade; a stored decade is final. Returns the new ones."""
+    parts = factors.withColumn("decade", zone_csv.decade_of("ts"))
+    return sinks.write_missing_parts(parts, f"{root.rstrip('/')}/kind={kind}/technology={technology}", "decade")
+
+
+def refresh_country_factors(spark: SparkSession, parts: str, mask: DataFrame, weights: DataFrame, root: str) -> None:
+    """Country product from the stored parts (solar an hour back, to true UTC) and its German slice."""
+    solar = zone_csv.read_factor_parts(spark, parts, "solar").select(shift_hours("ts", -1).alias("ts"), F.col("zone_id").alias("country"), "technology", "cf")
+    onshore, offshore = (zone_csv.read_factor_parts(spark, parts, kind).select("ts", "zone_id", "cf") for kind in ("wind_onshore", "wind_offshore"))
+    path = f"{root}/pecd_country_capacity_factors_simple"
+    sinks.replace_table(country.country_product(solar, onshore, offshore, mask, weights), path)
+    sinks.replace_table(country.country_slice(spark.read.parquet(path), "DE"), f"{path}_de")
+
+
+def refresh_fleet(
+    spark: SparkSession, families: list[fleet.Family], solar: DataFrame, wind: DataFrame, base: DataFrame, root: str,
+    first_month: Column, last_month: Column, export_from: Column, as_of: Column,
+) -> None:
+    """Historic potential, current-fleet factors, fleet snapshot, technology base and fleet-weighted factors."""
+    sinks.replace_table(fleet.historic_potential(families, first_month, last_month, export_from), f"{root}/de_potential_historic")
+    sinks.replace_table(fleet.current_fleet_factors(families, as_of), f"{root}/de_capacity_factor_current_fleet")
+    sinks.replace_table(base, f"{root}/de_technology_capacity_factors")
+    snapshot = fleet.fleet_snapshot(solar, wind, as_of)
+    sinks.replace_table(fleet.snapshot_table(snapshot), f"{root}/de_fleet_weights_snapshot")
+    stored = spark.read.parquet(f"{root}/de_technology_capacity_factors")
+    sinks.replace_table(fleet.fleet_weighted(stored, snapshot), f"{root}/de_capacity_factors_fleet_weighted")
+
+
+# --- registry extracts -----------------------------------------------------------------------
+
+def refresh_registry(wind: DataFrame, solar: DataFrame, detail: DataFrame, storage: DataFrame, crosswalk: DataFrame, root: str) -> None:
+    """Harmonised units, solar detail, storage locations and the municipality crosswalk from landed extracts."""
+    tables = {
+        "mastr_units_wind": extracts.unit_extract(wind, "wind"),
+        "mastr_units_solar": extracts.unit_extract(solar, "solar"),
+        "mastr_solar_technical_detail": extracts.solar_detail_extract(detail),
+        "mastr_storage_location_ids": extracts.storage_location_extract(storage),
+        "lau_nuts_correspondence": extracts.crosswalk(crosswalk),
+    }
+    for name, df in tables.items():
+        sinks.replace_table(df, f"{root}/{name}")
