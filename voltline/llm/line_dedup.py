@@ -106,9 +106,10 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", s
                     continue
                 lines, at, _ = line_hashes(body)
                 gone = np.zeros(len(at) + 1, np.int64)
-                found = [s for s in found if s + size <= len(at)]  # of another row with this key
+                found = np.array(found, np.int64)
+                found = found[found + size <= len(at)]  # others are of another row with this key
                 np.add.at(gone, found, 1)
-                np.add.at(gone, np.minimum(np.array(found) + size, len(at)), -1)
+                np.add.at(gone, found + size, -1)
                 out = set(at[np.cumsum(gone)[:-1] > 0].tolist())
                 texts.append("\n".join(x for i, x in enumerate(lines) if i not in out))
                 counts.append(len(at))
