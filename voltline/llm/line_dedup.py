@@ -90,7 +90,9 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", s
     """
     plain = documents
     starts = stored(repeated_windows(stored(window_rows(plain, key, text, size))))
-    joined = plain.join(starts.select(F.col("key").alias("_k"), F.col("starts").alias("_starts")), F.col(key) == F.col("_k"), "left").drop("_k")
+    # marks grow with the corpus: joined by sort and merge at every size
+    marks = starts.select(F.col("key").alias("_k"), F.col("starts").alias("_starts")).hint("merge")
+    joined = plain.join(marks, F.col(key) == F.col("_k"), "left").drop("_k")
     names = plain.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
