@@ -422,6 +422,23 @@ def test_chains_are_the_best():
         assert sorted(i for _, path in got for i in path) == list(range(len(x)))
 
 
+def test_second_passage_after_a_long_one():
+    """A long chain far behind doesn't hide near predecessors."""
+    x = np.array([*range(0, 161, 8), *range(400, 496, 8)])
+    got = chain_dedup.chains(x, x, 8, 0.1, 60)
+    assert sorted(len(path) for _, path in got) == [12, 21]
+    rng = random.Random(12)
+    for _ in range(40):
+        k = 4
+        x, y = (np.array(c) for c in zip(*sorted({(rng.randrange(400), rng.randrange(400)) for _ in range(rng.randrange(1, 60))} | {(i, i + 3) for i in range(0, 90, 6)})))
+        best = []
+        for j in range(len(x)):
+            steps = [best[i] + min(k, x[j] - x[i], y[j] - y[i]) - 0.1 * (max(0, x[j] - x[i] - k) + max(0, y[j] - y[i] - k)) for i in range(j) if 0 < x[j] - x[i] <= 60 and 0 < y[j] - y[i] <= 60]
+            best.append(max([float(k), *steps]))
+        got = chain_dedup.chains(x, y, k, 0.1, 60)
+        assert math.isclose(got[0][0], max(best)) and sorted(i for _, path in got for i in path) == list(range(len(x)))
+
+
 # --- 8 ----------------------------------------------------------------------------------------
 
 
