@@ -422,6 +422,18 @@ def test_chains_are_the_best():
         assert sorted(i for _, path in got for i in path) == list(range(len(x)))
 
 
+def test_passage_held_twice(spark):
+    """Every place of a seed counts, in the later document and in the earlier one."""
+    rng = random.Random(31)
+    passage, other, phrase = words(rng, 60, 10_000), words(rng, 60, 10_000), words(rng, 12, 10_000)
+    fill = [words(rng, 80, 10_000) for _ in range(8)]
+    rows = [(1, f"{fill[0]} {passage} {fill[1]}"), (2, f"{passage} {fill[2]} {passage} {fill[3]} {passage}")]
+    rows += [(3, f"{phrase} {fill[4]} {other[:200]} {phrase} {other[200:]}"), (4, f"{phrase} {fill[5]} {phrase} {fill[6]} {other[:200]} {phrase} {other[200:]}")]
+    got = {r["doc_id"]: r for r in chain_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2]["n_passages"] == 3 and 180 <= got[2]["n_repeated"] <= 186 and got[2]["others"] == [1]
+    assert 70 <= got[4]["n_repeated"] <= 76 and got[4]["others"] == [3]
+
+
 def test_second_passage_after_a_long_one():
     """A long chain far behind doesn't hide near predecessors."""
     x = np.array([*range(0, 161, 8), *range(400, 496, 8)])
