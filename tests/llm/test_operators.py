@@ -429,9 +429,26 @@ def test_passage_held_twice(spark):
     fill = [words(rng, 80, 10_000) for _ in range(8)]
     rows = [(1, f"{fill[0]} {passage} {fill[1]}"), (2, f"{passage} {fill[2]} {passage} {fill[3]} {passage}")]
     rows += [(3, f"{phrase} {fill[4]} {other[:200]} {phrase} {other[200:]}"), (4, f"{phrase} {fill[5]} {phrase} {fill[6]} {other[:200]} {phrase} {other[200:]}")]
+    rows += [(5, "tail " * 3000), (6, fill[7] + " " + "tail " * 2000)]
     got = {r["doc_id"]: r for r in chain_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[2]["n_passages"] == 3 and 180 <= got[2]["n_repeated"] <= 186 and got[2]["others"] == [1]
     assert 70 <= got[4]["n_repeated"] <= 76 and got[4]["others"] == [3]
+    assert got[6]["n_repeated"] >= 1900 and got[6]["others"] == [5]
+
+
+def test_passage_whose_halves_are_elsewhere_first(spark, monkeypatch):
+    """Pairs are found although all their seeds stood in other documents first; long lists in blocks too."""
+    monkeypatch.setattr(chain_dedup, "BLOCK_PLACES", 4)
+    rng = random.Random(32)
+    parts = [words(rng, 22, 10_000) for _ in range(4)]
+    passage = " ".join(parts)
+    rows = [(i, f"{words(rng, 60, 10_000)} {part} {words(rng, 60, 10_000)}") for i, part in enumerate(parts)]
+    rows += [(i, f"{words(rng, 50, 10_000)} {passage} {words(rng, 50, 10_000)}") for i in range(10, 22)]
+    rows += [(30, rows[5][1])]
+    got = {r["doc_id"]: r for r in chain_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["others"] == list(range(10, i)) for i in range(11, 22)) and all(got[i]["others"] == [] for i in (0, 1, 2, 3, 10))
+    assert all(88 <= got[i]["n_repeated"] <= 94 for i in range(11, 22))
+    assert got[30]["others"] == [11] and got[30]["n_repeated"] == 188
 
 
 def test_second_passage_after_a_long_one():
