@@ -451,6 +451,25 @@ def test_passage_whose_halves_are_elsewhere_first(spark, monkeypatch):
     assert got[30]["others"] == [11] and got[30]["n_repeated"] == 188
 
 
+def test_recall_of_edited_passages(spark):
+    """Passages of 30 to 60 words with an edit every 6 to 10 words, and exact ones of 30 to 38, are all found."""
+    rng = random.Random(33)
+    rows, planted = [], {}
+    for i in range(240):
+        passage = words(rng, rng.randrange(30, 61), 10_000).split()
+        step = rng.randrange(6, 11)
+        edited = [f"edit{rng.randrange(10**6)}" if j % step == step // 2 and 0 < j < len(passage) - 1 else w for j, w in enumerate(passage)]
+        if i % 4 == 0:
+            passage = edited = passage[: rng.randrange(30, 39)] if len(passage) > 38 else passage
+        if sum(a == b for a, b in zip(passage, edited)) >= 0.7 * len(passage):
+            planted[1000 + i] = i, len(passage)
+        rows += [(key, f"{words(rng, 60, 10_000)} {' '.join(p)} {words(rng, 60, 10_000)}") for key, p in ((i, passage), (1000 + i, edited))]
+    got = {r["doc_id"]: r for r in chain_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(planted) == 240
+    missed = [k for k, (other, n) in planted.items() if got[k]["others"] != [other] or abs(got[k]["n_repeated"] - n) > 4]
+    assert missed == []
+
+
 def test_second_passage_after_a_long_one():
     """A long chain far behind doesn't hide near predecessors."""
     x = np.array([*range(0, 161, 8), *range(400, 496, 8)])
