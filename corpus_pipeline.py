@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from voltline.llm.decontaminate import tilings
 from voltline.llm.line_dedup import dedup_lines
 from voltline.llm.line_quality import apply_rules
-from voltline.llm.mixing import mix_sources
+from voltline.llm.mixing import mix_texts
 from voltline.llm.ngram_join import join_by_shingles
 from voltline.llm.store import stored
 
@@ -44,8 +44,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes."""
-    return mix_sources(docs).drop("n_chars")
+    """The texts and which pieces of them each shard of the mix holds, in which slots."""
+    return mix_texts(docs).drop("n_chars")
 
 
 STAGES = [

@@ -599,6 +599,29 @@ def test_mix(spark, docs, empty):
     assert mixing.mix_sources(docs).count() == len(corpus()) and mixing.mix_sources(empty).count() == 0
 
 
+def test_mixed_blocks(spark, empty):
+    """Shards hold the words that the counts promise, and pieces say where."""
+    rng = random.Random(34)
+    rows = [(i, words(rng, rng.randrange(0, 90), 10**6), rng.choice(["a", "b", "b", "b", None])) for i in range(120)] + [(500, None, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    blocks = {(r["source"], r["slot"]): r for r in mixing.mixed_blocks(df, block_words=16, shards=5).collect()}
+    out = mixing.mix_texts(df, block_words=16, shards=5).collect()
+    assert {r["doc_id"]: r["taken"] for r in mixing.mix_sources(df, block_words=16, shards=5).collect()} == {r["doc_id"]: r["taken"] for r in out}
+    assert {r["doc_id"]: r["text"] for r in out} == {r[0]: r[1] for r in rows}
+    held = collections.Counter()
+    for r in out:
+        assert r["taken"] == sum(p["n_words"] for p in r["pieces"])
+        for p in r["pieces"]:
+            block = blocks[r["source"], p["slot"]]
+            piece = r["text"].split()[p["first"] : p["first"] + p["n_words"]]
+            assert block["shard"] == p["shard"] and len(piece) == p["n_words"] and f" {' '.join(piece)} " in f" {block['text']} "
+            held[r["source"], p["slot"]] += p["n_words"]
+    assert held == {k: len(b["text"].split()) for k, b in blocks.items()} and {b["shard"] for b in blocks.values()} == set(range(5))
+    other = {(r["source"], r["slot"]): r["shard"] for r in mixing.mixed_blocks(df, block_words=16, shards=3).collect()}
+    assert other.keys() == blocks.keys() and set(other.values()) == set(range(3))
+    assert mixing.mixed_blocks(empty).count() == 0
+
+
 def test_permutation(spark):
     df = spark.range(1000).select(mixing.permuted(F.col("id"), F.lit(1000), F.lit(7)).alias("p"), "id")
     got = [r["p"] for r in df.orderBy("id").collect()]

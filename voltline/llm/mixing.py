@@ -4,7 +4,8 @@ Each source's texts form one stream of words, cut into blocks of `block_words`.
 quota of blocks is dealt to output shards by multinomial draws; the slots that a shard gets
 run on from the last shard's and are mapped to blocks through a pseudorandom permutation
 of the source's block numbers, a new one for each pass over the source; a join by block
-number fetches the blocks.
+number fetches the blocks. mixed_blocks() gives the blocks of every shard with their words,
+mix_texts() where each text's pieces go, mix_sources() how many words of each text are taken.
 """
 
 from __future__ import annotations
@@ -21,12 +22,13 @@ SEED = 20_240_601
 #: Groups that a source's documents are dealt to, so that no task holds a whole source.
 LANES = 1024
 _DRAWS = 4096
+_WORD = r"[^\x20\x09-\x0D]+"
 _ROUNDS = 24
 
 
 def n_words(text: str = "text") -> Column:
     """Runs of bytes other than space and \\x09-\\x0D; NULL has none."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(_WORD)), F.lit(0)).cast("long")
 
 
 def source_targets(sizes: DataFrame, source: str = "source", size: str = "size", most: int = MOST_PASSES) -> DataFrame:
@@ -61,14 +63,15 @@ def permuted(slot: Column, n: Column, key: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(_ROUNDS)), slot.cast("long"), turn)
 
 
-def pack(documents: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
-    """`documents` without the text, with size, _source, _row and _begin: the place of each text in its source's stream.
+def pack(documents: DataFrame, text: str = "text", source: str = "source", keep: bool = False) -> DataFrame:
+    """`documents` (without the text, if it isn't to be kept), with size, _source, _row and _begin: the place of each text in its source's stream.
 
     A running sum over a whole source would be one task; rows are dealt to LANES groups of
     each source, groups get offsets from their sums, and sums run inside groups only.
     """
     lane = F.pmod(F.xxhash64("_row"), F.lit(LANES))
-    sized = documents.withColumn("size", n_words(text)).withColumn("_row", F.monotonically_increasing_id()).drop(text)
+    sized = documents.withColumn("size", n_words(text)).withColumn("_row", F.monotonically_increasing_id())
+    sized = sized if keep else sized.drop(text)
     dealt = stored(sized).withColumn("_source", F.col(source)).withColumn("_lane", lane)
     lanes = dealt.groupBy("_source", "_lane").agg(F.sum("size").alias("_sum"))
     offsets = lanes.select(F.col("_source").alias("_s"), F.col("_lane").alias("_l"), (F.sum("_sum").over(Window.partitionBy("_source").orderBy("_lane")) - F.col("_sum")).alias("_offset"))
@@ -96,27 +99,64 @@ def draw_slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shards: int =
     return slots.select("shard", "source", "slot", permuted(F.pmod("slot", "_blocks"), F.col("_blocks"), F.xxhash64(F.lit(seed), "source", turn)).alias("block"))
 
 
+def cut_blocks(packed: DataFrame, block_words: int) -> DataFrame:
+    """_row, _s, _b, _at (place in the stream), _first (place in the text), _n: the pieces of each text by blocks of its source."""
+    last = F.col("_begin") + F.col("size")
+    blocks = F.sequence(F.floor(F.col("_begin") / block_words), F.floor((last - 1) / block_words))
+    parts = packed.filter("size > 0").select("_row", F.col("_source").alias("_s"), "_begin", last.alias("_last"), F.explode(blocks).alias("_b"))
+    at = F.greatest(F.col("_begin"), F.col("_b") * block_words)
+    return parts.select("_row", "_s", "_b", at.alias("_at"), (at - F.col("_begin")).alias("_first"), (F.least("_last", (F.col("_b") + 1) * block_words) - at).alias("_n"))
+
+
+def _slots(packed: DataFrame, block_words: int, shards: int, most: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    targets = source_targets(packed.select(F.col("_source").alias("source"), "size"), most=most)
+    return targets, draw_slots(targets, block_words, shards, most, seed)
+
+
+def mixed_blocks(documents: DataFrame, text: str = "text", source: str = "source", block_words: int = BLOCK_WORDS, shards: int = SHARDS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
+    """shard, source, slot, block, text: the mix itself, a row for each slot with the words of its block.
+
+    Words are joined by single spaces; further columns are not read. A shard's rows by source and
+    slot are its part of the corpus. An empty table gives no rows.
+    """
+    packed = stored(pack(documents.select(F.col(text).alias("text"), F.col(source).alias("source")), keep=True))
+    _, slots = _slots(packed, block_words, shards, most, seed)
+    words = packed.select("_row", F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)).alias("_words"))
+    pieces = cut_blocks(packed, block_words).join(words, "_row").select("_s", "_b", F.struct("_at", F.array_join(F.slice("_words", (F.col("_first") + 1).cast("int"), F.col("_n").cast("int")), " ").alias("p")).alias("x"))
+    blocks = pieces.groupBy("_s", "_b").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["p"]), " ").alias("text"))
+    joined = slots.join(blocks.hint("merge"), F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")))
+    return joined.select("shard", "source", "slot", "block", "text")
+
+
+def _mixed(documents: DataFrame, text: str, source: str, block_words: int, shards: int, most: int, seed: int, whole: bool) -> DataFrame:
+    packed = pack(documents, text, source, keep=whole)
+    targets, slots = _slots(packed, block_words, shards, most, seed)
+    parts = cut_blocks(packed, block_words)
+    # planned by the size of the few rows of targets that slots come from, the slots would be broadcast
+    pieces = parts.join(slots.select("shard", F.col("source").alias("_p"), "slot", "block").hint("merge"), F.col("_s").eqNullSafe(F.col("_p")) & (F.col("_b") == F.col("block")))
+    totals = [F.sum("_n").alias("taken")]
+    if whole:
+        totals.append(F.array_sort(F.collect_list(F.struct("shard", "slot", F.col("_first").alias("first"), F.col("_n").alias("n_words")))).alias("pieces"))
+    out = packed.join(pieces.groupBy(F.col("_row").alias("_r")).agg(*totals), F.col("_row") == F.col("_r"), "left")
+    goal = targets.select(F.col("source").alias("_s"), "source_size", "target")
+    out = out.join(goal, F.col("_source").eqNullSafe(F.col("_s")), "left")
+    more = [F.coalesce("pieces", F.array().cast("array<struct<shard:bigint,slot:bigint,first:bigint,n_words:bigint>>")).alias("pieces")] if whole else []
+    return out.select(*[c for c in documents.columns if whole or c != text], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *more)
+
+
 @shields("size", "source_size", "target", "taken")
 def mix_sources(documents: DataFrame, text: str = "text", source: str = "source", block_words: int = BLOCK_WORDS, shards: int = SHARDS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
     """All columns of `documents` but the text, then size, source_size, target, taken.
 
-    size: words of the text (NULL: 0). taken: words of it in the mix, repeats counted; at most
+    size: words of the text (NULL: 0). taken: words of it in the shards, repeats counted; at most
     `most` times its size, as no block is taken more often. Empty texts are kept with 0. A NULL
     source is a source. Repeated rows are texts of their own. An empty table gives no rows.
     Columns that have the names of added ones are replaced. The same table gives the same mix.
     """
-    packed = pack(documents, text, source)
-    targets = source_targets(packed.select(F.col("_source").alias("source"), "size"), most=most)
-    slots = draw_slots(targets, block_words, shards, most, seed)
-    uses = slots.groupBy(F.col("source").alias("_s"), F.col("block").alias("_b")).agg(F.count("*").alias("_uses"))
-    last = F.col("_begin") + F.col("size")
-    blocks = F.sequence(F.floor(F.col("_begin") / block_words), F.floor((last - 1) / block_words))
-    parts = packed.filter("size > 0").select("_row", "_source", "_begin", "size", F.explode(blocks).alias("_block"))
-    words = F.least(last, (F.col("_block") + 1) * block_words) - F.greatest(F.col("_begin"), F.col("_block") * block_words)
-    # planned by the size of the few rows of targets that slots come from, the uses would be broadcast
-    joined = parts.join(uses.hint("merge"), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
-    taken = joined.groupBy(F.col("_row").alias("_r")).agg(F.sum(words * F.col("_uses")).alias("taken"))
-    out = packed.join(taken, F.col("_row") == F.col("_r"), "left")
-    goal = targets.select(F.col("source").alias("_s"), "source_size", "target")
-    out = out.join(goal, F.col("_source").eqNullSafe(F.col("_s")), "left")
-    return out.select(*[c for c in documents.columns if c != text], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return _mixed(documents, text, source, block_words, shards, most, seed, False)
+
+
+@shields("size", "source_size", "target", "taken", "pieces")
+def mix_texts(documents: DataFrame, text: str = "text", source: str = "source", block_words: int = BLOCK_WORDS, shards: int = SHARDS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
+    """As mix_sources(), but with the text and, last, pieces: shard, slot, first and n_words of each piece of the text that a shard holds."""
+    return _mixed(documents, text, source, block_words, shards, most, seed, True)
