@@ -357,6 +357,19 @@ def test_line_dedup(spark, docs, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_of_long_lines(spark):
+    """With least_words, repeats of one and two long lines go, shorter ones stay."""
+    rng = random.Random(35)
+    one, short = words(rng, 60, 10_000), words(rng, 40, 10_000)
+    two = [words(rng, 30, 10_000), words(rng, 20, 10_000)]
+    fill = [words(rng, 30, 10_000) for _ in range(6)]
+    texts = {1: [one], 2: [fill[0], one], 3: [*two, fill[1]], 4: [fill[2], *two], 5: [one], 6: [short], 7: [short, fill[3]], 8: [two[0], fill[4]], 9: [fill[5], one.upper(), "", *two]}
+    df = spark.createDataFrame([(k, "\n".join(t)) for k, t in texts.items()], "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["n_removed_lines"]) for r in line_dedup.dedup_lines(df, least_words=50).collect()}
+    want = {k: ("\n".join(t), 0) for k, t in texts.items()} | {2: (fill[0], 1), 4: (fill[2], 2), 5: ("", 1), 9: (fill[5] + "\n", 3)}
+    assert got == want
+
+
 # --- 6 ----------------------------------------------------------------------------------------
 
 

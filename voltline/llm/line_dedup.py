@@ -5,6 +5,7 @@ run of `window` lines or more that occurs twice has the same windows in both pla
 same fingerprints: every repeat is found through a fingerprint that occurs more than once. From
 such places the search goes both ways over all windows that chose the fingerprint; a window
 that began earlier somewhere is repeated, and neighbouring repeated windows make up the run.
+Where runs are measured in words too, shorter windows with words enough are their own fingerprints.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from .store import shields, stored
 from .words import as_long, mix
 
 WINDOW = 3
+#: Words of a passage that is a repeat whatever its lines, where runs are measured in words too.
+PASSAGE_WORDS = 50
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,18 +50,39 @@ def windows(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.n
     return whole, hashes[place], np.concatenate([[True], place[1:] != place[:-1]])
 
 
-def window_rows(documents: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """whole, print, fresh, key, start: a row for every window of every text."""
+def long_windows(hashes: np.ndarray, counts: np.ndarray, size: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and starts of the windows of `size` lines with so many words or more."""
+    n = len(hashes) - size + 1
+    if n < 1:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    total = np.concatenate([[0], np.cumsum(counts)])
+    starts = np.flatnonzero(total[size:] - total[:-size] >= least_words)
+    whole = np.full(len(starts), size, np.uint64)
+    for i in range(size):
+        whole = mix(whole * _BASE + hashes[starts + i])
+    return whole, starts
+
+
+def window_rows(documents: DataFrame, key: str, text: str, size: int, least_words: int | None = None) -> DataFrame:
+    """whole, print, fresh, key, start: a row for every window of every text; start is the first line times `size`, plus the lines after it in the window."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, owner, starts = [], [], []
             for k, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = windows(line_hashes(body.as_py())[2], size)
+                lines, at, hashes = line_hashes(body.as_py())
+                found = windows(hashes, size)
                 if len(found[0]):
                     parts.append(found)
                     owner.append(np.full(len(found[0]), k))
-                    starts.append(np.arange(len(found[0]), dtype=np.int32))
+                    starts.append(np.arange(len(found[0]), dtype=np.int32) * size + size - 1)
+                counts = np.array([len(lines[i].encode().split()) for i in at] if least_words else [], np.int64)
+                for fewer in range(1, size if least_words else 1):
+                    whole, first = long_windows(hashes, counts, fewer, least_words)
+                    if len(whole):
+                        parts.append((whole, whole, np.ones(len(whole), bool)))
+                        owner.append(np.full(len(whole), k))
+                        starts.append((first * size + fewer - 1).astype(np.int32))
             if parts:
                 whole, print_, fresh = (np.concatenate(x) for x in zip(*parts, strict=True))
                 yield pa.RecordBatch.from_arrays([as_long(whole), as_long(print_), pa.array(fresh), pa.array(np.concatenate(owner)), pa.array(np.concatenate(starts))], names=["whole", "print", "fresh", "key", "start"])
@@ -77,11 +101,12 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
 
 
 @shields("n_lines", "n_removed_lines")
-def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = WINDOW) -> DataFrame:
+def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = WINDOW, least_words: int | None = None) -> DataFrame:
     """All columns of `documents`, its text without repeated runs, then n_lines and n_removed_lines (long).
 
     A line with a word goes if a run of `size` such lines that holds it also begins earlier: in a
-    document with a smaller key, or further up in its own. Comparison is on the input, not on
+    document with a smaller key, or further up in its own. With `least_words` so does a run of fewer
+    lines that has so many words. Comparison is on the input, not on
     what is left. Lines without a word are not counted, break no run and stay. NULL and empty
     texts stay as they are; a document of which nothing is left stays with what blank lines it
     had. Rows with equal keys are taken for one document and share its marks. Rows with a NULL
@@ -89,7 +114,7 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", s
     replaced.
     """
     plain = documents
-    starts = stored(repeated_windows(stored(window_rows(plain, key, text, size))))
+    starts = stored(repeated_windows(stored(window_rows(plain, key, text, size, least_words))))
     # marks grow with the corpus: joined by sort and merge at every size
     marks = starts.select(F.col("key").alias("_k"), F.col("starts").alias("_starts")).hint("merge")
     joined = plain.join(marks, F.col(key) == F.col("_k"), "left").drop("_k")
@@ -108,10 +133,10 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", s
                     continue
                 lines, at, _ = line_hashes(body)
                 gone = np.zeros(len(at) + 1, np.int64)
-                found = np.array(found, np.int64)
-                found = found[found + size <= len(at)]  # others are of another row with this key
-                np.add.at(gone, found, 1)
-                np.add.at(gone, found + size, -1)
+                first, more = np.divmod(np.array(found, np.int64), size)
+                fits = first + more < len(at)  # others are of another row with this key
+                np.add.at(gone, first[fits], 1)
+                np.add.at(gone, first[fits] + more[fits] + 1, -1)
                 out = set(at[np.cumsum(gone)[:-1] > 0].tolist())
                 texts.append("\n".join(x for i, x in enumerate(lines) if i not in out))
                 counts.append(len(at))
