@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chain_dedup, ctw, decontaminate, language_id, line_dedup, line_quality, mixing, ngram_join, suffix_dedup, token_counts
+from . import byte_bpe, chain_dedup, ctw, decontaminate, language_id, line_dedup, line_quality, mixing, ngram_join, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -135,3 +135,12 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     model = language_id.fit(docs.filter(training), vocabulary)
     out = language_id.identify(docs.select("doc_id", "text"), model, vocabulary)
     return out.select("doc_id", (~training).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text as ids of a byte-level vocabulary, and those ids as bytes again."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokens = byte_bpe.encode(documents(spark, folder).select("doc_id", "text"), ranks)
+    counted = tokens.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), byte_bpe.digest(F.col("ids")).alias("ids_sha256"))
+    return byte_bpe.decode(counted, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -62,7 +62,10 @@ def shields(*added: str) -> Callable:
             bound = inspect.signature(operator).bind(documents, *args, **options)
             bound.apply_defaults()
             used = {bound.arguments[n] for n in _USED if n in bound.arguments}
-            hidden = {c: f"_extra_{i}" for i, c in enumerate(documents.columns) if c not in used}
+            stem = "_extra"
+            while any(c.lower().startswith(stem) for c in documents.columns):
+                stem += "_"
+            hidden = {c: f"{stem}_{i}" for i, c in enumerate(documents.columns) if c not in used}
             out = operator(documents.withColumnsRenamed(hidden), *args, **options)
             new = {c.lower() for c in added}
             out = out.drop(*[h for c, h in hidden.items() if c.lower() in new])
