@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chain_dedup, ctw, decontaminate, language_id, line_dedup, line_quality, mixing, ngram_join, suffix_dedup, token_counts
+from . import byte_bpe, chain_dedup, ctw, decontaminate, language_id, line_dedup, line_quality, mixing, ngram_join, periodic_runs, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +144,31 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     tokens = byte_bpe.encode(documents(spark, folder).select("doc_id", "text"), ranks)
     counted = tokens.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), byte_bpe.digest(F.col("ids")).alias("ids_sha256"))
     return byte_bpe.decode(counted, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in one document of ten the words from a place on repeat some words of that place, by its key."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("w"))
+    g, n = F.floor(F.col("h") / 10), F.size("w")
+    placed = split.withColumn("a", F.when(n > 0, (g % n).cast("int"))).withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    repeated = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of repeated words in every text, and what is left where each run keeps its first period."""
+    out = periodic_runs.find_runs(planted_runs(documents(spark, folder)))
+    longest = F.reduce(
+        "runs",
+        F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>"),
+        lambda best, r: F.when(best.isNull() | (r["length"] > best["length"]), r).otherwise(best),
+    )
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = out.withColumn("best", longest)
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
