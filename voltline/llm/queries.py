@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chain_dedup, ctw, decontaminate, language_id, line_dedup, line_quality, mixing, ngram_join, periodic_runs, suffix_dedup, token_counts
+from . import byte_bpe, chain_dedup, ctw, decontaminate, language_id, line_dedup, line_quality, mixing, ngram_join, periodic_runs, suffix_dedup, token_alignment, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -172,3 +172,11 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of two public vocabularies aligned in every text, with how often the corpus links each pair."""
+    out = token_alignment.align_tokenizers(documents(spark, folder).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return out.withColumn("groups_sha256", digest).drop("groups")
