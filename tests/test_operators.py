@@ -334,3 +334,27 @@ def test_grid_index_of_missing_and_far_values(spark):
 
     df = spark.createDataFrame([(None,), (float("nan"),), (1e300,), (-1e300,), (2.4,)], "v double")
     assert [r[0] for r in df.select(grid_index("v", 0.0, 1.0, 5)).collect()] == [None, None, 4, 0, 2]
+
+
+def test_intervals_of_thirty_years_conserve_totals(spark):
+    rng = random.Random(11)
+    start = ts("1965-03-01 00:00:00")  # hours before 1970 too
+    data = [(start + dt.timedelta(seconds=rng.randrange(10**9)), rng.randrange(1, 30 * 365 * 86_400), rng.uniform(-5, 50)) for _ in range(60)]
+    intervals = [("a", s, s + dt.timedelta(seconds=n), v) for s, n, v in data]
+    df = spark.createDataFrame(intervals, "k string, s timestamp_ntz, e timestamp_ntz, v double")
+    out = distribute_to_hours(df, "s", "e", "v", ["k"])
+    got = {r["hour"]: r["value"] for r in out.collect()}
+    want = brute_hours([i[1:] for i in rng.sample(intervals, 60)])
+    assert set(got) == set(want) and all(math.isclose(got[h], want[h], rel_tol=1e-9, abs_tol=1e-9) for h in want)
+    assert math.isclose(sum(got.values()), sum(v for *_, v in data), rel_tol=1e-9)
+
+
+def test_long_intervals_are_few_rows(spark):
+    """An interval of n hours becomes at most 2 log2(n) + 4 rows before they are summed."""
+    start = ts("1990-01-01 00:30:00")
+    df = spark.createDataFrame([(start + i * H, start + (i + 150_000) * H, 1.0) for i in range(200)], "s timestamp_ntz, e timestamp_ntz, v double")
+    out = distribute_to_hours(df, "s", "e", "v")
+    out.write.format("noop").mode("overwrite").save()
+    assert out.count() == 150_200
+    plan = out.select("hour")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") >= 4 and "Window" not in plan and plan.count("LogicalRDD") == 1

@@ -69,24 +69,40 @@ REDISPATCH_SOURCES = [
     "Biomasse", "Pumpspeicher", "Wasserkraft", "Sonstige_Erneuerbare", "Sonstige_Konventionelle", "Unbekannt",
 ]
 
-# Known, investigated gaps: (stamps, reason), then which series have them.
-_AUTUMN_SUNDAYS = {2015: "2015-10-25 00:00", 2016: "2016-10-30 00:00", 2017: "2017-10-29 00:00"}
-_EVENINGS_BEFORE = ["2023-10-28 22:00", "2024-10-26 22:00", "2025-10-25 22:00"]
-_LOAD_NULLS = ["2018-10-08 16:00", "2018-10-28 01:00", "2018-10-30 11:00"]
+# Known, investigated gaps as (series, stamp, reason).
 KNOWN_HOURLY_GAPS = [
-    ("smard_load", _LOAD_NULLS, "null at source"),
-    ("smard_consumption_residual_load", _LOAD_NULLS, "null at source, inherited from the load"),
-    ("smard_capacity_wind_onshore", [_AUTUMN_SUNDAYS[2017]], "absent at source on the autumn clock change"),
-    ("smard_capacity_natural_gas", [_AUTUMN_SUNDAYS[2016], _AUTUMN_SUNDAYS[2017]], "absent at source on the autumn clock change"),
-    ("smard_capacity_wind_offshore", list(_AUTUMN_SUNDAYS.values()), "absent at source on the autumn clock change"),
-    ("smard_capacity_brown_coal", list(_AUTUMN_SUNDAYS.values()), "absent at source on the autumn clock change"),
-    ("smard_capacity_hard_coal", list(_AUTUMN_SUNDAYS.values()), "absent at source on the autumn clock change"),
-    ("smard_capacity_pumped_storage", list(_AUTUMN_SUNDAYS.values()), "absent at source on the autumn clock change"),
-    ("smard_forecast_onshore", _EVENINGS_BEFORE, "absent at source on the evening before the autumn clock change"),
-    ("smard_forecast_solar", _EVENINGS_BEFORE, "absent at source on the evening before the autumn clock change"),
-    ("smard_forecast_wind_solar", _EVENINGS_BEFORE, "absent at source on the evening before the autumn clock change"),
+    ("smard_load", "2018-10-08 16:00", "null at source"),
+    ("smard_load", "2018-10-28 01:00", "null at source"),
+    ("smard_load", "2018-10-30 11:00", "null at source"),
+    ("smard_capacity_wind_onshore", "2017-10-29 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_wind_offshore", "2015-10-25 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_wind_offshore", "2016-10-30 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_wind_offshore", "2017-10-29 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_brown_coal", "2015-10-25 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_brown_coal", "2016-10-30 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_brown_coal", "2017-10-29 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_hard_coal", "2015-10-25 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_hard_coal", "2016-10-30 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_hard_coal", "2017-10-29 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_natural_gas", "2016-10-30 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_natural_gas", "2017-10-29 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_pumped_storage", "2015-10-25 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_pumped_storage", "2016-10-30 00:00", "absent at source on the autumn clock change"),
+    ("smard_capacity_pumped_storage", "2017-10-29 00:00", "absent at source on the autumn clock change"),
+    ("smard_forecast_onshore", "2023-10-28 22:00", "absent at source on the evening before the autumn clock change"),
+    ("smard_forecast_onshore", "2024-10-26 22:00", "absent at source on the evening before the autumn clock change"),
+    ("smard_forecast_onshore", "2025-10-25 22:00", "absent at source on the evening before the autumn clock change"),
+    ("smard_forecast_solar", "2023-10-28 22:00", "absent at source on the evening before the autumn clock change"),
+    ("smard_forecast_solar", "2024-10-26 22:00", "absent at source on the evening before the autumn clock change"),
+    ("smard_forecast_solar", "2025-10-25 22:00", "absent at source on the evening before the autumn clock change"),
+    ("smard_forecast_wind_solar", "2023-10-28 22:00", "absent at source on the evening before the autumn clock change"),
+    ("smard_forecast_wind_solar", "2024-10-26 22:00", "absent at source on the evening before the autumn clock change"),
+    ("smard_forecast_wind_solar", "2025-10-25 22:00", "absent at source on the evening before the autumn clock change"),
+    ("smard_consumption_residual_load", "2018-10-08 16:00", "null at source, inherited from the load"),
+    ("smard_consumption_residual_load", "2018-10-28 01:00", "null at source, inherited from the load"),
+    ("smard_consumption_residual_load", "2018-10-30 11:00", "null at source, inherited from the load"),
 ]
-KNOWN_DAILY_GAPS = [("fcr_capacity_price", ["2021-10-03 00:00"], "absent from the source's own monthly file")]
+KNOWN_DAILY_GAPS = [("fcr_capacity_price", "2021-10-03 00:00", "absent from the source's own monthly file")]
 
 # Series whose gaps are a known trait of the source: warn, do not fail.
 WARN_ONLY_SERIES = ["nrv_saldo"]

@@ -9,6 +9,7 @@ from ..functions.timeutil import epoch_hour_to_utc, epoch_micros
 
 _SECOND = 1_000_000
 _HOUR = 3600 * _SECOND
+_STRETCH = 1024
 
 
 def distribute_to_hours(df: DataFrame, start: str, end: str, value: str, keys: list[str] | None = None) -> DataFrame:
@@ -18,10 +19,12 @@ def distribute_to_hours(df: DataFrame, start: str, end: str, value: str, keys: l
     are taken to be whole seconds: the last hour is that of `end` - 1 s), and only
     hours that some interval touches come out, as `(keys, hour, value)`.
 
-    Whatever its length, an interval gives a row for each hour of a day that it covers
-    in part and one for each day that it covers whole; whole days are summed as days,
-    after a map-side combine, before they become hours. All is DOUBLE, no running total
-    is kept, and no task needs an order.
+    The whole hours of an interval are cut into dyadic blocks: 2^k hours that begin at
+    a multiple of 2^k, at most two of a size, so an interval of n hours is about
+    2 log2(n) rows, however long it is. Blocks are summed after a map-side combine;
+    what is left is bounded by the hours of the result and the number of sizes, and
+    only then becomes hours. All is DOUBLE, no running total is kept, and no task
+    needs an order.
     """
     keys = list(keys or [])
     # Everything in between is BIGINT microseconds and hour numbers: small expressions
@@ -32,24 +35,41 @@ def distribute_to_hours(df: DataFrame, start: str, end: str, value: str, keys: l
         .withColumn("_first", _hour_number(F.col("_start")))
         .withColumn("_last", _hour_number(F.col("_end") - _SECOND))
         .filter(F.col("_last") >= F.col("_first"))
-        # the whole days are those from _dawn up to _dusk, in hours; none if the one isn't before the other
-        .withColumn("_dawn", F.col("_first") + 1 + F.pmod(-(F.col("_first") + 1), F.lit(24)))
-        .withColumn("_dusk", F.col("_last") - F.pmod(F.col("_last"), F.lit(24)))
+        # whole hours are those from _open up to _close; none if the one isn't before the other
+        .withColumn("_open", -_hour_number(-F.col("_start")))
+        .withColumn("_close", _hour_number(F.col("_end")))
     )
-    has_days = F.col("_dawn") < F.col("_dusk")
     # Cases are told apart inside the generators: as filters they would be pushed below
-    # the projections, where every use of a column repeats the work behind it.
-    edges = F.concat(F.sequence("_first", F.col("_dawn") - 1), F.sequence("_dusk", "_last"))
-    hours = F.when(has_days, edges).otherwise(F.sequence("_first", "_last"))
-    opens = F.col("_hour") * _HOUR
-    overlap = F.least(F.col("_end"), opens + _HOUR) - F.greatest(F.col("_start"), opens)
-    length = F.col("_end") - F.col("_start")
-    pieces = intervals.withColumn("_hour", F.explode(hours)).select(*keys, "_hour", (F.col("_value") * overlap / length).alias("value"))
-    days = F.when(has_days, F.sequence("_dawn", F.col("_dusk") - 24, F.lit(24).cast("bigint")))
-    whole = intervals.withColumn("_day", F.explode(days)).select(*keys, "_day", (F.col("_value") * float(_HOUR) / length).alias("value"))
-    by_day = whole.groupBy(*keys, "_day").agg(F.sum("value").alias("value"))
-    inner = by_day.withColumn("_hour", F.explode(F.sequence("_day", F.col("_day") + 23))).select(*keys, "_hour", "value")
-    hourly = pieces.unionByName(inner).groupBy(*keys, "_hour").agg(F.sum("value").alias("value"))
+    # the projections, where every use of a column repeats the work behind it. Size -1
+    # stands for the hours at both ends that are covered in part.
+    longest = F.when(F.col("_open") < F.col("_close"), F.floor(F.log2(F.col("_close") - F.col("_open"))).cast("int") + 1).otherwise(-1)
+    sizes = intervals.withColumn("_size", F.explode_outer(F.sequence(F.lit(-1), longest)))
+    low, high = F.expr("-shiftright(-_open, _size)"), F.expr("shiftright(_close, _size)")
+    edge, some, length = F.col("_size") < 0, low < high, F.col("_end") - F.col("_start")
+    inside_first = F.col("_start") < F.col("_open") * _HOUR
+
+    def block(number: Column, present: Column) -> Column:
+        return F.when(some & present, number * F.expr("shiftleft(1L, _size)"))
+
+    left_hour = F.when(edge, F.when(inside_first, F.col("_first"))).otherwise(block(low, low.bitwiseAND(F.lit(1)) == 1))
+    left_time = F.when(edge, F.least(F.col("_end"), F.col("_open") * _HOUR) - F.col("_start"))
+    right_hour = F.when(
+        edge, F.when((F.col("_last") >= F.col("_close")) & ((F.col("_last") > F.col("_first")) | ~inside_first), F.col("_last"))
+    ).otherwise(block(high - 1, high.bitwiseAND(F.lit(1)) == 1))
+    right_time = F.when(edge, F.col("_end") - F.col("_last") * _HOUR)
+
+    def piece(hour: Column, time: Column) -> Column:
+        return F.struct(hour.alias("_from"), (F.col("_value") * F.coalesce(time, F.lit(_HOUR)) / length).alias("value"))
+
+    pieces = sizes.select(
+        *keys, F.greatest("_size", F.lit(0)).alias("_size"), F.explode_outer(F.array(piece(left_hour, left_time), piece(right_hour, right_time))).alias("_piece")
+    ).select(*keys, "_size", "_piece.*")
+    blocks = pieces.filter(F.col("_from").isNotNull()).groupBy(*keys, "_size", "_from").agg(F.sum("value").alias("value"))
+    # hours in stretches, so that no array is long
+    last = F.col("_from") + F.expr("shiftleft(1L, _size)") - 1
+    stretches = blocks.withColumn("_last", last).withColumn("_at", F.explode_outer(F.sequence("_from", "_last", F.lit(_STRETCH).cast("bigint"))))
+    hours = stretches.withColumn("_hour", F.explode_outer(F.sequence("_at", F.least("_last", F.col("_at") + (_STRETCH - 1)))))
+    hourly = hours.groupBy(*keys, "_hour").agg(F.sum("value").alias("value"))
     return hourly.select(*keys, epoch_hour_to_utc("_hour").alias("hour"), "value")
 
 
