@@ -199,3 +199,117 @@ def test_swap_that_broke_off_loses_nothing(spark, folder, monkeypatch):
             sinks.replace_table(hourly(spark, "2024-01-01 00:00", 9), path)
     sinks.recover_table(spark, path)
     assert spark.read.parquet(path).count() == 5
+
+
+# --- pointer and summaries ------------------------------------------------------------
+
+
+def test_a_run_is_seen_whole_or_not_at_all(spark, folder, monkeypatch):
+    """Whatever step a run over several months breaks off at, readers see the state before it or the one after."""
+    table = table_of(spark, folder)
+    table.merge(hourly(spark, "2023-01-01 00:00", 24 * 80))
+    old = rows(table.read())
+    new = [(s, t, v + 1000) for s, t, v in old]
+    steps = ["write_parts", "part_folder", "publish", "_move", "clean_parts"]
+    for name in steps:
+        for after in (False, True):
+            real, calls = getattr(sinks, name), []
+
+            def broken(*args, real=real, calls=calls, after=after, **options):
+                if after:
+                    real(*args, **options)
+                calls.append(args)
+                raise OSError("power cut")
+
+            with monkeypatch.context() as m:
+                m.setattr(sinks, name, broken)
+                with pytest.raises(OSError, match="power cut"):
+                    table.merge(hourly(spark, "2023-01-01 00:00", 24 * 80, lambda i: i + 1000.0))
+            published = (name, after) in (("publish", True), ("_move", True), ("clean_parts", False), ("clean_parts", True))
+            assert rows(table.read()) == (new if published else old), (name, after)
+            assert table.summaries().agg(F.sum("row_count")).first()[0] == 24 * 80
+            if published:
+                table.merge(hourly(spark, "2023-01-01 00:00", 24 * 80))
+    sinks.recover_partitions(spark, table.path)
+    assert rows(table.read()) == old
+    assert not [f for f in sinks.pointer(spark, table.path).parts if len(sinks.partitions(spark, f"{table.path}/month={f}", "run")) > 2]
+
+
+def test_a_part_removed_on_purpose_stays_away(spark, folder):
+    table = table_of(spark, folder)
+    table.merge(hourly(spark, "2023-01-01 00:00", 24 * 40))
+    state = sinks.pointer(spark, table.path)
+    sinks.publish(spark, table.path, state, {m: r for m, r in state.parts.items() if m != "2023-01"})
+    sinks.recover_partitions(spark, table.path)
+    assert table.months() == ["2023-02"] and table.watermark() == ts("2023-02-09 23:00")
+
+
+def test_two_writers(spark, folder):
+    table = table_of(spark, folder)
+    table.merge(hourly(spark, "2023-01-01 00:00", 5))
+    state = sinks.pointer(spark, table.path)
+    table.merge(hourly(spark, "2023-01-02 00:00", 5))
+    with pytest.raises(OSError, match="another run"):
+        sinks.publish(spark, table.path, state, {})
+    assert table.read().count() == 10
+
+
+def test_readers_of_the_state_before_go_on(spark, folder):
+    table = table_of(spark, folder)
+    table.merge(hourly(spark, "2023-01-01 00:00", 5))
+    reader = table.read()
+    table.merge(hourly(spark, "2023-01-01 00:00", 5, lambda i: -1.0))
+    assert [r["value"] for r in reader.orderBy("ts").collect()] == [0.0, 1.0, 2.0, 3.0, 4.0]
+
+
+def spoil(spark, table, keep):
+    """Put garbage in place of all data files but those of the months in `keep`."""
+    import glob
+
+    for path in glob.glob(f"{table.path}/month=*/run=*/*.parquet"):
+        if not any(f"month={m}/" in path for m in keep):
+            with open(path, "wb") as f:
+                f.write(b"not a table")
+
+
+def test_a_load_opens_no_other_months_data(spark, folder):
+    """Loads, watermarks, trims and reports work where the data files of all other months are unreadable."""
+    table = table_of(spark, folder)
+    both = hourly(spark, "2023-01-01 00:00", 24 * 150).unionByName(hourly(spark, "2023-02-01 00:00", 24 * 10, name="b"))
+    table.merge(both)
+    marks = spark.createDataFrame(table.watermarks().toArrow(), "series STRING, mark TIMESTAMP_NTZ")
+    spoil(spark, table, {"2023-05"})
+    with pytest.raises(Exception):
+        table.read().collect()
+    assert table.watermark() == ts("2023-05-30 23:00")
+    assert rows(table.watermarks()) == [("a", ts("2023-05-30 23:00")), ("b", ts("2023-02-10 23:00"))]
+    # a goes on within its month; b after a pause; the tail without values is cut
+    source = hourly(spark, "2023-05-30 12:00", 24 * 20, lambda i: None if i >= 24 * 15 else float(i)).unionByName(hourly(spark, "2023-05-01 00:00", 30, name="b"))
+    start = table.load(source, inc.next_hour, day("2015-01-01"), trim="value", whole_block=True)
+    assert start == ts("2023-05-31 00:00") and table.months() == [f"2023-0{i}" for i in range(1, 7)]
+    assert table.trimmed == 24 * 5
+    report = table.report(marks, details=True)
+    assert report.columns == ["row_count", "new_rows", "min_ts", "max_ts", "trimmed_rows", "month_count"]
+    assert rows(report) == [(24 * 160 + 24 * 15 - 12 + 30, 24 * 15 - 12 + 30, ts("2023-01-01 00:00"), ts("2023-06-14 11:00"), 24 * 5, 6)]
+
+
+def test_reports_from_summaries_equal_counts_of_rows(spark, folder):
+    from voltline.operators.quality import run_report
+
+    table = table_of(spark, folder)
+    table.merge(hourly(spark, "2023-01-10 00:00", 24 * 60).unionByName(hourly(spark, "2023-02-01 05:00", 24 * 20, name="b")))
+    for mark in ("2022-01-01 00:00", "2023-01-10 00:00", "2023-02-10 07:00", "2023-03-10 23:00", "2024-01-01 00:00"):
+        assert rows(table.report(mark=ntz(mark))) == rows(run_report(table.read(), "ts", ntz(mark))), mark
+    assert rows(table.report()) == rows(run_report(table.read(), "ts"))
+    empty = inc.PartitionedTable(spark, f"{folder}/none", struct(SERIES), ["series"])
+    assert rows(empty.report()) == [(0, 0, None, None)] and empty.watermark() is None and empty.watermarks().count() == 0
+
+
+def test_stored_months_are_sorted(spark, folder):
+    table = table_of(spark, folder)
+    table.merge(hourly(spark, "2023-01-01 00:00", 24 * 40).unionByName(hourly(spark, "2023-01-05 00:00", 50, name="b")).repartition(7))
+    for month, run in table.parts().items():
+        files = spark.read.format("binaryFile").load(sinks.part_folder(table.path, "month", month, run)).select("path").collect()
+        for f in files:
+            stored = [(r["series"], r["ts"]) for r in spark.read.parquet(f["path"]).collect()]
+            assert stored == sorted(stored)

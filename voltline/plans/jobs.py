@@ -16,7 +16,7 @@ from .. import catalog, fixed_values as fixed
 from ..functions import values
 from ..functions.timeutil import in_half_open, ntz, seconds_between, shift_hours
 from ..operators.panels import annual_capacity_panel
-from ..operators.quality import grid_gap_check, max_gap_check, never_loaded, run_report
+from ..operators.quality import grid_gap_check, max_gap_check, never_loaded
 from ..operators.zones import spatial_mean
 from ..schemas import SERIES, struct
 from ..sources import market_csv, series_json, sinks, tenders, zone_csv
@@ -57,9 +57,7 @@ def load_market_series(spark: SparkSession, landing: str, path: str) -> DataFram
         (seconds_between(ntz("1970-01-01 00:00:00"), inc.next_hour(F.col("mark"))) * 1000).cast("bigint").alias("start_ms"),
     )
     table.merge(series_json.read_blocks(spark, landing, blocks=series_json.prune_blocks(landed_blocks(spark, landing), next_start)))
-    rows = table.read().join(marks, "series", "left")
-    is_new = F.col("mark").isNull() | (F.col("ts") > F.col("mark"))
-    return run_report(rows, "ts", is_new=is_new)
+    return table.report(marks)
 
 
 def check_market_series(spark: SparkSession, path: str, expected: DataFrame | None = None) -> DataFrame:
@@ -81,8 +79,11 @@ def quarter_hour_table(spark: SparkSession, name: str, path: str) -> inc.Partiti
     return inc.PartitionedTable(spark, path, struct(f"ts TIMESTAMP_NTZ, {columns}"))
 
 
-def load_quarter_hours(spark: SparkSession, name: str, files: str | list[str], path: str, today: dt.date) -> DataFrame:
-    """One quarter-hour series: refetch its last days, corrections win, unpublished tail cut."""
+def load_quarter_hours(spark: SparkSession, name: str, files: str | list[str], path: str, today: dt.date, details: bool = False) -> DataFrame:
+    """One quarter-hour series: refetch its last days, corrections win, unpublished tail cut.
+
+    `details` adds the rows cut and the months stored to the report.
+    """
     table = quarter_hour_table(spark, name, path)
     start = dt.date.fromisoformat(fixed.SOURCE_STARTS[name])
     rule = inc.lookback(fixed.REFRESH_DAYS[name], ntz(start))
@@ -92,7 +93,7 @@ def load_quarter_hours(spark: SparkSession, name: str, files: str | list[str], p
     trim = next(iter(market_csv.LAYOUTS[name].values.values()))
     mark = table.watermark()
     table.load(source, rule, start, trim=trim)
-    return run_report(table.read(), "ts", ntz(mark) if mark is not None else None)
+    return table.report(mark=ntz(mark) if mark is not None else None, details=details)
 
 
 def check_quarter_hours(spark: SparkSession, name: str, path: str) -> DataFrame:
@@ -128,7 +129,7 @@ def load_tenders(spark: SparkSession, product: str, files: list[str], path: str,
     source = tenders.in_days(tenders.read_tenders(spark, files, product), str(start), str(today))
     mark = table.watermark()
     table.load(source, inc.month_restart, start)
-    return run_report(table.read(), "delivery_date", F.lit(mark))
+    return table.report(mark=F.lit(mark).cast("date"))
 
 
 def check_tenders(spark: SparkSession, product: str, path: str) -> DataFrame:
@@ -146,7 +147,7 @@ def load_gas(spark: SparkSession, files: str | list[str], path: str) -> DataFram
     table = gas_table(spark, path)
     mark = table.watermark()
     table.load(market_csv.read_price_bars(spark, files), inc.next_day, dt.date(1900, 1, 1))
-    return run_report(table.read(), "date", F.lit(mark))
+    return table.report(mark=F.lit(mark).cast("date"))
 
 
 def check_gas(spark: SparkSession, path: str) -> DataFrame:

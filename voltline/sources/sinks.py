@@ -1,8 +1,10 @@
-"""Writing: whole-table swap, immutable parts, GeoJSON."""
+"""Writing: whole-table swap, parts behind a pointer, immutable parts, GeoJSON."""
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,48 +80,106 @@ def replace_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> Non
     recover_table(spark, path)
 
 
-def recover_partitions(spark: SparkSession, path: str) -> None:
-    """Undo what a swap that broke off has left: parts moved aside come back unless their successor is in place."""
+# --- parts behind a pointer -----------------------------------------------------------
+#
+# path/month=2024-01/run=...      a part as some run wrote it; a part written anew gets a new folder
+# path/_current/000000000007     the newest of these files says which folder is each part's
+
+
+@dataclass(frozen=True)
+class Pointer:
+    """The state of a table: which run's folder holds each part. Number 0: nothing was published yet."""
+
+    number: int
+    parts: dict[str, str]
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    fs, p = _path(spark, f"{path.rstrip('/')}/_current")
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def _pointer_file(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}/_current/{number:012d}"
+
+
+def _load_pointer(spark: SparkSession, path: str, number: int) -> Pointer:
+    fs, p = _path(spark, _pointer_file(path, number))
+    stream = fs.open(p)
+    try:
+        return Pointer(number, json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def pointer(spark: SparkSession, path: str) -> Pointer:
+    """The published state of a table; a run that broke off before it published left no trace in it."""
+    numbers = _numbers(spark, path)
+    return _load_pointer(spark, path, numbers[-1]) if numbers else Pointer(0, {})
+
+
+def part_folder(path: str, column: str, part: str, run: str) -> str:
+    return f"{path.rstrip('/')}/{column}={part}/run={run}"
+
+
+def write_parts(df: DataFrame, path: str, column: str, parts: set[str], order: list[str] = ()) -> dict[str, str]:
+    """Write `df` in folders of a run of its own, beside what the table holds; nothing points to them yet.
+
+    `parts` are those that `df` may hold (not NULL); returns the folders of those that it does hold.
+    """
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    rows = df.withColumn("run", F.concat_ws("-", column, F.lit(run))).sortWithinPartitions(column, "run", *order)
+    rows.write.mode("append").partitionBy(column, "run").parquet(path)
+    named = {part: f"{part}-{run}" for part in sorted(parts)}
+    return {part: name for part, name in named.items() if exists(spark, part_folder(path, column, part, name))}
+
+
+def publish(spark: SparkSession, path: str, before: Pointer, parts: dict[str, str]) -> Pointer:
+    """Make `parts` the state of the table by one rename.
+
+    The rename is refused if another run has published since `before` was read, so of two
+    writers one fails and changes nothing.
+    """
+    after = Pointer(before.number + 1, dict(sorted(parts.items())))
+    fs, draft = _path(spark, f"{path.rstrip('/')}/_current/.{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    stream.write(bytearray(json.dumps(after.parts).encode()))
+    stream.close()
+    target = _path(spark, _pointer_file(path, after.number))[1]
+    if fs.exists(target):
+        fs.delete(draft, False)
+        raise OSError(f"another run has changed {path}")
+    _move(fs, draft, target)
+    return after
+
+
+def clean_parts(spark: SparkSession, path: str, column: str, among: set[str] | None = None) -> None:
+    """Delete folders that neither the state nor the one before it names (readers may still be on that).
+
+    Looks at the parts `among`, or at all. `_summary` holds folders of the same names.
+    """
+    numbers = _numbers(spark, path)
+    fs, _ = _path(spark, path)
+    states = [_load_pointer(spark, path, n).parts for n in numbers[-2:]]
+    for n in numbers[:-2]:
+        fs.delete(_path(spark, _pointer_file(path, n))[1], False)
+    for root in (path.rstrip("/"), f"{path.rstrip('/')}/_summary"):
+        for part in partitions(spark, root, column) if among is None else among:
+            named = {state[part] for state in states if part in state}
+            for run in partitions(spark, f"{root}/{column}={part}", "run") - named:
+                fs.delete(_path(spark, part_folder(root, column, part, run))[1], True)
+
+
+def recover_partitions(spark: SparkSession, path: str, column: str = "month") -> None:
+    """Clear away what runs that broke off have left. The table needs no recovery: its pointer is as it was."""
     fs, root = _path(spark, path)
     if not fs.exists(root):
         return
     for found in fs.listStatus(root):
-        name = found.getPath().getName()
-        if name.startswith("_old_"):
-            for part in fs.listStatus(found.getPath()):
-                target = _path(spark, f"{path}/{part.getPath().getName()}")[1]
-                if not fs.exists(target):
-                    _move(fs, part.getPath(), target)
-        if name.startswith(("_old_", "_staging_")):
+        if found.getPath().getName().startswith("_incoming_"):
             fs.delete(found.getPath(), True)
-
-
-def swap_partitions(df: DataFrame, path: str, column: str, replaced: set[str]) -> None:
-    """Write `df` partitioned by `column` and put its parts in place of the `replaced` ones.
-
-    The parts are complete in a hidden staging folder before the first one moves, so
-    `df` may read the parts it replaces. A replaced part is moved aside, not deleted,
-    until all are in place; recover_partitions() brings it back after a crash. A
-    replaced part without rows in `df` is removed. One writer per table at a time.
-    """
-    spark = df.sparkSession
-    run = uuid.uuid4().hex
-    staging, aside = f"{path.rstrip('/')}/_staging_{run}", f"{path.rstrip('/')}/_old_{run}"
-    df.write.partitionBy(column).parquet(staging)
-    fs, staged = _path(spark, staging)
-    fresh = partitions(spark, staging, column)
-    _refuse_null_part(spark, fresh, staging, column)
-    old = _path(spark, aside)[1]
-    fs.mkdirs(old)
-    for value in sorted(replaced | fresh):
-        name = f"{column}={value}"
-        target = _path(spark, f"{path}/{name}")[1]
-        if fs.exists(target):
-            _move(fs, target, _path(spark, f"{aside}/{name}")[1])
-        if value in fresh:
-            _move(fs, _path(spark, f"{staging}/{name}")[1], target)
-    fs.delete(old, True)
-    fs.delete(staged, True)
+    clean_parts(spark, path, column)
 
 
 def _refuse_null_part(spark: SparkSession, parts: set[str], staging: str, column: str) -> None:
