@@ -20,6 +20,7 @@ that slice. As the table is bucketed by slice, tokens are never shuffled.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -55,6 +56,7 @@ class Tokenizers:
     def __init__(self, a_path: str, b_path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         spec = json.loads(self.a.to_str())
