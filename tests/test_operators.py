@@ -358,3 +358,29 @@ def test_long_intervals_are_few_rows(spark):
     assert out.count() == 150_200
     plan = out.select("hour")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate explode") >= 4 and "Window" not in plan and plan.count("LogicalRDD") == 1
+
+
+@pytest.mark.parametrize("spread", [1.0, 40.0])
+def test_nearest_place_equals_a_scan_of_all(spark, spread):
+    """10,000 points, with ties, places in a far cluster, duplicates, and positions that are none."""
+    import numpy as np
+
+    from voltline.operators.nearest import nearest_place
+
+    rng = np.random.default_rng(3)
+    places = np.round(np.concatenate([rng.normal([50, 10], spread, (300, 2)), rng.normal([-60, 170], 0.3, (200, 2)), [[0, 0], [0, 2], [2, 0], [2, 2]]]), 2)
+    points = np.concatenate([rng.uniform([-90, -180], [90, 360], (3000, 2)), rng.normal([50, 10], spread, (6900, 2)), np.full((50, 2), 1.0), np.round(rng.uniform(0, 2, (50, 2)))])
+    names = [f"z{i:03d}" for i in rng.permutation(len(places))]
+    d = ((points[:, None, :] - places[None]) ** 2).sum(axis=2)
+    order = np.array(sorted(range(len(names)), key=names.__getitem__))
+    want = {i: names[order[k]] for i, k in enumerate(d[:, order].argmin(axis=1).tolist())} | {-1: None, -2: None, -3: None}
+    data = [(i, *p) for i, p in enumerate(points.tolist())] + [(-1, None, 1.0), (-2, float("nan"), 1.0), (-3, 1e9, 1.0)]
+    df = spark.createDataFrame(data, "id long, lat double, lon double")
+    centres = spark.createDataFrame([(n, *p) for n, p in zip(names, places.tolist(), strict=True)] + [("a", None, 0.0), ("b", 1e9, 0.0)], "zone string, clat double, clon double")
+    out = nearest_place(df, centres, "zone", "lat", "lon", "clat", "clon")
+    got = {r["id"]: r["zone"] for r in out.collect()}
+    assert got == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Subquery" not in plan
+    none = nearest_place(df, centres.limit(0), "zone", "lat", "lon", "clat", "clon")
+    assert none.filter("zone IS NOT NULL").count() == 0 and none.count() == len(data)

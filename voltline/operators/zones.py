@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import area_weight, grid_index
+from .nearest import nearest_place
 
 
 @dataclass(frozen=True)
@@ -67,9 +68,9 @@ def fractional_zone_weights(
     Weights depend on the cell alone, so they are settled once per cell and the
     units only look them up: no shuffle per unit, and a crowded cell is harmless
     while the cell table is small enough for Spark to broadcast (otherwise AQE
-    splits it). Centroids travel as one array in a scalar subquery, never as a
-    cross join: three values per zone of the mask, whatever the number of units.
-    A unit without a position gets no zone.
+    splits it). Units on uncovered cells find their centroid through an index of
+    cells (`nearest_place`), never by comparing all. A unit without a position gets
+    no zone.
     """
     covered = mask.filter(F.col("zone_id").startswith(zone_prefix) & (F.col("coverage") > 0))
     cells = (
@@ -83,30 +84,18 @@ def fractional_zone_weights(
         )
         .select("_lat_idx", "_lon_idx", "_zones")
     )
-    centroids = (
-        zone_centroids(covered)
-        .agg(F.array_sort(F.collect_list(F.struct("zone_id", "centroid_lat", "centroid_lon"))).alias("c"))
-        .scalar()
-    )
-
-    def distance(z: Column) -> Column:
-        north = F.col(latitude).cast("double") - z["centroid_lat"]
-        east = F.col(longitude).cast("double") - z["centroid_lon"]
-        return north * north + east * east
-
-    # Distances as plain doubles, then the position of the first smallest one: centroids are in zone order.
-    first = F.array_position("_distances", F.array_min("_distances")).cast("int")
-    fallback = F.array(F.struct(F.get("_centroids", first - 1)["zone_id"].alias("zone_id"), F.lit(1.0).alias("weight")))
-    return (
-        units.select(unit_id, latitude, longitude)
-        .withColumn("_lat_idx", lat_axis.index(latitude))
-        .withColumn("_lon_idx", lon_axis.index(longitude))
+    looked_up = (
+        units.select(unit_id, F.col(latitude).alias("_latitude"), F.col(longitude).alias("_longitude"))
+        .withColumn("_lat_idx", lat_axis.index("_latitude"))
+        .withColumn("_lon_idx", lon_axis.index("_longitude"))
         .join(cells, ["_lat_idx", "_lon_idx"], "left")
-        .withColumn("_centroids", F.when(F.col("_zones").isNull() & F.col("_lat_idx").isNotNull() & F.col("_lon_idx").isNotNull(), centroids))
-        .withColumn("_distances", F.transform("_centroids", distance))
-        .select(unit_id, F.inline(F.coalesce("_zones", F.when(F.col("_centroids").isNotNull(), fallback))))
-        .filter(F.col("weight") > 0)
     )
+    # only units on uncovered cells ask for a centroid; the others have no position there
+    asks = F.col("_zones").isNull() & F.col("_lat_idx").isNotNull() & F.col("_lon_idx").isNotNull()
+    asking = looked_up.select(unit_id, "_zones", F.when(asks, F.col("_latitude")).alias("_latitude"), F.when(asks, F.col("_longitude")).alias("_longitude"))
+    placed = nearest_place(asking, zone_centroids(covered), "zone_id", "_latitude", "_longitude", "centroid_lat", "centroid_lon")
+    fallback = F.when(F.col("zone_id").isNotNull(), F.array(F.struct("zone_id", F.lit(1.0).alias("weight"))))
+    return placed.select(unit_id, F.inline(F.coalesce("_zones", fallback))).filter(F.col("weight") > 0)
 
 
 def presplit_capacity(
