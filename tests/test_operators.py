@@ -384,3 +384,31 @@ def test_nearest_place_equals_a_scan_of_all(spark, spread):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Subquery" not in plan
     none = nearest_place(df, centres.limit(0), "zone", "lat", "lon", "clat", "clon")
     assert none.filter("zone IS NOT NULL").count() == 0 and none.count() == len(data)
+
+
+@pytest.mark.parametrize("shape", ["disk", "ring", "grid", "line", "square"])
+def test_hulls_of_many_points(spark, shape):
+    """Few points reach Python, and none that matters is lost."""
+    from voltline.operators import hulls
+
+    rng = np.random.default_rng(8)
+    n = 20_000
+    angle, radius = rng.uniform(0, 2 * math.pi, n), np.sqrt(rng.uniform(0, 1, n))
+    points = {
+        "disk": np.stack([radius * np.cos(angle), radius * np.sin(angle)], axis=1),
+        "ring": np.stack([np.cos(angle[:400]), np.sin(angle[:400])], axis=1),  # every point a vertex
+        "grid": rng.integers(-30, 30, (n, 2)).astype(float),
+        "line": np.repeat(rng.integers(0, 500, n), 2).reshape(-1, 2).astype(float),
+        "square": rng.uniform(-1, 1, (n, 2)),
+    }[shape]
+    data = [("a" if i % 3 else "b", *p) for i, p in enumerate(points.tolist())]
+    df = spark.createDataFrame(data, "region string, x double, y double").repartition(5)
+    got = {r["region"]: r["wkt"] for r in footprint_hulls(df.withColumn("mw", F.lit(1.0)), "region", "x", "y", "mw").collect()}
+    for region in "ab":
+        want = hull_vertices(np.array([p[1:] for p in data if p[0] == region]))
+        numbers = [float(x) for x in got[region].replace("(", " ").replace(")", " ").replace(",", " ").split()[1:]]
+        ring = np.array(numbers).reshape(-1, 2)
+        assert np.array_equal(ring[:-1] if len(want) > 2 else ring, want)
+    sent = hulls.outside_corners(df, hulls.corners(df)).count()
+    if shape != "ring":
+        assert sent < 0.05 * n
