@@ -126,3 +126,33 @@ def test_landing_is_exactly_once_in_effect(spark, folder):
     assert rows(table.read()) == want
     run("c")
     assert rows(table.read()) == want
+
+
+def test_families_together_equal_families_apart(spark):
+    """Shared units and factors are read once; the result is that of separate families, hour by hour."""
+    from voltline.plans import fleet
+
+    stamps = [ts(f"2020-0{m}-15 0{h}:00") for m in range(1, 7) for h in range(3)]
+    cf = spark.createDataFrame([(t, z, None if z == "z3" or (i + k) % 5 == 0 else 0.1 * (i % 7 + k)) for i, t in enumerate(stamps) for k, z in enumerate(("z1", "z2", "z3"))], "ts timestamp_ntz, z string, cf double")
+    units = spark.createDataFrame([("z1", 10.0, "a", "2020-02-01", None), ("z1", 4.0, "b", "2019-01-01", "2020-05-20"), ("z2", 7.0, "a", "2018-01-01", None), ("z9", 5.0, "b", "2018-01-01", None), (None, 3.0, "a", "2018-01-01", None), ("z3", 2.0, "b", "2018-01-01", None)], "z string, capacity_mw double, kind string, s string, e string")
+    units = units.select("z", "capacity_mw", "kind", F.col("s").cast("date").alias("commissioning_date"), F.col("e").cast("date").alias("final_shutdown_date"))
+    together = [fleet.Family(k, units, cf, ["z"], F.col("kind") == k) for k in "ab"] + [fleet.Family("none", units, cf, ["z"], F.col("kind") == "x")]
+    apart = [fleet.Family(f.name, units.filter(f.member), cf.select("*"), ["z"]) for f in together]
+    months = [F.lit(x).cast("date") for x in ("2018-01-01", "2020-06-01", "2018-06-01")]
+    one, two = (fleet.historic_potential(f, *months) for f in (together, apart))
+    assert one.columns == two.columns and rows(one) == rows(two) and one.count() == len(stamps)
+    as_of = F.lit("2020-06-01").cast("date")
+    one, two = (fleet.current_fleet_factors(f, as_of) for f in (together, apart))
+    assert rows(one) == rows(two)
+    assert {r["capacity_factor_none"] for r in one.collect()} == {None}
+
+
+def test_factors_are_scanned_once_for_all_families(spark, folder):
+    from voltline.plans import fleet
+
+    spark.createDataFrame([(ts("2020-01-01 00:00"), "z", 0.5)], "ts timestamp_ntz, z string, cf double").write.parquet(f"{folder}/factors")
+    spark.createDataFrame([("z", 1.0, "a")], "z string, capacity_mw double, kind string").select("*", F.lit("2018-01-01").cast("date").alias("commissioning_date"), F.lit(None).cast("date").alias("final_shutdown_date")).write.parquet(f"{folder}/units")
+    cf, units = spark.read.parquet(f"{folder}/factors"), spark.read.parquet(f"{folder}/units")
+    families = [fleet.Family(k, units, cf, ["z"], F.col("kind") == k) for k in "abc"]
+    plan = fleet.historic_potential(families, *[F.lit(x).cast("date") for x in ("2018-01-01", "2020-06-01", "2018-06-01")])._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("/factors") == 1 and plan.count("FileScan") == 2

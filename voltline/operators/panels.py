@@ -41,7 +41,7 @@ def month_range(frames: list[DataFrame], today: dt.date, start: str = "commissio
 
 def monthly_capacity_panel(
     units: DataFrame, keys: list[str], first_month: Column, last_month: Column,
-    export_from: Column | None = None, capacity: str = "capacity_mw",
+    export_from: Column | None = None, capacity: str | list[str] = "capacity_mw",
     start: str = "commissioning_date", end: str = "final_shutdown_date",
 ) -> DataFrame:
     """Installed capacity per group for every month, labelled by month end.
@@ -49,12 +49,14 @@ def monthly_capacity_panel(
     A unit counts from its start month and no longer in its shutdown month.
     Deltas outside `[first_month, last_month]` are dropped, yet their group still
     appears (with zeros). Months before `export_from` feed the running total but
-    are not returned.
+    are not returned. Several `capacity` columns give a panel of several totals under
+    their own names, at the cost of one; a single one is called `capacity_mw`.
     """
-    amount = F.col(capacity).cast("double")
+    names = ["capacity_mw"] if isinstance(capacity, str) else list(capacity)
+    amounts = [F.col(c).cast("double") for c in ([capacity] if isinstance(capacity, str) else capacity)]
 
-    def delta(month: Column, change: Column) -> Column:
-        return F.struct(month.alias("month"), change.alias("change"))
+    def delta(month: Column, changes: list[Column]) -> Column:
+        return F.struct(month.alias("month"), *[c.alias(n) for c, n in zip(changes, names, strict=True)])
 
     deltas = (
         _drop_null_keys(units, keys)
@@ -62,29 +64,25 @@ def monthly_capacity_panel(
             *keys,
             F.inline(
                 F.array(
-                    delta(first_month, F.lit(0.0)),  # makes every group start at the first month
-                    delta(month_of(start), amount),
-                    delta(month_of(end), -amount),
+                    delta(first_month, [F.lit(0.0) for _ in names]),  # makes every group start at the first month
+                    delta(month_of(start), amounts),
+                    delta(month_of(end), [-a for a in amounts]),
                 )
             ),
         )
         .filter(F.col("month").between(first_month, last_month))
         .groupBy(*keys, "month")
-        .agg(F.coalesce(F.sum("change"), F.lit(0.0)).alias("change"))
+        .agg(*[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names])
     )
     ordered = Window.partitionBy(*keys).orderBy("month")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     until = F.coalesce(F.add_months(F.lead("month").over(ordered), -1), last_month)
     # Each total holds until the next change: the dense grid needs no spine join.
-    dense = deltas.select(
-        *keys,
-        F.col("month").alias("_from"),
-        until.alias("_until"),
-        F.sum("change").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("capacity_mw"),
-    )
+    dense = deltas.select(*keys, F.col("month").alias("_from"), until.alias("_until"), *[F.sum(n).over(so_far).alias(n) for n in names])
     if export_from is not None:
         dense = dense.withColumn("_from", F.greatest("_from", F.trunc(export_from, "MM"))).filter("_from <= _until")
     months = F.explode(F.sequence(F.col("_from"), F.col("_until"), F.expr("INTERVAL 1 MONTH")))
-    return dense.withColumn("_month", months).select(*keys, F.last_day("_month").alias("month"), "capacity_mw")
+    return dense.withColumn("_month", months).select(*keys, F.last_day("_month").alias("month"), *names)
 
 
 def annual_capacity_panel(

@@ -126,11 +126,28 @@ def _potential(joined: DataFrame, ts: str, capacity: str) -> DataFrame:
     return joined.groupBy(ts).agg(F.coalesce(F.sum(product), F.lit(0.0)).alias("potential_mw"))
 
 
+def potentials(cf: DataFrame, capacities: DataFrame, keys: list[str], names: list[str], ts: str = "ts", month: str | None = None) -> DataFrame:
+    """Hourly potential (MW) of several fleets at once, each under the name of its capacity column.
+
+    `capacities` has one row per key (and per `month`, if that is given) with all fleets'
+    capacities side by side, so the factors are read and joined once for all of them.
+    """
+    if month is not None:
+        cf, capacities, keys = cf.withColumn("_month", month_of(ts)), capacities.withColumn("_month", month_of(month)).drop(month), [*keys, "_month"]
+    sums = [F.coalesce(F.sum(F.col("cf") * F.col(n)), F.lit(0.0)).alias(n) for n in names]
+    return cf.join(capacities, keys, "left").groupBy(ts).agg(*sums)
+
+
+def fleet_capacity_factors(cf: DataFrame, fleets: DataFrame, keys: list[str], names: list[str], ts: str = "ts") -> DataFrame:
+    """Potential of several fixed fleets over their whole capacities (unmodelled zones included); no capacity -> NULL."""
+    totals = fleets.agg(F.struct(*[F.sum(n).alias(n) for n in names]).alias("t")).scalar()
+    of_fleets = potentials(cf, fleets, keys, names, ts).withColumn("_total", totals)
+    return of_fleets.select(ts, *[F.try_divide(F.col(n), F.col(f"_total.{n}")).alias(n) for n in names])
+
+
 def fleet_capacity_factor(cf: DataFrame, fleet: DataFrame, keys: list[str], ts: str = "ts", capacity: str = "capacity_mw") -> DataFrame:
     """Potential of a fixed fleet over its whole capacity (unmodelled zones included); no capacity -> NULL."""
-    total = fleet.agg(F.sum(capacity).alias("t")).scalar()
-    potential = potential_fixed(cf, fleet, keys, ts, capacity)
-    return potential.select(ts, F.try_divide(F.col("potential_mw"), total).alias("capacity_factor"))
+    return fleet_capacity_factors(cf, fleet, keys, [capacity], ts).withColumnRenamed(capacity, "capacity_factor")
 
 
 def unmodelled_capacity(cf: DataFrame, fleet: DataFrame, keys: list[str], capacity: str = "capacity_mw") -> DataFrame:

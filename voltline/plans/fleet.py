@@ -11,20 +11,46 @@ from .. import fixed_values as fixed
 from ..functions.timeutil import active_at
 from ..operators.panels import capacity_snapshot, monthly_capacity_panel
 from ..operators.zones import Axis, presplit_capacity
-from ..operators.weighting import (
-    fleet_blend, fleet_capacity_factor, fleet_mix_snapshot, pivot_series, potential_monthly, unmodelled_capacity,
-)
+from ..operators.weighting import fleet_blend, fleet_capacity_factors, fleet_mix_snapshot, potentials, unmodelled_capacity
 from . import registry
 
 
 @dataclass(frozen=True)
 class Family:
-    """Units and factors of one technology family, sharing their key columns."""
+    """Units and factors of one technology family, sharing their key columns.
+
+    `member` says which of `units` belong to the family (default: all). Families that hold the
+    same `units` and `cf` objects and keys are computed together: both tables are read once.
+    """
 
     name: str
     units: DataFrame
     cf: DataFrame
     keys: list[str]
+    member: Column | None = None
+
+
+def _together(families: list[Family]) -> list[list[Family]]:
+    groups: dict[tuple, list[Family]] = {}
+    for f in families:
+        groups.setdefault((id(f.units), id(f.cf), *f.keys), []).append(f)
+    return list(groups.values())
+
+
+def _side_by_side(group: list[Family]) -> tuple[DataFrame, list[str]]:
+    """The group's units with one capacity column per family: NULL where a unit isn't in it."""
+    columns = {f"_{f.name}": F.col("capacity_mw") if f.member is None else F.when(f.member, F.col("capacity_mw")) for f in group}
+    return group[0].units.withColumns(columns), list(columns)
+
+
+def _aligned(parts: list[DataFrame], names: list[str], ts: str = "ts") -> DataFrame:
+    """Parts with columns of their own on every hour that any of them has."""
+    if len(parts) == 1:
+        return parts[0].select(ts, *names)
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return stacked.groupBy(ts).agg(*[F.max(n).alias(n) for n in names])
 
 
 def prepare_families(
@@ -51,37 +77,38 @@ def prepare_families(
     ]
 
 
-def _stack(parts: dict[str, DataFrame], value: str) -> DataFrame:
-    stacked = None
-    for name, df in parts.items():
-        part = df.select("ts", F.lit(name).alias("_family"), F.col(value).alias("_value"))
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return stacked
-
-
 def historic_potential(families: list[Family], first_month: Column, last_month: Column, export_from: Column) -> DataFrame:
     """Hourly potential per family with the fleet of each month, aligned on every hour.
 
-    The families stay long until one final grouping, so the outer alignment costs a
-    single shuffle of already aggregated hours instead of a chain of full joins.
+    The monthly capacities of families that share units and factors stand side by side
+    in one panel, which meets the factors once. Families with factors of their own are
+    aligned by one grouping of already summed hours instead of a chain of full joins.
     """
-    parts = {
-        f.name: potential_monthly(f.cf, monthly_capacity_panel(f.units, f.keys, first_month, last_month, export_from), f.keys)
-        for f in families
-    }
-    wide = pivot_series(_stack(parts, "potential_mw"), "_family", list(parts), "_value", prefix="potential_")
-    return wide.withColumnsRenamed({f"potential_{n}": f"potential_{n}_mw" for n in parts})
+    parts = []
+    for group in _together(families):
+        units, columns = _side_by_side(group)
+        panel = monthly_capacity_panel(units, group[0].keys, first_month, last_month, export_from, capacity=columns)
+        parts.append(potentials(group[0].cf, panel, group[0].keys, columns, month="month"))
+    wide = _aligned(parts, [f"_{f.name}" for f in families])
+    return wide.withColumnsRenamed({f"_{f.name}": f"potential_{f.name}_mw" for f in families})
 
 
 def current_fleet_factors(families: list[Family], as_of: Column) -> DataFrame:
     """Hourly capacity factor per family if the fleet of `as_of` had always stood."""
-    parts = {f.name: fleet_capacity_factor(f.cf, capacity_snapshot(f.units, f.keys, as_of), f.keys) for f in families}
-    return pivot_series(_stack(parts, "capacity_factor"), "_family", list(parts), "_value", prefix="capacity_factor_")
+    parts = []
+    for group in _together(families):
+        units, columns = _side_by_side(group)
+        active = units.filter(active_at("commissioning_date", "final_shutdown_date", as_of)).dropna(subset=group[0].keys)
+        fleets = active.groupBy(*group[0].keys).agg(*[F.sum(c).alias(c) for c in columns])
+        parts.append(fleet_capacity_factors(group[0].cf, fleets, group[0].keys, columns))
+    wide = _aligned(parts, [f"_{f.name}" for f in families])
+    return wide.withColumnsRenamed({f"_{f.name}": f"capacity_factor_{f.name}" for f in families})
 
 
 def unmodelled(family: Family, as_of: Column) -> DataFrame:
     """Active capacity where the family has no factors at all."""
-    return unmodelled_capacity(family.cf, capacity_snapshot(family.units, family.keys, as_of), family.keys)
+    units = family.units if family.member is None else family.units.filter(family.member)
+    return unmodelled_capacity(family.cf, capacity_snapshot(units, family.keys, as_of), family.keys)
 
 
 def fleet_snapshot(solar: DataFrame, wind: DataFrame, as_of: Column) -> DataFrame:

@@ -468,9 +468,9 @@ def _families(spark, d):
     units = order_units(spark, d).join(names, "region")
     cf = zone_factors(spark, d)
     families = [
-        fleet_plan.Family("closed", units.filter(F.col("technology") == "F"), cf, ["zone_id"]),
-        fleet_plan.Family("partial", units.filter(F.col("technology") == "P"), cf, ["zone_id"]),
-        fleet_plan.Family("open", units.filter(F.col("technology") == "O"), cf, ["zone_id"]),
+        fleet_plan.Family("closed", units, cf, ["zone_id"], F.col("technology") == "F"),
+        fleet_plan.Family("partial", units, cf, ["zone_id"], F.col("technology") == "P"),
+        fleet_plan.Family("open", units, cf, ["zone_id"], F.col("technology") == "O"),
     ]
     first, last, export = (F.lit(x).cast("date") for x in ("1995-01-01", "2001-08-01", "1996-01-01"))
     return families, first, last, export
