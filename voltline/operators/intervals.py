@@ -39,32 +39,23 @@ def distribute_to_hours(df: DataFrame, start: str, end: str, value: str, keys: l
         .withColumn("_open", -_hour_number(-F.col("_start")))
         .withColumn("_close", _hour_number(F.col("_end")))
     )
-    # Cases are told apart inside the generators: as filters they would be pushed below
-    # the projections, where every use of a column repeats the work behind it. Size -1
-    # stands for the hours at both ends that are covered in part.
-    longest = F.when(F.col("_open") < F.col("_close"), F.floor(F.log2(F.col("_close") - F.col("_open"))).cast("int") + 1).otherwise(-1)
-    sizes = intervals.withColumn("_size", F.explode_outer(F.sequence(F.lit(-1), longest)))
-    low, high = F.expr("-shiftright(-_open, _size)"), F.expr("shiftright(_close, _size)")
-    edge, some, length = F.col("_size") < 0, low < high, F.col("_end") - F.col("_start")
+    # Two rows for each size: the block at the left end (side 0) and the one at the right end,
+    # of which about half exist. Size -1 stands for the hours that are covered in part.
+    sizes = F.when(F.col("_open") < F.col("_close"), F.floor(F.log2(F.col("_close") - F.col("_open"))).cast("int") + 1).otherwise(-1)
+    coded = intervals.withColumn("_code", F.explode_outer(F.sequence(F.lit(-2), 2 * sizes + 1)))
+    ends = coded.withColumn("_size", F.shiftright("_code", 1)).withColumn("_side", F.col("_code").bitwiseAND(1))
+    edge, left, length = F.col("_size") < 0, F.col("_side") == 0, F.col("_end") - F.col("_start")
     inside_first = F.col("_start") < F.col("_open") * _HOUR
-
-    def block(number: Column, present: Column) -> Column:
-        return F.when(some & present, number * F.expr("shiftleft(1L, _size)"))
-
-    left_hour = F.when(edge, F.when(inside_first, F.col("_first"))).otherwise(block(low, low.bitwiseAND(F.lit(1)) == 1))
-    left_time = F.when(edge, F.least(F.col("_end"), F.col("_open") * _HOUR) - F.col("_start"))
-    right_hour = F.when(
-        edge, F.when((F.col("_last") >= F.col("_close")) & ((F.col("_last") > F.col("_first")) | ~inside_first), F.col("_last"))
-    ).otherwise(block(high - 1, high.bitwiseAND(F.lit(1)) == 1))
-    right_time = F.when(edge, F.col("_end") - F.col("_last") * _HOUR)
-
-    def piece(hour: Column, time: Column) -> Column:
-        return F.struct(hour.alias("_from"), (F.col("_value") * F.coalesce(time, F.lit(_HOUR)) / length).alias("value"))
-
-    pieces = sizes.select(
-        *keys, F.greatest("_size", F.lit(0)).alias("_size"), F.explode_outer(F.array(piece(left_hour, left_time), piece(right_hour, right_time))).alias("_piece")
-    ).select(*keys, "_size", "_piece.*")
-    blocks = pieces.filter(F.col("_from").isNotNull()).groupBy(*keys, "_size", "_from").agg(F.sum("value").alias("value"))
+    # numbers of the blocks at both ends; between even numbers a larger size covers all
+    low, high = F.expr("-shiftright(-_open, _size)"), F.expr("shiftright(_close, _size)")
+    number = F.when(left, low).otherwise(high - 1)
+    exists = F.when(edge & left, inside_first).when(
+        edge, (F.col("_last") >= F.col("_close")) & ((F.col("_last") > F.col("_first")) | ~inside_first)
+    ).otherwise((low < high) & ((number + F.col("_side")).bitwiseAND(F.lit(1)) == 1))
+    time = F.when(~edge, F.lit(_HOUR).cast("bigint")).when(left, F.least(F.col("_end"), F.col("_open") * _HOUR) - F.col("_start")).otherwise(F.col("_end") - F.col("_last") * _HOUR)
+    begins = F.when(~edge, number * F.expr("shiftleft(1L, _size)")).when(left, F.col("_first")).otherwise(F.col("_last"))
+    pieces = ends.filter(exists).select(*keys, F.greatest("_size", F.lit(0)).alias("_size"), begins.alias("_from"), (F.col("_value") * time / length).alias("value"))
+    blocks = pieces.groupBy(*keys, "_size", "_from").agg(F.sum("value").alias("value"))
     # hours in stretches, so that no array is long
     last = F.col("_from") + F.expr("shiftleft(1L, _size)") - 1
     stretches = blocks.withColumn("_last", last).withColumn("_at", F.explode_outer(F.sequence("_from", "_last", F.lit(_STRETCH).cast("bigint"))))
