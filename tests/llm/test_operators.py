@@ -684,3 +684,30 @@ def test_equal_keys_with_other_texts(spark):
     assert line_dedup.dedup_lines(df).count() == suffix_dedup.dedup_substrings(df).count() == chain_dedup.repeated_passages(df).count() == len(rows)
     assert ngram_join.join_by_shingles(df).filter("component_id = 1").count() == len(rows)
     assert mixing.mix_sources(df.withColumn("source", F.lit("a"))).count() == len(rows)
+
+
+def test_the_mix_does_not_follow_the_partitioning(spark, docs):
+    """Reruns agree, whatever files the rows come from; slots are made by more than one task."""
+    seen = []
+    for n in (1, 3, 11):
+        out = mixing.mix_sources(docs.repartition(n), block_words=16, shards=5)
+        seen.append((found(out, "doc_id", "source", "size", "target", "taken"), found(mixing.mixed_blocks(docs.repartition(n), block_words=16, shards=5), "shard", "source", "slot", "block", "text")))
+    assert seen[0] == seen[1] == seen[2]
+    targets = spark.createDataFrame([("a", 1_000_000, 2_000_000.0)], "source string, source_size long, target double")
+    slots = mixing.draw_slots(targets)
+    tasks = slots.withColumn("t", F.spark_partition_id()).groupBy("t").count().collect()
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < 0.8 * slots.count()
+
+
+def test_stored_tables_of_earlier_stages_go(spark):
+    from voltline.llm import store
+
+    paths: list[str] = []
+    with store.noting(paths):
+        one, two = (store.stored(spark.range(5)) for _ in range(2))
+    store.stored(spark.range(3))
+    assert len(paths) == 2
+    store.removed(spark, paths, one.filter("id > 1"))
+    assert one.count() == 5 and spark.read.schema("id long").parquet(paths[0]).count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.schema("id long").parquet(paths[1])

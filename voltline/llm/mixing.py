@@ -1,6 +1,6 @@
 """Mixing sources to target weights by blocks, with DataFrame operations only.
 
-Each source's texts form one stream of words, cut into blocks of `block_words`. A source's
+Each source's texts form one stream of words, in an order of their keys and texts, cut into blocks of `block_words`. A source's
 quota of blocks is dealt to output shards by multinomial draws; the slots that a shard gets
 run on from the last shard's and are mapped to blocks through a pseudorandom permutation
 of the source's block numbers, a new one for each pass over the source; a join by block
@@ -63,20 +63,23 @@ def permuted(slot: Column, n: Column, key: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(_ROUNDS)), slot.cast("long"), turn)
 
 
-def pack(documents: DataFrame, text: str = "text", source: str = "source", keep: bool = False) -> DataFrame:
-    """`documents` (without the text, if it isn't to be kept), with size, _source, _row and _begin: the place of each text in its source's stream.
+def pack(documents: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", keep: bool = False) -> tuple[DataFrame, DataFrame]:
+    """`documents` (without the text, if it isn't to be kept) with size and _row, and a table of _row, _source, size and _begin: the place of each text in its source's stream.
 
-    A running sum over a whole source would be one task; rows are dealt to LANES groups of
-    each source, groups get offsets from their sums, and sums run inside groups only.
+    Texts come in the order of a hash of key and text, so a table gives one stream however its
+    files lie. A running sum over a whole source would be one task; rows are dealt to LANES
+    groups of each source, groups get offsets from their sums, and sums run inside groups
+    only. Neither texts nor other columns are moved.
     """
-    lane = F.pmod(F.xxhash64("_row"), F.lit(LANES))
-    sized = documents.withColumn("size", n_words(text)).withColumn("_row", F.monotonically_increasing_id())
-    sized = sized if keep else sized.drop(text)
-    dealt = stored(sized).withColumn("_source", F.col(source)).withColumn("_lane", lane)
+    sized = documents.withColumn("size", n_words(text)).withColumn("_row", F.monotonically_increasing_id()).withColumn("_order", F.xxhash64(key, text))
+    kept = stored(sized if keep else sized.drop(text))
+    dealt = kept.select("_row", F.col(source).alias("_source"), "size", F.col(key).alias("_key"), "_order", F.pmod("_order", F.lit(LANES)).alias("_lane"))
     lanes = dealt.groupBy("_source", "_lane").agg(F.sum("size").alias("_sum"))
     offsets = lanes.select(F.col("_source").alias("_s"), F.col("_lane").alias("_l"), (F.sum("_sum").over(Window.partitionBy("_source").orderBy("_lane")) - F.col("_sum")).alias("_offset"))
-    inside = dealt.withColumn("_before", F.sum("size").over(Window.partitionBy("_source", "_lane").orderBy("_row")) - F.col("size"))
-    return inside.join(offsets, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_lane") == F.col("_l"))).withColumn("_begin", F.col("_before") + F.col("_offset")).drop("_s", "_l", "_lane", "_before", "_offset")
+    # rows equal in key and text are exchangeable
+    inside = dealt.withColumn("_before", F.sum("size").over(Window.partitionBy("_source", "_lane").orderBy("_order", "_key", "_row")) - F.col("size"))
+    placed = inside.join(offsets, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_lane") == F.col("_l")))
+    return kept.drop("_order"), stored(placed.select("_row", "_source", "size", (F.col("_before") + F.col("_offset")).alias("_begin")))
 
 
 def draw_slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
@@ -89,11 +92,13 @@ def draw_slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shards: int =
     # a last block that isn't full makes the mean block shorter
     quota = F.least(F.round(F.col("target") * F.col("_blocks") / F.col("source_size")).cast("long"), F.col("_blocks") * most)
     quotas = sized.withColumn("_quota", quota).filter("_quota > 0")
-    runs = quotas.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_quota") - 1) / _DRAWS)))).repartition(F.col("source"), F.col("_run"))
+    # few rows that become many: a stated number of partitions, as small ones would be put into one task
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = quotas.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_quota") - 1) / _DRAWS)))).repartition(tasks, F.col("source"), F.col("_run"))
     draws = runs.select("source", "_blocks", F.explode(F.sequence(F.col("_run") * _DRAWS, F.least((F.col("_run") + 1) * _DRAWS, F.col("_quota")) - 1)).alias("_draw"))
     counts = draws.groupBy("source", "_blocks", F.pmod(F.xxhash64(F.lit(seed), "source", "_draw"), F.lit(shards)).alias("shard")).agg(F.count("*").alias("_count"))
     placed = counts.withColumn("_first", F.sum("_count").over(Window.partitionBy("source").orderBy("shard")) - F.col("_count"))
-    parts = placed.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_count") - 1) / _DRAWS)))).repartition(F.col("source"), F.col("shard"), F.col("_run"))
+    parts = placed.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_count") - 1) / _DRAWS)))).repartition(tasks, F.col("source"), F.col("shard"), F.col("_run"))
     slots = parts.select("shard", "source", "_blocks", F.explode(F.sequence(F.col("_first") + F.col("_run") * _DRAWS, F.col("_first") + F.least((F.col("_run") + 1) * _DRAWS, F.col("_count")) - 1)).alias("slot"))
     turn = F.floor(F.col("slot") / F.col("_blocks"))
     return slots.select("shard", "source", "slot", permuted(F.pmod("slot", "_blocks"), F.col("_blocks"), F.xxhash64(F.lit(seed), "source", turn)).alias("block"))
@@ -113,23 +118,23 @@ def _slots(packed: DataFrame, block_words: int, shards: int, most: int, seed: in
     return targets, draw_slots(targets, block_words, shards, most, seed)
 
 
-def mixed_blocks(documents: DataFrame, text: str = "text", source: str = "source", block_words: int = BLOCK_WORDS, shards: int = SHARDS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
+def mixed_blocks(documents: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", block_words: int = BLOCK_WORDS, shards: int = SHARDS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
     """shard, source, slot, block, text: the mix itself, a row for each slot with the words of its block.
 
     Words are joined by single spaces; further columns are not read. A shard's rows by source and
     slot are its part of the corpus. An empty table gives no rows.
     """
-    packed = stored(pack(documents.select(F.col(text).alias("text"), F.col(source).alias("source")), keep=True))
+    kept, packed = pack(documents.select(F.col(text).alias("text"), F.col(source).alias("source"), F.col(key).alias("key")), key="key", keep=True)
     _, slots = _slots(packed, block_words, shards, most, seed)
-    words = packed.select("_row", F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)).alias("_words"))
+    words = kept.select("_row", F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)).alias("_words"))
     pieces = cut_blocks(packed, block_words).join(words, "_row").select("_s", "_b", F.struct("_at", F.array_join(F.slice("_words", (F.col("_first") + 1).cast("int"), F.col("_n").cast("int")), " ").alias("p")).alias("x"))
     blocks = pieces.groupBy("_s", "_b").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["p"]), " ").alias("text"))
     joined = slots.join(blocks.hint("merge"), F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")))
     return joined.select("shard", "source", "slot", "block", "text")
 
 
-def _mixed(documents: DataFrame, text: str, source: str, block_words: int, shards: int, most: int, seed: int, whole: bool) -> DataFrame:
-    packed = pack(documents, text, source, keep=whole)
+def _mixed(documents: DataFrame, text: str, source: str, key: str, block_words: int, shards: int, most: int, seed: int, whole: bool) -> DataFrame:
+    kept, packed = pack(documents, text, source, key, keep=whole)
     targets, slots = _slots(packed, block_words, shards, most, seed)
     parts = cut_blocks(packed, block_words)
     # planned by the size of the few rows of targets that slots come from, the slots would be broadcast
@@ -137,26 +142,28 @@ def _mixed(documents: DataFrame, text: str, source: str, block_words: int, shard
     totals = [F.sum("_n").alias("taken")]
     if whole:
         totals.append(F.array_sort(F.collect_list(F.struct("shard", "slot", F.col("_first").alias("first"), F.col("_n").alias("n_words")))).alias("pieces"))
-    out = packed.join(pieces.groupBy(F.col("_row").alias("_r")).agg(*totals), F.col("_row") == F.col("_r"), "left")
+    # texts meet the mix in one join, at the end
+    out = kept.join(pieces.groupBy(F.col("_row").alias("_r")).agg(*totals), F.col("_row") == F.col("_r"), "left")
     goal = targets.select(F.col("source").alias("_s"), "source_size", "target")
-    out = out.join(goal, F.col("_source").eqNullSafe(F.col("_s")), "left")
+    out = out.join(goal, F.col(source).eqNullSafe(F.col("_s")), "left")
     more = [F.coalesce("pieces", F.array().cast("array<struct<shard:bigint,slot:bigint,first:bigint,n_words:bigint>>")).alias("pieces")] if whole else []
     return out.select(*[c for c in documents.columns if whole or c != text], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *more)
 
 
 @shields("size", "source_size", "target", "taken")
-def mix_sources(documents: DataFrame, text: str = "text", source: str = "source", block_words: int = BLOCK_WORDS, shards: int = SHARDS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
+def mix_sources(documents: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", block_words: int = BLOCK_WORDS, shards: int = SHARDS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
     """All columns of `documents` but the text, then size, source_size, target, taken.
 
     size: words of the text (NULL: 0). taken: words of it in the shards, repeats counted; at most
     `most` times its size, as no block is taken more often. Empty texts are kept with 0. A NULL
     source is a source. Repeated rows are texts of their own. An empty table gives no rows.
-    Columns that have the names of added ones are replaced. The same table gives the same mix.
+    Columns that have the names of added ones are replaced. The same table gives the same
+    mix, however its rows are partitioned: texts are ordered by key and text. A NULL key is a key.
     """
-    return _mixed(documents, text, source, block_words, shards, most, seed, False)
+    return _mixed(documents, text, source, key, block_words, shards, most, seed, False)
 
 
 @shields("size", "source_size", "target", "taken", "pieces")
-def mix_texts(documents: DataFrame, text: str = "text", source: str = "source", block_words: int = BLOCK_WORDS, shards: int = SHARDS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
+def mix_texts(documents: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", block_words: int = BLOCK_WORDS, shards: int = SHARDS, most: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
     """As mix_sources(), but with the text and, last, pieces: shard, slot, first and n_words of each piece of the text that a shard holds."""
-    return _mixed(documents, text, source, block_words, shards, most, seed, True)
+    return _mixed(documents, text, source, key, block_words, shards, most, seed, True)

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import inspect
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: list[str] = []
+_noted: list[list[str]] = []
 _MARK_BITS = 22
 _USED = ("key", "text", "host", "source")
 
@@ -33,9 +35,28 @@ def stored(df: DataFrame) -> DataFrame:
     """`df`, written once as a table and read again: later steps neither repeat its work nor depend on executors that held parts of it."""
     path = f"{shared_folder(df.sparkSession)}/voltline-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for paths in _noted:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def noting(paths: list[str]) -> Iterator[None]:
+    """Add the path of every table stored within to `paths`."""
+    _noted.append(paths)
+    try:
+        yield
+    finally:
+        _noted.remove(paths)
+
+
+def removed(spark: SparkSession, paths: list[str], but: DataFrame) -> None:
+    """Delete stored tables, but those that `but` reads."""
+    used = but.inputFiles()
+    for path in paths:
+        if not any(path.rsplit("/", 1)[1] in f for f in used):
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 def key_place(column: str = "key") -> Column:
     """A key's place in a table of marks."""
