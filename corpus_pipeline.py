@@ -1,7 +1,14 @@
-"""A training corpus from raw documents: each stage works on all that the one before it kept."""
+"""A training corpus from raw documents: each stage works on all that the one before it kept.
+
+A stage's result is to be written before the next stage is called (or be its `docs` as it is):
+each stage begins by deleting the intermediate tables of the one before.
+"""
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +17,28 @@ from voltline.llm.line_dedup import dedup_lines
 from voltline.llm.line_quality import apply_rules
 from voltline.llm.mixing import mix_texts
 from voltline.llm.ngram_join import join_by_shingles
-from voltline.llm.store import stored
+from voltline.llm.store import noting, removed, stored
 
 SHINGLE_WORDS, PERCENT = 5, 80
 
 
+#: Intermediate tables of the stage called last.
+_tables: list[str] = []
+
+
+def _stage(f: Callable[[SparkSession, DataFrame, str], DataFrame], first: bool = False) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    @functools.wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        global _tables
+        if not first:  # what an earlier run's last stage left may still be read
+            removed(spark, _tables, docs)
+        _tables = []
+        with noting(_tables):
+            return f(spark, docs, sf_dir)
+
+    return run_stage
+
+
 def _measured(docs: DataFrame, like: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast("long")).select(*like.columns)
 
@@ -49,11 +73,11 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality rules", quality_rules),
-    ("line dedup", line_dedup),
-    ("n-gram Jaccard join", near_duplicates),
-    ("benchmark decontamination", decontamination),
-    ("mixing sources to target weights", source_mix),
+    ("quality rules", _stage(quality_rules, first=True)),
+    ("line dedup", _stage(line_dedup)),
+    ("n-gram Jaccard join", _stage(near_duplicates)),
+    ("benchmark decontamination", _stage(decontamination)),
+    ("mixing sources to target weights", _stage(source_mix)),
 ]
 
 #: Permutations and tilings can't be said in SQL; tests hold the stages against brute force.
