@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timeutil import month_of, ntz
+from ..operators.coverage import covered_runs
 from ..operators.dedup import keep_last, trim_trailing_nulls
 from ..sources import sinks
 
@@ -115,7 +116,8 @@ class PartitionedTable:
     publishing one small pointer file (`sources/sinks.py`): readers see all of a run or
     nothing, and a run that breaks off changes nothing. With each month goes a summary
     per series (first and last stamp, rows, and for each value column the last stamp with
-    a value), which watermarks, trims and reports read in place of the data.
+    a value), which watermarks, trims and reports read in place of the data; tables with a
+    `step` keep covered runs for the checks in the same way.
     """
 
     spark: SparkSession
@@ -123,6 +125,8 @@ class PartitionedTable:
     schema: T.StructType
     series: list[str] = field(default_factory=list)
     ts: str = "ts"
+    #: With a step, each month also keeps the runs of steps that its rows cover.
+    step: str | None = None
     #: Rows that the last merge cut off as trailing NULLs.
     trimmed: int = field(default=0, init=False)
 
@@ -162,6 +166,12 @@ class PartitionedTable:
         parts = self.parts() if parts is None else parts
         return self._folders(f"{self.path.rstrip('/')}/_summary", self._summary_schema, parts).drop("run")
 
+    def runs(self) -> DataFrame:
+        """`(<series>, run_start, run_end, row_count, month)`: the covered runs of all months, as kept with them; needs a step."""
+        stamps = [T.StructField(n, T.TimestampNTZType()) for n in ("run_start", "run_end")]
+        schema = T.StructType([*[self.schema[c] for c in self.series], *stamps, T.StructField("row_count", T.LongType())])
+        return self._folders(f"{self.path.rstrip('/')}/_runs", schema, self.parts()).drop("run")
+
     def watermark(self) -> dt.datetime | dt.date | None:
         """Latest time stamp, from the newest month's summary."""
         parts = self.parts()
@@ -254,6 +264,9 @@ class PartitionedTable:
             *[F.max(F.when(F.col(c).isNotNull(), F.col(self.ts))).alias(f"valid_{c}") for c in values],
         )
         summary.hint("rebalance", "month").write.mode("append").partitionBy("month", "run").parquet(f"{self.path.rstrip('/')}/_summary")
+        if self.step:
+            runs = covered_runs(self._folders(self.path, self.schema, fresh), [*self.series, "month", "run"], self.ts, self.step)
+            runs.hint("rebalance", "month").write.mode("append").partitionBy("month", "run").parquet(f"{self.path.rstrip('/')}/_runs")
         return {m: run for m, run in parts.items() if m not in months} | fresh
 
     def _trimmed(self, parts: dict[str, str], trim: str) -> tuple[dict[str, str], set[str]]:

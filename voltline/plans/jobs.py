@@ -16,7 +16,8 @@ from .. import catalog, fixed_values as fixed
 from ..functions import values
 from ..functions.timeutil import in_half_open, ntz, seconds_between, shift_hours
 from ..operators.panels import annual_capacity_panel
-from ..operators.quality import grid_gap_check, max_gap_check, never_loaded
+from ..operators.coverage import gap_check_of_runs, max_gap_of_runs
+from ..operators.quality import never_loaded
 from ..operators.zones import spatial_mean
 from ..schemas import SERIES, struct
 from ..sources import market_csv, series_json, sinks, tenders, zone_csv
@@ -39,7 +40,7 @@ def landed_blocks(spark: SparkSession, root: str) -> DataFrame:
 
 
 def market_table(spark: SparkSession, path: str) -> inc.PartitionedTable:
-    return inc.PartitionedTable(spark, path, struct(SERIES), ["series"])
+    return inc.PartitionedTable(spark, path, struct(SERIES), ["series"], step="hour")
 
 
 def load_market_series(spark: SparkSession, landing: str, path: str) -> DataFrame:
@@ -61,13 +62,13 @@ def load_market_series(spark: SparkSession, landing: str, path: str) -> DataFram
 
 
 def check_market_series(spark: SparkSession, path: str, expected: DataFrame | None = None) -> DataFrame:
-    """Hourly gap check of every series; known gaps do not fail it.
+    """Hourly gap check of every series, from the runs kept with each month; known gaps do not fail it.
 
     A series of `expected` (by default of the catalogue) without a row was never
     loaded: it doesn't pass, as a warning.
     """
-    stored = market_table(spark, path).read()
-    checked = grid_gap_check(stored, "series", "ts", "hour", catalog.known_gaps(spark), catalog.gap_severity())
+    stored = market_table(spark, path).runs()
+    checked = gap_check_of_runs(stored, "series", "hour", catalog.known_gaps(spark), catalog.gap_severity())
     wanted = (catalog.series_ids(spark) if expected is None else expected).select("series").distinct()
     return checked.unionByName(never_loaded(wanted, stored, "series"), allowMissingColumns=True)
 
@@ -76,7 +77,7 @@ def check_market_series(spark: SparkSession, path: str, expected: DataFrame | No
 
 def quarter_hour_table(spark: SparkSession, name: str, path: str) -> inc.PartitionedTable:
     columns = ", ".join(f"{c} DOUBLE" for c in market_csv.LAYOUTS[name].values.values())
-    return inc.PartitionedTable(spark, path, struct(f"ts TIMESTAMP_NTZ, {columns}"))
+    return inc.PartitionedTable(spark, path, struct(f"ts TIMESTAMP_NTZ, {columns}"), step="quarter_hour")
 
 
 def load_quarter_hours(spark: SparkSession, name: str, files: str | list[str], path: str, today: dt.date, details: bool = False) -> DataFrame:
@@ -99,8 +100,7 @@ def load_quarter_hours(spark: SparkSession, name: str, files: str | list[str], p
 def check_quarter_hours(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Gap check of one table; one that was never written doesn't pass, as a warning, one without rows does."""
     table = quarter_hour_table(spark, name, path)
-    stored = table.read().withColumn("series", F.lit(name))
-    checked = grid_gap_check(stored, "series", "ts", "quarter_hour", severity=catalog.gap_severity())
+    checked = gap_check_of_runs(table.runs().withColumn("series", F.lit(name)), "series", "quarter_hour", severity=catalog.gap_severity())
     if table.months():
         return checked
     there = sinks.exists(spark, path)
@@ -118,7 +118,7 @@ _TENDERS = {"FCR": ("fcr_capacity_price", tenders.FCR_COLUMNS), "aFRR": ("afrr_c
 
 def tender_table(spark: SparkSession, product: str, path: str) -> inc.PartitionedTable:
     columns = ", ".join(f"{c} DOUBLE" for c in _TENDERS[product][1])
-    return inc.PartitionedTable(spark, path, struct(f"delivery_date DATE, {columns}"), ts="delivery_date")
+    return inc.PartitionedTable(spark, path, struct(f"delivery_date DATE, {columns}"), ts="delivery_date", step="day")
 
 
 def load_tenders(spark: SparkSession, product: str, files: list[str], path: str, today: dt.date) -> DataFrame:
@@ -134,12 +134,12 @@ def load_tenders(spark: SparkSession, product: str, files: list[str], path: str,
 
 def check_tenders(spark: SparkSession, product: str, path: str) -> DataFrame:
     name = _TENDERS[product][0]
-    stored = tender_table(spark, product, path).read().select(F.lit(name).alias("series"), F.col("delivery_date").cast("timestamp_ntz").alias("ts"))
-    return grid_gap_check(stored, "series", "ts", "day", catalog.known_gaps(spark))
+    runs = tender_table(spark, product, path).runs().withColumn("series", F.lit(name))
+    return gap_check_of_runs(runs, "series", "day", catalog.known_gaps(spark))
 
 
 def gas_table(spark: SparkSession, path: str) -> inc.PartitionedTable:
-    return inc.PartitionedTable(spark, path, struct(market_csv.OHLCV), ts="date")
+    return inc.PartitionedTable(spark, path, struct(market_csv.OHLCV), ts="date", step="day")
 
 
 def load_gas(spark: SparkSession, files: str | list[str], path: str) -> DataFrame:
@@ -151,7 +151,7 @@ def load_gas(spark: SparkSession, files: str | list[str], path: str) -> DataFram
 
 
 def check_gas(spark: SparkSession, path: str) -> DataFrame:
-    return max_gap_check(gas_table(spark, path).read().withColumn("series", F.lit("ttf_gas_price")), "series", "date")
+    return max_gap_of_runs(gas_table(spark, path).runs().withColumn("series", F.lit("ttf_gas_price")), "series")
 
 
 # --- full refreshes ------------------------------------------------------------------------

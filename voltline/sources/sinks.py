@@ -157,14 +157,14 @@ def publish(spark: SparkSession, path: str, before: Pointer, parts: dict[str, st
 def clean_parts(spark: SparkSession, path: str, column: str, among: set[str] | None = None) -> None:
     """Delete folders that neither the state nor the one before it names (readers may still be on that).
 
-    Looks at the parts `among`, or at all. `_summary` holds folders of the same names.
+    Looks at the parts `among`, or at all. `_summary` and `_runs` hold folders of the same names.
     """
     numbers = _numbers(spark, path)
     fs, _ = _path(spark, path)
     states = [_load_pointer(spark, path, n).parts for n in numbers[-2:]]
     for n in numbers[:-2]:
         fs.delete(_path(spark, _pointer_file(path, n))[1], False)
-    for root in (path.rstrip("/"), f"{path.rstrip('/')}/_summary"):
+    for root in (path.rstrip("/"), *[f"{path.rstrip('/')}/{side}" for side in ("_summary", "_runs")]):
         for part in partitions(spark, root, column) if among is None else among:
             named = {state[part] for state in states if part in state}
             for run in partitions(spark, f"{root}/{column}={part}", "run") - named:
