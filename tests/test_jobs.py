@@ -155,3 +155,50 @@ def test_country_factors_from_parts(spark, folder):
         assert spark.read.parquet(f"{folder}/pecd_country_capacity_factors_simple").count() == 3
     assert new == []
     assert rows(spark.read.parquet(f"{folder}/pecd_country_capacity_factors_simple_de")) == [(ts("2020-06-01 00:00"), 0.5, 0.5, 0.5)]
+
+
+def test_feature_collections(spark, folder):
+    """Any number of parts, empty ones and none at all make one valid document."""
+    import json
+
+    from voltline.sources import regions, sinks
+
+    rows_in = [(f"DE{i}", i % 4, f'na"me {i}', '{"type":"Point","coordinates":[1,2]}' if i % 5 else None) for i in range(23)]
+    df = spark.createDataFrame(rows_in, "NUTS_ID string, LEVL_CODE int, NUTS_NAME string, geometry string").selectExpr("'DE' AS CNTR_CODE", "*", "NUTS_NAME AS NAME_LATN")
+    properties = ["CNTR_CODE", "LEVL_CODE", "NUTS_ID", "NUTS_NAME", "NAME_LATN"]
+    for n, some in ((1, df), (7, df), (40, df), (2, df.limit(0))):
+        path = f"{folder}/out.geojson"
+        sinks.write_feature_collection(some.repartition(n), path, "geometry", properties)
+        with open(path, encoding="utf-8") as f:
+            assert len(json.load(f)["features"]) == some.count()
+        assert rows(regions.read_features(spark, path)) == rows(some.select("CNTR_CODE", "LEVL_CODE", "NUTS_ID", "NUTS_NAME", "NAME_LATN", "geometry"))
+
+
+def test_bucketed_registry_joins_without_shuffle(spark, folder):
+    """Units and detail in equal buckets of the unit id: the join moves neither, and gives what the plain one gives."""
+    from voltline.plans import registry
+    from voltline.sources.sinks import write_bucketed
+
+    detail = spark.createDataFrame([("s3", "nachgeführt", None), ("s1", None, "x"), ("zz", None, None)], "unit_id string, main_orientation string, main_orientation_tilt_bucket string")
+    plain = registry.solar_units(solar(spark), detail, crosswalk(spark))
+    stored = [write_bucketed(df, f"bucketed_{n}", ["unit_id"], 4, f"{folder}/{n}") for n, df in (("units", solar(spark)), ("detail", detail))]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = registry.solar_units(*stored, crosswalk(spark).hint("broadcast"))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [unit_id" in plan and "Exchange hashpartitioning" not in plan and plan.count("Bucketed: true") == 2
+        assert rows(joined) == rows(plain) and plain.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for n in ("units", "detail"):
+            spark.sql(f"DROP TABLE bucketed_{n}")
+
+
+def test_block_listing_opens_no_file(spark, folder):
+    block(folder, "a", 0, [1])
+    block(folder, "b", 5, [1])
+    block(folder, "b", 7, [1])
+    found = jobs.landed_blocks(spark, f"{folder}/landing")
+    assert rows(found) == [("a", JAN), ("b", JAN + 5 * HOUR_MS), ("b", JAN + 7 * HOUR_MS)]
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1].split("\n")[0]
+    assert jobs.landed_blocks(spark, f"{folder}/nothing").count() == 0

@@ -31,12 +31,11 @@ from . import registry
 # --- hourly market series -----------------------------------------------------------
 
 def landed_blocks(spark: SparkSession, root: str) -> DataFrame:
-    """`(name, block_ts)` of the landed block folders: two listings, no file is opened."""
-    rows = [
-        (name, int(block)) for name in sorted(sinks.partitions(spark, root, "name"))
-        for block in sinks.partitions(spark, f"{root.rstrip('/')}/name={name}", "block_ts")
-    ]
-    return spark.createDataFrame(rows, "name STRING, block_ts BIGINT")
+    """`(name, block_ts)` of the landed block folders, as a scan of the files' paths: Spark lists the folders, no file is opened."""
+    if not sinks.exists(spark, root):
+        return spark.createDataFrame([], "name STRING, block_ts BIGINT")
+    files = spark.read.format("binaryFile").load(root)  # without `content`, only the listing is read
+    return files.select(F.col("name").cast("string").alias("name"), F.col("block_ts").cast("bigint").alias("block_ts")).distinct()
 
 
 def market_table(spark: SparkSession, path: str) -> inc.PartitionedTable:

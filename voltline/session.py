@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Only settings that matter for every job; anything tied to a cluster's size
@@ -25,3 +28,11 @@ def build_session(app_name: str = "voltline", master: str | None = None, **conf:
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder that all machines share: under spark.checkpoint.dir, else the warehouse; a temporary one in local mode."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and spark.conf.get("spark.master", "local").startswith("local"):
+        return f"file://{tempfile.mkdtemp(prefix='spark-')}"
+    return f"{(root or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/voltline-{uuid.uuid4().hex}"

@@ -227,3 +227,48 @@ def feature(geometry_json: Column, properties: list[str]) -> Column:
 def write_features(df: DataFrame, path: str, geometry: str, properties: list[str]) -> None:
     """One Feature per line (GeoJSON text sequence), written in parallel."""
     df.select(feature(F.col(geometry), properties).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_feature_collection(df: DataFrame, path: str, geometry: str, properties: list[str]) -> None:
+    """One GeoJSON FeatureCollection file, an empty one for no rows.
+
+    Features are printed in parallel, one per line, every line ending in a comma; the parts are
+    then joined by streaming their bytes behind each other (the last without its comma). No row
+    is gathered anywhere, and the file appears by one rename.
+    """
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
+    df.select(feature(F.col(geometry), properties).alias("value")).write.option("lineSep", ",\n").text(staging)
+    fs, parts = _path(spark, staging)
+    found = [s for s in fs.listStatus(parts) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
+    whole = _path(spark, f"{staging}/_whole")[1]
+    copy = spark._jvm.org.apache.commons.io.IOUtils.copyLarge
+    out = fs.create(whole, False)
+    try:
+        out.write(bytearray(b'{"type":"FeatureCollection","features":[\n'))
+        for i, part in enumerate(found):
+            stream = fs.open(part.getPath())
+            try:
+                copy(stream, out, 0, part.getLen() - (2 if i == len(found) - 1 else 0))
+            finally:
+                stream.close()
+        out.write(bytearray(b"\n]}\n"))
+    finally:
+        out.close()
+    target = _path(spark, path)[1]
+    fs.delete(target, True)
+    _move(fs, whole, target)
+    fs.delete(parts, True)
+
+
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Store `df` as a catalogue table in buckets of `keys`, sorted within; returns the stored table.
+
+    Tables with equally many buckets of a join's keys are joined without a shuffle, as often as
+    they are read. `buckets` is the parallelism of such joins: a few hundred MB each.
+    """
+    spark = df.sparkSession
+    # one file per bucket: rows of a bucket meet in one task before they are written
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return spark.table(table)
