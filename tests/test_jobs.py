@@ -202,3 +202,61 @@ def test_block_listing_opens_no_file(spark, folder):
     assert rows(found) == [("a", JAN), ("b", JAN + 5 * HOUR_MS), ("b", JAN + 7 * HOUR_MS)]
     assert "content" not in found._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1].split("\n")[0]
     assert jobs.landed_blocks(spark, f"{folder}/nothing").count() == 0
+
+
+def test_weather_grid_jobs(spark, folder):
+    """Twice the same: a stored month is final, a new one is added, means follow."""
+    def landed(months, t):
+        stamps = [(12.0 + x, 50.0 + y, ts(f"2020-{m:02d}-01 0{h}:00"), t + h) for m in months for h in range(2) for x in (0, 1) for y in (1, 0)]
+        instant = spark.createDataFrame([(x, y, at, v, 3.0, 4.0) for x, y, at, v in stamps], "longitude double, latitude double, time timestamp_ntz, t2m double, u10 double, v10 double")
+        return instant, spark.createDataFrame([(x, y, at, 7.0) for x, y, at, _ in stamps], "longitude double, latitude double, time timestamp_ntz, ssrd double")
+
+    rain = spark.createDataFrame([(ts("2020-01-01 00:00"), 0.002), (ts("2020-01-01 00:00"), 0.004)], "valid_time timestamp_ntz, tp double")
+    assert jobs.load_weather_grid(*landed([1, 2], 273.15), folder) == ["2020-01", "2020-02"]
+    assert jobs.load_weather_grid(*landed([1, 2, 3], 300.0), folder) == ["2020-03"]
+    assert jobs.load_weather_grid(*landed([1, 2, 3], 300.0), folder) == []
+    assert rows(jobs.report_weather_grid(spark, folder))[0][:3] == (24, 4, 3)
+    for _ in range(2):
+        jobs.refresh_weather_means(spark, folder, rain)
+        temperature = rows(spark.read.parquet(f"{folder}/era5_de_temperature_hourly"))
+        assert len(temperature) == 6 and temperature[0] == (ts("2020-01-01 00:00"), pytest.approx(0.0)) and temperature[-1][1] == pytest.approx(27.85)
+        assert {r[1] for r in rows(spark.read.parquet(f"{folder}/era5_de_wind_speed_hourly"))} == {5.0}
+        assert rows(spark.read.parquet(f"{folder}/era5_de_precipitation_hourly"))[0][1] == pytest.approx(3.0)
+
+
+def test_masks_regions_and_hulls(spark, folder):
+    import json
+
+    from voltline.sources import regions
+
+    landed = spark.createDataFrame([("DE02", 54.0, 9.0, 0.5), ("DE01", 54.0, 9.0, 0.0), ("DE01", 54.5, 9.0, 1.0)], "zone_id string, cell_lat double, cell_lon double, coverage double")
+    kept = [("DE01", 54.5, 9.0, 1.0), ("DE02", 54.0, 9.0, 0.5)]
+    assert rows(jobs.load_mask(spark, landed, folder, "peon")) == kept == rows(jobs.load_mask(spark, landed.limit(0), folder, "peon"))
+    shape = {"type": "Point", "coordinates": [1, 2]}
+    found = [("DE", 0, "DE"), ("DE", 3, "DE212"), ("FR", 0, "FR"), ("FR", 1, "FR1"), ("XX", 0, "XX")]
+    text = json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"CNTR_CODE": c, "LEVL_CODE": n, "NUTS_ID": i, "NUTS_NAME": i, "NAME_LATN": i}, "geometry": shape} for c, n, i in found]})
+    file = put(folder, "features.geojson", text)
+    jobs.refresh_capacity(spark, wind(spark), solar(spark), crosswalk(spark), storage(spark), folder, 2020)
+    for _ in range(2):
+        jobs.refresh_regions(spark, file, folder)
+        jobs.refresh_offshore_regions(spark, folder, F.lit("2018-06-01").cast("date"))
+        nuts = regions.read_features(spark, f"{folder}/nuts_regions.geojson")
+        assert rows(nuts, "NUTS_ID", "LEVL_CODE") == [("DE", 0), ("DE212", 3)] and json.loads(nuts.first()["geometry"]) == shape
+        assert rows(regions.read_features(spark, f"{folder}/country_borders.geojson"), "CNTR_CODE") == [(c,) for c in ("DE", "FR", "XX") if c in fixed.NEIGHBOUR_COUNTRIES]
+        with open(f"{folder}/offshore_regions.geojson", encoding="utf-8") as f:
+            sea = json.load(f)["features"]
+        assert [(f["properties"]["region_code"], f["properties"]["capacity_mw"], f["geometry"]["type"]) for f in sea] == [("DEZZ-NORDSEE", 6.0, "Point")]
+
+
+def test_site_records_and_metadata(spark, folder):
+    static = put(folder, "in/static.csv", "Title,Rated power (kW)\nK1,2050\nK2,2050\n")
+    meter = put(folder, "in/meter.csv", "# Site\n# Date and time," + ",".join(fixed.METER_COLUMNS) + ",Other\n2020-01-01 00:10:00,2.5,1,,9\n2020-01-01 00:00:00,1.5,,1,9\n")
+    turbine = put(folder, "in/t1.csv", "# Turbine: K1\n# Date and time,Power (kW),Wind speed (m/s)\n2020-01-01 00:00:00,100,7.5\n")
+    for _ in range(2):
+        jobs.refresh_site(spark, static, meter, turbine, f"{folder}/out")
+        assert spark.read.parquet(f"{folder}/out/kelmarsh_wt_static").count() == 2
+        grid_meter = spark.read.parquet(f"{folder}/out/kelmarsh_grid_meter")
+        assert rows(grid_meter) == [(ts("2020-01-01 00:00"), 1.5, None, 1.0), (ts("2020-01-01 00:10"), 2.5, 1.0, None)]
+        scada = spark.read.parquet(f"{folder}/out/kelmarsh_turbine_scada")
+        assert rows(scada, "turbine", "Power (kW)", "Wind speed (m/s)", "Data Availability") == [("K1", 100.0, 7.5, None)]
+    assert grid_meter.schema["ts"].metadata["unit"] == "kWh" and scada.schema["turbine"].metadata["table"] == "kelmarsh_turbine_scada"

@@ -18,9 +18,10 @@ from ..functions.timeutil import in_half_open, ntz, seconds_between, shift_hours
 from ..operators.panels import annual_capacity_panel
 from ..operators.coverage import gap_check_of_runs, max_gap_of_runs
 from ..operators.quality import never_loaded
-from ..operators.zones import spatial_mean
-from ..schemas import SERIES, struct
-from ..sources import market_csv, series_json, sinks, tenders, zone_csv
+from ..operators.hulls import footprint_hulls
+from ..operators.zones import grid_summary, spatial_mean
+from ..schemas import SERIES, ZONE_MASK, conform, struct
+from ..sources import market_csv, regions, series_json, sinks, tenders, weather, zone_csv
 from ..sources import registry as extracts
 from ..sources.lines import read_lines
 from . import country, fleet
@@ -153,23 +154,28 @@ def check_gas(spark: SparkSession, path: str) -> DataFrame:
     return max_gap_of_runs(gas_table(spark, path).runs().withColumn("series", F.lit("ttf_gas_price")), "series")
 
 
+def _store(df: DataFrame, root: str, table: str) -> None:
+    """Replace a table of the catalogue; its catalogue row goes with its columns, as metadata."""
+    sinks.replace_table(catalog.describe(df, table), f"{root.rstrip('/')}/{table}")
+
+
 # --- full refreshes ------------------------------------------------------------------------
 
 def refresh_redispatch(spark: SparkSession, chart_file: str, measure_files: str | list[str], root: str) -> None:
     """Both redispatch tables are restated by their sources, so they are replaced as a whole."""
-    sinks.replace_table(market_csv.redispatch_by_source(read_lines(spark, chart_file)), f"{root}/smard_redispatch_by_source")
-    sinks.replace_table(market_csv.read_measures(spark, measure_files), f"{root}/redispatch_measures")
+    _store(market_csv.redispatch_by_source(read_lines(spark, chart_file)), root, "smard_redispatch_by_source")
+    _store(market_csv.read_measures(spark, measure_files), root, "redispatch_measures")
 
 
 def refresh_capacity(spark: SparkSession, wind: DataFrame, solar: DataFrame, crosswalk: DataFrame, storage: DataFrame, root: str, this_year: int) -> DataFrame:
     """Located units and the two annual panels; the panels read the written units."""
     events_path = f"{root}/mastr_capacity_events"
-    sinks.replace_table(registry.capacity_events(wind, solar, crosswalk, storage), events_path)
+    _store(registry.capacity_events(wind, solar, crosswalk, storage), root, "mastr_capacity_events")
     events = spark.read.parquet(events_path)
     last = F.lit(this_year)
-    sinks.replace_table(annual_capacity_panel(events, ["region_code", "technology"], last), f"{root}/mastr_capacity_by_region_year")
+    _store(annual_capacity_panel(events, ["region_code", "technology"], last), root, "mastr_capacity_by_region_year")
     by_category = annual_capacity_panel(events.filter(F.col("technology") == "solar"), ["region_code", "pv_category"], last)
-    sinks.replace_table(by_category, f"{root}/mastr_capacity_by_region_year_pv_category")
+    _store(by_category, root, "mastr_capacity_by_region_year_pv_category")
     return registry.capacity_by(events, ["technology"])
 
 
@@ -204,8 +210,8 @@ def refresh_country_factors(spark: SparkSession, parts: str, mask: DataFrame, we
     solar = zone_csv.read_factor_parts(spark, parts, "solar").select(shift_hours("ts", -1).alias("ts"), F.col("zone_id").alias("country"), "technology", "cf")
     onshore, offshore = (zone_csv.read_factor_parts(spark, parts, kind).select("ts", "zone_id", "cf") for kind in ("wind_onshore", "wind_offshore"))
     path = f"{root}/pecd_country_capacity_factors_simple"
-    sinks.replace_table(country.country_product(solar, onshore, offshore, mask, weights), path)
-    sinks.replace_table(country.country_slice(spark.read.parquet(path), "DE"), f"{path}_de")
+    _store(country.country_product(solar, onshore, offshore, mask, weights), root, "pecd_country_capacity_factors_simple")
+    _store(country.country_slice(spark.read.parquet(path), "DE"), root, "pecd_country_capacity_factors_simple_de")
 
 
 def refresh_fleet(
@@ -213,13 +219,13 @@ def refresh_fleet(
     first_month: Column, last_month: Column, export_from: Column, as_of: Column,
 ) -> None:
     """Historic potential, current-fleet factors, fleet snapshot, technology base and fleet-weighted factors."""
-    sinks.replace_table(fleet.historic_potential(families, first_month, last_month, export_from), f"{root}/de_potential_historic")
-    sinks.replace_table(fleet.current_fleet_factors(families, as_of), f"{root}/de_capacity_factor_current_fleet")
-    sinks.replace_table(base, f"{root}/de_technology_capacity_factors")
+    _store(fleet.historic_potential(families, first_month, last_month, export_from), root, "de_potential_historic")
+    _store(fleet.current_fleet_factors(families, as_of), root, "de_capacity_factor_current_fleet")
+    _store(base, root, "de_technology_capacity_factors")
     snapshot = fleet.fleet_snapshot(solar, wind, as_of)
-    sinks.replace_table(fleet.snapshot_table(snapshot), f"{root}/de_fleet_weights_snapshot")
+    _store(fleet.snapshot_table(snapshot), root, "de_fleet_weights_snapshot")
     stored = spark.read.parquet(f"{root}/de_technology_capacity_factors")
-    sinks.replace_table(fleet.fleet_weighted(stored, snapshot), f"{root}/de_capacity_factors_fleet_weighted")
+    _store(fleet.fleet_weighted(stored, snapshot), root, "de_capacity_factors_fleet_weighted")
 
 
 # --- registry extracts -----------------------------------------------------------------------
@@ -234,4 +240,55 @@ def refresh_registry(wind: DataFrame, solar: DataFrame, detail: DataFrame, stora
         "lau_nuts_correspondence": extracts.crosswalk(crosswalk),
     }
     for name, df in tables.items():
-        sinks.replace_table(df, f"{root}/{name}")
+        _store(df, root, name)
+
+
+# --- weather grid, masks, outlines, site records -----------------------------------------------
+
+def load_weather_grid(instant: DataFrame, accumulated: DataFrame, root: str) -> list[str]:
+    """Months that the stored grid lacks, from landed instantaneous and accumulated fields; a stored month is final."""
+    grid = weather.with_month(weather.merge_grids(instant, accumulated))
+    return sinks.write_missing_parts(grid, f"{root.rstrip('/')}/era5_grid_de", "month", ["cell_lat", "cell_lon", "valid_time"])
+
+
+def report_weather_grid(spark: SparkSession, root: str) -> DataFrame:
+    """Rows, cells and months of the stored grid."""
+    return grid_summary(weather.read_grid(spark, f"{root.rstrip('/')}/era5_grid_de"))
+
+
+def refresh_weather_means(spark: SparkSession, root: str, precipitation: DataFrame, weight: Column | None = None) -> None:
+    """The three national hourly means: two from the stored grid, precipitation from a landed grid of its own (`valid_time`, `tp` in metres)."""
+    grid = weather.read_grid(spark, f"{root.rstrip('/')}/era5_grid_de")
+    means = weather_means(grid, weight)
+    _store(means["avg_de_2m_temp"], root, "era5_de_temperature_hourly")
+    _store(means["avg_de_wind_speed_10m"], root, "era5_de_wind_speed_hourly")
+    _store(precipitation_mean(precipitation, "tp", weight), root, "era5_de_precipitation_hourly")
+
+
+def load_mask(spark: SparkSession, landed: DataFrame, root: str, scheme: str) -> DataFrame:
+    """The zone mask of a scheme (`peon`, `peof`), stored once without empty cells, and read back; a stored mask is final."""
+    path = f"{root.rstrip('/')}/{scheme}_region_mask"
+    if not sinks.exists(spark, path):
+        _store(conform(landed, ZONE_MASK).filter("coverage > 0").orderBy("zone_id", "cell_lat", "cell_lon"), root, f"{scheme}_region_mask")
+    return regions.read_mask(spark, path)
+
+
+def refresh_regions(spark: SparkSession, features_file: str, root: str) -> None:
+    """German regions of all levels and the neighbours' outlines, each as one GeoJSON collection."""
+    features = regions.read_features(spark, features_file)
+    sinks.write_feature_collection(regions.country_regions(features), f"{root}/nuts_regions.geojson", "geometry", ["NUTS_ID", "LEVL_CODE", "NUTS_NAME", "NAME_LATN"])
+    sinks.write_feature_collection(regions.neighbour_outlines(features), f"{root}/country_borders.geojson", "geometry", ["CNTR_CODE", "NAME_LATN"])
+
+
+def refresh_offshore_regions(spark: SparkSession, root: str, as_of: Column) -> None:
+    """Hulls of the units at sea that are active at `as_of`, from the stored capacity events, as one GeoJSON collection."""
+    now = registry.offshore_now(spark.read.parquet(f"{root.rstrip('/')}/mastr_capacity_events"), as_of)
+    hulls = footprint_hulls(now, "region_code", "longitude", "latitude", "capacity_mw")
+    sinks.write_feature_collection(hulls.withColumnRenamed("region", "region_code"), f"{root}/offshore_regions.geojson", "geojson", ["region_code", "capacity_mw", "unit_count"])
+
+
+def refresh_site(spark: SparkSession, static_file: str, meter_files: str | list[str], turbine_files: str | list[str], root: str) -> None:
+    """A wind farm's static table, grid meter and turbine telemetry."""
+    _store(zone_csv.read_static_table(spark, static_file), root, "kelmarsh_wt_static")
+    _store(zone_csv.read_meter(spark, meter_files).orderBy("ts"), root, "kelmarsh_grid_meter")
+    _store(zone_csv.read_turbines(spark, turbine_files).orderBy("turbine", "ts"), root, "kelmarsh_turbine_scada")

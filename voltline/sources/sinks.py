@@ -189,19 +189,20 @@ def _refuse_null_part(spark: SparkSession, parts: set[str], staging: str, column
         raise ValueError(f"rows without {column} can't be stored")
 
 
-def write_missing_parts(df: DataFrame, path: str, part: str) -> list[str]:
+def write_missing_parts(df: DataFrame, path: str, part: str, order: list[str] = ()) -> list[str]:
     """Write only the parts the target lacks; a part on disk is final. Returns the new parts.
 
     `part` must be a column; existing parts are excluded by a filter on it, so a
     partitioned source is pruned before it is read. New parts are complete in a
-    staging folder before each is moved in place. Rows without a part raise.
+    staging folder before each is moved in place, its files sorted by `order`. Rows without
+    a part raise.
     """
     spark = df.sparkSession
     present = partitions(spark, path, part)
     known = F.col(part).cast("string").isin(*sorted(present))
     todo = df.filter(~F.coalesce(known, F.lit(False))) if present else df
     staging = f"{path.rstrip('/')}/_staging_{uuid.uuid4().hex}"
-    todo.hint("rebalance", part).write.partitionBy(part).parquet(staging)
+    todo.hint("rebalance", part).sortWithinPartitions(part, *order).write.partitionBy(part).parquet(staging)
     fresh = partitions(spark, staging, part)
     _refuse_null_part(spark, fresh, staging, part)
     fs, staged = _path(spark, staging)
