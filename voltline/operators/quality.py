@@ -72,16 +72,20 @@ def grid_gap_check(
     )
 
 
-def _grid(step: str) -> Column:
-    return F.sequence(F.col("lo"), F.col("hi"), F.expr(STEP_INTERVALS[step]))
-
-
 def missing_steps(df: DataFrame, series: str, ts: str, step: str) -> DataFrame:
-    """The missing `(series, ts)` themselves."""
+    """The missing `(series, ts)` themselves, counted in steps from each series' first stamp.
+
+    Only they become rows: they lie between neighbouring steps, or between the last step and a
+    later stamp that is on none.
+    """
     present = F.col(series).isNotNull() & F.col(ts).isNotNull()
     stamps = df.filter(present).select(F.col(series).alias("series"), F.col(ts).alias("ts")).distinct()
     bounds = stamps.groupBy("series").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    return bounds.select("series", F.explode(_grid(step)).alias("ts")).join(stamps, ["series", "ts"], "left_anti")
+    micros, width = F.lit(int(_STEP_SECONDS[step]) * 1_000_000).cast("bigint"), F.expr(STEP_INTERVALS[step])
+    on_grid = stamps.join(bounds, "series").filter(F.pmod(epoch_micros("ts") - epoch_micros("lo"), micros) == 0)
+    following = F.lead("ts").over(Window.partitionBy("series").orderBy("ts"))
+    gaps = on_grid.select("series", (F.col("ts") + width).alias("_from"), F.coalesce(following - width, "hi").alias("_to"))
+    return gaps.filter("_from <= _to").select("series", F.explode(F.sequence("_from", "_to", width)).alias("ts"))
 
 
 def never_loaded(expected_series: DataFrame, present: DataFrame, series: str) -> DataFrame:

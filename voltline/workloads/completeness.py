@@ -140,3 +140,14 @@ def grid_part_summary(spark, d):
         F.col("l_suppkey").alias("cell_lon"), F.col("l_linenumber").alias("cell_lat"), F.col("l_shipdate").alias("valid_time")
     )
     return grid_summary(grid)
+
+
+@workload("""
+WITH p AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS series, date_trunc('hour', ts) AS ts FROM events),
+b AS (SELECT series, min(ts) AS lo, max(ts) AS hi FROM p GROUP BY series),
+g AS (SELECT series, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts FROM b)
+SELECT g.series, g.ts FROM g ANTI JOIN p ON p.series = g.series AND p.ts = g.ts""")
+def missing_steps(spark, d):
+    """The missing hours of every user themselves."""
+    events = table(spark, d, "events").select(F.col("user_id").cast("string").alias("user"), floor_to("ts", "hour").alias("ts"))
+    return quality.missing_steps(events, "user", "ts", "hour")
