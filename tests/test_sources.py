@@ -289,3 +289,18 @@ def test_catalogue(spark):
     assert described.schema["value"].metadata["unit"] == "MW"
     severities = spark.createDataFrame([("nrv_saldo",), ("id_aep",)], "series string").select(catalog.gap_severity())
     assert [r[0] for r in severities.collect()] == ["WARN", "ERROR"]
+
+
+def test_tenders_are_read_in_one_scan(spark, folder):
+    """Whatever their columns and quoting; a table without a known price column raises."""
+    new, old = fixed.FCR_PRICE_COLUMNS
+    paths = [
+        put(folder, "R_1.csv", f'PRODUCTNAME,"{old}",TENDER_NUMBER,DATE_FROM\n"NEGPOS_00_04","40",1,2022-08-30\n'),
+        put(folder, "R_2.csv", f'DATE_FROM,TENDER_NUMBER,PRODUCTNAME,NOTE,{new}\n2022-08-31,1,NEGPOS_00_04,"a, b",44\n2022-08-31,x,NEGPOS_04_08,,44\n'),
+    ]
+    table = tenders.read_tenders(spark, paths, "FCR")
+    assert rows(table, "delivery_date", "negpos_00_04", "negpos_04_08") == [(day("2022-08-30"), 10.0, None), (day("2022-08-31"), 11.0, None)]
+    assert "ExistingRDD" not in table._jdf.queryExecution().executedPlan().toString()
+    bad = put(folder, "R_3.csv", "DATE_FROM,TENDER_NUMBER,PRODUCTNAME\n2022-09-01,1,NEGPOS_00_04\n")
+    with pytest.raises(Exception, match="no known FCR price column in R_3.csv"):
+        tenders.read_tenders(spark, [*paths, bad], "FCR").collect()

@@ -6,8 +6,6 @@ them into UTC hours.
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from ..functions.timeutil import lenient_date, ntz
 from ..functions.values import per_block_to_per_hour
 from ..operators.dedup import keep_first, keep_last
 from ..operators.reshape import pivot_strict
-from .lines import read_lines
+from .lines import field, read_lines
 
 BERLIN = "Europe/Berlin"
 FCR_COLUMNS = [f"negpos_{b}" for b in fixed.BLOCKS]
@@ -39,13 +37,13 @@ def fcr_prices(raw: DataFrame) -> DataFrame:
     column = next((c for c in fixed.FCR_PRICE_COLUMNS if c in raw.columns), None)
     if column is None:
         raise ValueError(f"no known FCR price column among {raw.columns}")
-    tender = raw.filter(F.col("TENDER_NUMBER").cast("int") == 1)
-    if "file" not in raw.columns:
-        tender = tender.withColumn("file", F.lit(""))
+    return _fcr(raw if "file" in raw.columns else raw.withColumn("file", F.lit("")), per_block_to_per_hour(_number(column)))
+
+
+def _fcr(raw: DataFrame, price: Column) -> DataFrame:
+    tender = raw.filter(F.col("TENDER_NUMBER").try_cast("int") == 1)
     with_blocks = tender.filter(F.col("PRODUCTNAME") == "NEGPOS_00_04").select("file").distinct()
-    return tender.join(with_blocks, "file", "left_semi").select(
-        "file", _day(), F.lower("PRODUCTNAME").alias("block"), per_block_to_per_hour(_number(column)).alias("price")
-    )
+    return tender.join(with_blocks, "file", "left_semi").select("file", _day(), F.lower("PRODUCTNAME").alias("block"), price.alias("price"))
 
 
 def afrr_prices(raw: DataFrame) -> DataFrame:
@@ -56,8 +54,10 @@ def afrr_prices(raw: DataFrame) -> DataFrame:
         price = per_block_to_per_hour(_number(fixed.AFRR_PRICE_PER_BLOCK))
     else:
         raise ValueError(f"no known aFRR price column among {raw.columns}")
-    if "file" not in raw.columns:
-        raw = raw.withColumn("file", F.lit(""))
+    return _afrr(raw if "file" in raw.columns else raw.withColumn("file", F.lit("")), price)
+
+
+def _afrr(raw: DataFrame, price: Column) -> DataFrame:
     return raw.select("file", _day(), F.lower("PRODUCT").alias("block"), price.alias("price"))
 
 
@@ -67,23 +67,48 @@ def block_table(prices: DataFrame, columns: list[str]) -> DataFrame:
     return keep_last(wide, ["delivery_date"], ["file"]).drop("file")
 
 
+#: Columns of a landed table that can be read; further ones are not looked at.
+_MOST_COLUMNS = 64
+
+
+def _tables(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Rows of CSV tables with different columns, in one scan: file (its name), fields, and the header of their file."""
+    names = [f"c{i}" for i in range(_MOST_COLUMNS)]
+    cells = F.from_csv("value", F.lit(", ".join(f"{n} STRING" for n in names)))
+    parsed = read_lines(spark, paths).select("file", "pos", cells.alias("c")).select("file", "pos", F.array(*[F.col(f"c.{n}") for n in names]).alias("fields"))
+    headers = parsed.groupBy("file").agg(F.min_by("fields", "pos").alias("header"), F.min("pos").alias("_first"))
+    body = parsed.join(headers, "file").filter(F.col("pos") > F.col("_first"))
+    return body.select(F.regexp_extract("file", "[^/]*$", 0).alias("file"), "fields", F.transform("header", lambda h: F.trim(h)).alias("header"))
+
+
+def _first_of(prices: dict[str, Column], product: str) -> Column:
+    """The price under the first column name that the row's table has; a table with none raises."""
+    column = F.raise_error(F.concat(F.lit(f"no known {product} price column in "), F.col("file"))).cast("double")
+    for name, price in reversed(prices.items()):
+        column = F.when(F.array_contains("header", name), price).otherwise(column)
+    return column
+
+
 def read_tenders(spark: SparkSession, paths: list[str], product: str) -> DataFrame:
     """Landed CSV tables of `product` ("FCR" or "aFRR"), whatever columns each has.
 
-    Files are grouped by their header line, found in one job, and read once per
-    distinct header. Their names carry the date range and so order them.
+    All files are read in one scan; a field's place follows from the header line of its own
+    file, which is joined on the file. File names carry the date range and so order them.
     """
-    parse, columns = {"FCR": (fcr_prices, FCR_COLUMNS), "aFRR": (afrr_prices, AFRR_COLUMNS)}[product]
+    columns = {"FCR": FCR_COLUMNS, "aFRR": AFRR_COLUMNS}[product]
     if not paths:
         return spark.createDataFrame([], ", ".join(["delivery_date DATE", *[f"{c} DOUBLE" for c in columns]]))
-    headers = read_lines(spark, list(dict.fromkeys(paths))).groupBy("file").agg(F.min_by("value", "pos").alias("header"))
-    groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
-    prices = None
-    for group in groups:
-        # metadata has paths as URLs; readers take them as they are
-        raw = spark.read.option("header", True).csv([unquote(f) for f in group["files"]]).withColumn("file", F.col("_metadata.file_name"))
-        part = parse(raw)
-        prices = part if prices is None else prices.unionByName(part)
+    tables = _tables(spark, list(dict.fromkeys(paths)))
+
+    def number(name: str) -> Column:
+        return field(name).try_cast("double")
+
+    if product == "FCR":
+        price = _first_of({n: per_block_to_per_hour(number(n)) for n in fixed.FCR_PRICE_COLUMNS}, product)
+        prices = _fcr(tables.select("file", *[field(n).alias(n) for n in ("DATE_FROM", "TENDER_NUMBER", "PRODUCTNAME")], price.alias("_price")), F.col("_price"))
+    else:
+        price = _first_of({fixed.AFRR_PRICE_PER_HOUR: number(fixed.AFRR_PRICE_PER_HOUR), fixed.AFRR_PRICE_PER_BLOCK: per_block_to_per_hour(number(fixed.AFRR_PRICE_PER_BLOCK))}, product)
+        prices = _afrr(tables.select("file", *[field(n).alias(n) for n in ("DATE_FROM", "PRODUCT")], price.alias("_price")), F.col("_price"))
     return block_table(prices, columns)
 
 
