@@ -653,7 +653,7 @@ def test_pipeline(spark):
     assert [n for n, _ in cp.STAGES] == ["quality rules", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "mixing sources to target weights"]
     out = cp.run(spark, SF_DIR).collect()
     kept = {r["doc_id"]: r["text"] for r in line_quality.apply_rules(documents).collect()}
-    lines = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(list(kept.items()), "doc_id long, text string")).filter("n_removed_lines < n_lines OR n_removed_lines = 0").collect()}
+    lines = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(list(kept.items()), "doc_id long, text string"), least_words=line_dedup.PASSAGE_WORDS).filter("n_removed_lines < n_lines OR n_removed_lines = 0").collect()}
     s = sets([(i, t) for i, t in lines.items()], 5)
     first = {}
     for a in sorted(s):

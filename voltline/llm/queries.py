@@ -85,8 +85,12 @@ li AS (SELECT doc_id, unnest(a) AS l, generate_subscripts(a, 1) AS pos FROM raw)
 n AS (SELECT doc_id, l, pos, array_to_string(regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), ' ') AS t FROM li),
 s AS (SELECT doc_id, pos, t, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM n WHERE t <> ''),
 v AS (SELECT doc_id, i, t AS a, lead(t) OVER x AS b, lead(t, 2) OVER x AS c FROM s WINDOW x AS (PARTITION BY doc_id ORDER BY i)),
-r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS k FROM v WHERE c IS NOT NULL),
-gone AS (SELECT DISTINCT s.doc_id, s.pos FROM r JOIN s ON r.doc_id = s.doc_id AND s.i BETWEEN r.i AND r.i + 2 WHERE r.k > 1)
+runs AS (
+  SELECT doc_id, i, 2 AS more, a, b, c FROM v WHERE c IS NOT NULL
+  UNION ALL SELECT doc_id, i, 1, a, b, NULL FROM v WHERE b IS NOT NULL AND len(string_split(a, ' ')) + len(string_split(b, ' ')) >= {line_dedup.PASSAGE_WORDS}
+  UNION ALL SELECT doc_id, i, 0, a, NULL, NULL FROM v WHERE len(string_split(a, ' ')) >= {line_dedup.PASSAGE_WORDS}),
+r AS (SELECT doc_id, i, more, row_number() OVER (PARTITION BY more, a, b, c ORDER BY doc_id, i) AS k FROM runs),
+gone AS (SELECT DISTINCT s.doc_id, s.pos FROM r JOIN s ON r.doc_id = s.doc_id AND s.i BETWEEN r.i AND r.i + r.more WHERE r.k > 1)
 SELECT n.doc_id, CAST(count(*) FILTER (t <> '') AS BIGINT) AS n_lines, CAST(count(gone.pos) AS BIGINT) AS n_removed_lines,
   md5(coalesce(string_agg(l, chr(10) ORDER BY n.pos) FILTER (gone.pos IS NULL), '')) AS kept_md5
 FROM n LEFT JOIN gone ON n.doc_id = gone.doc_id AND n.pos = gone.pos GROUP BY n.doc_id
@@ -95,8 +99,8 @@ FROM n LEFT JOIN gone ON n.doc_id = gone.doc_id AND n.pos = gone.pos GROUP BY n.
 
 @query(LINE_DEDUP_SQL)
 def op5_line_winnowing(spark: SparkSession, folder: str) -> DataFrame:
-    """Later repeats of runs of three lines or more removed."""
-    out = line_dedup.dedup_lines(documents(spark, folder).select("doc_id", "text"))
+    """Later repeats of runs of three lines or fifty words removed."""
+    out = line_dedup.dedup_lines(documents(spark, folder).select("doc_id", "text"), least_words=line_dedup.PASSAGE_WORDS)
     return out.select("doc_id", "n_lines", "n_removed_lines", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("kept_md5"))
 
 
