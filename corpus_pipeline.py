@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltline.llm.decontaminate import tilings
-from voltline.llm.line_dedup import dedup_lines
+from voltline.llm.line_dedup import PASSAGE_WORDS, dedup_lines
 from voltline.llm.line_quality import apply_rules
 from voltline.llm.mixing import mix_texts
 from voltline.llm.ngram_join import join_by_shingles
@@ -49,8 +49,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of runs of lines go out of the texts; documents of which no line is left go with them."""
-    return _measured(dedup_lines(docs).filter("n_removed_lines = 0 OR n_removed_lines < n_lines"), docs)
+    """Later repeats of runs of three lines or fifty words go out of the texts; documents of which no line is left go with them."""
+    return _measured(dedup_lines(docs, least_words=PASSAGE_WORDS).filter("n_removed_lines = 0 OR n_removed_lines < n_lines"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
