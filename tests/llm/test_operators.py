@@ -198,7 +198,7 @@ def plain_tree(texts, depth):
         for (k, context, prefix), (a, b) in counts.items():
             if k == d:
                 own = kt(a, b)
-                if (context, prefix) in below:
+                if k < depth:
                     deeper = below[context, prefix]
                     weighted[k, context, prefix] = math.log(0.5) + np.logaddexp(own, deeper)
                     stop[k, context, prefix] = math.exp(own - np.logaddexp(own, deeper))
@@ -215,35 +215,52 @@ def plain_tree(texts, depth):
             for bit in range(8):
                 prefix, one = (1 << bit) | (s[i] >> (8 - bit)), 0.5
                 path = [(d, padded[i + depth - d : i + depth], prefix) for d in range(depth + 1)]
-                path = [p for p in path if p in counts]
-                for j, p in enumerate(reversed(path)):
-                    a, b = counts[p]
-                    g = stop[p] if j else 1.0
-                    one = g * (b + 0.5) / (a + b + 1) + (1 - g) * one
+                for p in reversed(path):
+                    if p in counts:  # else it says 1/2
+                        a, b = counts[p]
+                        one = stop[p] * (b + 0.5) / (a + b + 1) + (1 - stop[p]) * one
                 total += math.log10(one if (s[i] >> (7 - bit)) & 1 else 1 - one)
         return total
 
     return log10
 
 
-def test_context_tree_weights(spark):
-    rows = [(i, t[:300] if t else t) for i, t, *_ in corpus()[:40:2]]
+@pytest.mark.parametrize("depth", [2, 4])
+def test_context_tree_weights(spark, monkeypatch, depth):
+    """Against the tree by the book, also for texts that weren't learned from, and the same in any partitioning and slicing."""
+    rows = [(i, t[:300] if t else t) for i, t, *_ in corpus()[:60:2]]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    want = plain_tree([t for _, t in rows], 2)
-    out = ctw.score_texts(df, F.lit(True), depth=2, most_contexts=1 << 20)
-    for r in out.collect():
-        text = dict(rows)[r["doc_id"]]
-        assert math.isclose(r["score"], want(text), rel_tol=1e-4), r
+    training = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 0
+    learned = [t for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 3]
+    want = plain_tree(learned, depth)
+    assert 0 < len(learned) < len(rows)
+    seen = []
+    for parts, size in ((1, 32 << 20), (5, 2_000)):
+        monkeypatch.setattr(ctw, "SLICE_BYTES", size)
+        out = ctw.score_texts(df.repartition(parts), training, depth=depth)
+        seen.append(found(out, "doc_id", "score", "n_symbols"))
+    assert seen[0] == seen[1]
+    assert len(seen[0]) == len(rows)
+    for i, score, n in seen[0]:
+        assert math.isclose(score, want(dict(rows)[i]), rel_tol=1e-9), i
 
 
 def test_context_tree_is_a_distribution(spark):
-    """Next symbols after a context share exactly one."""
-    rows = [(i, t) for i, t, *_ in corpus()[:20]]
-    counts = ctw.corpus_counts(spark.createDataFrame(rows, "doc_id long, text string"), depth=3)
-    tree = ctw.fit(counts, 3, 1 << 20)
-    for context in (0x777833, 0xFFFFFF, 0x207720, 0x010101):
+    """Next symbols after a context share exactly one, in contexts seen and unseen."""
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.choice(np.frombuffer(b"abc dz\xff", np.uint8), (400, 4)).copy().view("<u4").ravel().astype(np.uint64))
+    tree = ctw.levels(keys, rng.integers(1, 50, len(keys)), 3, 0)
+    for context in (0x616263, 0xFFFFFF, 0x207720, 0x010101):
         codes = (np.uint64(context) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-        assert math.isclose((10 ** tree.log10(codes)).sum(), 1, rel_tol=1e-5)
+        assert math.isclose((10 ** ctw.log10(tree, codes)).sum(), 1, rel_tol=1e-12)
+
+
+def test_context_tree_columns(spark):
+    """Columns with the operator's own names pass, those of added ones are replaced."""
+    rows = [(1, "a b", 7, 8, 9, "x"), (1, "a b", 7, 8, 9, "x"), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row long, _slice int, score int, _learns string")
+    got = sorted((tuple(r[c] for c in ("doc_id", "_row", "_slice", "_learns", "n_tokens", "n_symbols")) for r in ctw.score_texts(df, F.lit(True)).collect()), key=repr)
+    assert got == sorted([(1, 7, 8, "x", 3, 4)] * 2 + [(None, None, None, None, 1, 1)], key=repr)
 
 
 def test_context_tree_without_training(spark, docs, empty):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 _own: list[str] = []
 _noted: list[list[str]] = []
 _MARK_BITS = 22
-_USED = ("key", "text", "host", "source")
+_USED = ("key", "text", "host", "source", "learns")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -73,7 +73,7 @@ def key_marks(wanted: DataFrame, column: str = "key") -> np.ndarray:
 def shields(*added: str) -> Callable:
     """For operators on a table of documents: columns that an operator doesn't use pass through it under names that can't clash.
 
-    Names of its own columns come from its arguments `key`, `text`, `host` and `source`; `added`
+    Names of its own columns come from its arguments `key`, `text`, `host`, `source` and `learns`; `added`
     are those that it adds, which replace any of the same name.
     """
 
