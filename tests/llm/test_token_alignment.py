@@ -80,6 +80,24 @@ def test_very_long_texts(text, own):
     assert T.encode_a([" " + text])[0] == own[0].encode(" " + text, add_special_tokens=False).ids
 
 
+def test_units_are_encoded_once(monkeypatch):
+    fresh = token_alignment.Tokenizers(A, B)
+    read = []
+    whole = fresh._whole
+    monkeypatch.setattr(fresh, "_whole", lambda some: read.extend(some) or whole(some))
+    words = [f"{a}{b}" for a in ("over", "fjord", "Äpfel") for b in range(30)]
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(40)]
+    assert fresh.encode(texts) == whole(texts)
+    assert sum(map(len, read)) < 2 * sum(len(w) + 1 for w in words)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["  ", " ", " ", "\n", "\t", "\xa0", "\u3000", "\x1c", "\x85", "\u200b", "▁", "a", "ing", "'s", "!", "12", "é", "漢字", "<s>", "<|endoftext|>", "\x00"]), max_size=20).map("".join))
+def test_units_give_the_tokens_of_the_whole(text):
+    assert T.encode([text, text + "b " + text]) == T._whole([text, text + "b " + text])
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.sets(st.integers(0, 2**62), max_size=300), st.sets(st.integers(0, 2**62), max_size=20))
 def test_numbering(keys, others):

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -37,6 +38,12 @@ from .words import mix
 
 #: Bytes of text in a slice; a longer text is one by itself.
 SLICE_BYTES = 8 << 20
+#: Units of up to so many characters are remembered, and so many of them in a process.
+UNIT_CHARS, UNITS = 64, 1 << 18
+#: A space that begins a unit; characters that not everyone takes for white space, or that B takes for a space.
+_UNIT = re.compile(r"(?<=\S) ")
+_SPACES = re.compile(r"\s ")
+_ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b\u2581\ufeff]")
 #: Aligned at once: so many tokens, and so many links.
 GROUP_TOKENS, BLOCK_LINKS = 1 << 18, 1 << 19
 #: In groups with more links than this, equal tokens are taken together.
@@ -76,6 +83,10 @@ class Tokenizers:
         #: Pairs are numbered first token times this, plus second token.
         self.width = len(self.b_bytes)
         ids = [list(map(str, range(len(x)))) for x in (self.a_bytes, self.b_bytes)]
+        #: Whether no token of A or B goes from a character that isn't white space into a space: a text may be encoded in units then.
+        special = all(x["special"] for x in spec["added_tokens"])
+        self.apart = self.cut and special and self.code.plain and all(p[0] == "▁" or p[0].isspace() for p in self.code.pairs if p[1] == "▁")
+        self.units: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
         self.names = [i + s for some, seps in zip(ids, (",|", ",;"), strict=True) for s in seps for i in some]
 
     def encode_a(self, texts: list[str]) -> list[list[int]]:
@@ -103,9 +114,64 @@ class Tokenizers:
         return out
 
     def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
-        """Ids of A and B, packed; none where the text has none or the tokens don't stand for it."""
-        out: tuple[list[bytes], list[bytes]] = ([], [])
+        """Ids of A and B, packed; none where the text has none or the tokens don't stand for it.
+
+        A unit is a space and what follows up to the next space that stands after something else.
+        Each different unit is encoded once while it is remembered; a text with a unit whose tokens
+        don't stand for it, or with odd characters, is encoded as a whole.
+        """
         some = [t or "" for t in texts]
+        if not self.apart:
+            return self._whole(some)
+        cut = [None if _ODD.search(t) else _UNIT.split(t) if t[:1] == " " or _SPACES.search(t) else t.split(" ") for t in some]
+        a_of, b_of = self.units
+        if len(a_of) > UNITS:
+            a_of.clear()
+            b_of.clear()
+        new = list({u for units in cut if units for u in units if u not in a_of})
+        for u, a, b in self._each([u for u in new if u and not u[-1].isspace()]):
+            a_of[u], b_of[u] = a, b
+        ends = [u for u in new if u and u[-1].isspace()]
+        for u, a, b in zip(ends, *self._whole(ends), strict=True):
+            if a:
+                a_of[u], b_of[u] = a, b
+        out: tuple[list[bytes], list[bytes]] = ([], [])
+        for t, units in zip(some, cut, strict=True):
+            try:
+                a, b = (b"".join(map(of.__getitem__, units or [None])) for of in self.units)
+            except KeyError:  # a space by itself, or a unit that its tokens don't stand for
+                (a,), (b,) = self._whole([t])
+            out[0].append(a)
+            out[1].append(b)
+        for u in new:
+            if len(u) > UNIT_CHARS:
+                a_of.pop(u, None)
+                b_of.pop(u, None)
+        return out
+
+    def _each(self, units: list[str]) -> Iterator[tuple[str, bytes, bytes]]:
+        """Units with their packed ids, without those that their tokens don't stand for; none ends in white space."""
+        sizes = np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units))
+        for i, j in byte_bpe.groups(sizes, byte_bpe.PART_CHARS):
+            some = units[i:j]
+            ids = [x[0] for x in self._whole([" ".join(some)])]
+            if not ids[0]:
+                yield from ((u, a, b) for u, a, b in zip(some, *self._whole(some), strict=True) if a)
+                continue
+            ends = np.cumsum(sizes[i:j])
+            cuts = []
+            for packed, of in zip(ids, (self.a_sizes, self.b_sizes), strict=True):
+                at = np.cumsum(of[np.frombuffer(packed, self.kind)])
+                last = np.searchsorted(at, ends)
+                if (at[last] != ends).any():
+                    raise ValueError("a token goes on from one unit into the next")
+                cuts.append([0, *((last + 1) * self.kind.itemsize).tolist()])
+            (a, b), (a_cuts, b_cuts) = ids, cuts
+            for k, u in enumerate(some):
+                yield u, a[a_cuts[k] : a_cuts[k + 1]], b[b_cuts[k] : b_cuts[k + 1]]
+
+    def _whole(self, some: list[str]) -> tuple[list[bytes], list[bytes]]:
+        out: tuple[list[bytes], list[bytes]] = ([], [])
         for t, a, b in zip(some, self.encode_a([" " + t for t in some]), self.encode_b(some), strict=True):
             data = b" " + t.encode()
             whole = t and b"".join(map(self.a_bytes.__getitem__, a)) == data == b"".join(map(self.b_bytes.__getitem__, b))
