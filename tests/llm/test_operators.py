@@ -410,6 +410,29 @@ def test_substring_removal(spark, docs, empty):
     assert suffix_dedup.dedup_substrings(empty).count() == 0
 
 
+@pytest.mark.parametrize("slice_bytes,least", [(1, 1), (2_000, 7)])
+def test_substrings_of_many_slices_and_buckets(spark, docs, monkeypatch, slice_bytes, least):
+    want = found(suffix_dedup.dedup_substrings(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(suffix_dedup, "LEAST_BUCKETS", least)
+    assert found(suffix_dedup.dedup_substrings(docs.repartition(3)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept") == want
+
+
+def test_sampled_names_are_sent_packed(spark):
+    """One row for each bucket of a slice, and little more than four bytes for a sampled name."""
+    import zlib
+
+    rng = random.Random(12)
+    texts = spark.createDataFrame([(i, "".join(rng.choices("abcdefgh ", k=20_000))) for i in range(60)], "key long, text string").coalesce(1)
+    sent = [r for turn in range(suffix_dedup.PASSES) for r in suffix_dedup.named(texts, 38, turn, 16, False).collect()]
+    n = 60 * len([i for i in range(20_000 - 37) if i % 13 in (0, 1, 3, 9)])
+    assert len(sent) <= suffix_dedup.PASSES * 16 and sum(len(r["names"]) for r in sent) == 4 * n
+    assert sum(len(zlib.compress(r["keys"], 1)) + len(zlib.compress(r["at"], 1)) for r in sent) < 2 * n
+    for kind in (np.int32, np.int64):
+        x = np.array([3, 900, 5, -7, 2**31 - 1, 0, 65_536], kind)
+        assert (suffix_dedup.unpacked(suffix_dedup.packed(x), kind) == x).all()
+
+
 # --- 7 ----------------------------------------------------------------------------------------
 
 

@@ -11,114 +11,207 @@ stands, the others are repeats.
 
 Only equality up to `length` bytes matters here, so names are 64-bit hashes and not ranks: the
 recursion ends after two levels, and grouping by name takes the place of a total order.
+
+Names meet in buckets, as packed arrays of one slice of texts and one bucket each: a name, and the
+distances to the key and the place before it, byte by byte, so that what is mostly zero shrinks in the
+shuffle. Of a name that several documents of a slice have, one goes along. Names are dealt to
+PASSES, and the shuffle files of one are gone before the next. For the sample 32 bits beside bucket and pass will do:
+a chance match there only makes more strings of `length` bytes to compare.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .store import shields, stored
-from .words import as_long, mix, text_bytes
+from .words import mix, powers, slices, text_bytes
 
 LENGTH = 50
 COVER, MODULUS = (0, 1, 3, 9), 13
-_PIECE = 1 << 20
+#: Bytes hashed at once, and bytes of text in a slice; a longer text is a slice by itself.
+_PIECE, SLICE_BYTES = 1 << 20, 8 << 20
+#: The names are met in so many parts, one after the other.
+PASSES = 2
+#: Names in a bucket, and the fewest buckets.
+BUCKET_NAMES, LEAST_BUCKETS = 1 << 21, 48
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
+_ROWS = "bucket int, slice long, names binary, keys binary, at binary"
 
 
 def names(data: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    """Names of the strings of `length` bytes at `places`: thirds are named, then the triple of their names."""
+    """Names of the strings of `length` bytes at `places` (in order): thirds are named, then the triple of their names."""
     cuts = [0, length // 3, 2 * length // 3, length]
     out = np.zeros(len(places), np.uint64)
-    for low, high in zip(cuts, cuts[1:], strict=False):
-        part = np.zeros(len(places), np.uint64)
-        for i in range(low, high):
-            part = part * _BASE + _BYTE[data[places + i]]
-        out = mix(out * _BASE + mix(part))
+    first = 0
+    while first < len(places):
+        low = int(places[first])
+        last = int(np.searchsorted(places, low + _PIECE))
+        piece, at = data[low : int(places[last - 1]) + length], places[first:last] - low
+        power, inverse = powers(len(piece) + 1)
+        total = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(_BYTE[piece] * power[:-1], out=total[1:])
+        name = np.zeros(len(at), np.uint64)
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            name = mix(name * _BASE + mix((total[at + end] - total[at + start]) * inverse[at + start]))
+        out[first:last] = name
+        first = last
     return out
 
 
-def sampled(size: int, length: int) -> np.ndarray:
-    """Sampled places of a text at which a prefix of length - 12 bytes begins."""
-    places = np.arange(max(0, size - (length - MODULUS + 1) + 1))
-    return places[np.isin(places % MODULUS, COVER)]
-
-
 def _texts(column: pa.Array) -> Iterator[np.ndarray]:
     data, offsets = text_bytes(column)
     for k in range(len(column)):
         yield data[offsets[k] : offsets[k + 1]]
 
 
-def _rows(keys, found: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Batches of (name, key, at), not much over a piece each."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    n = 0
-    for row, name, at in found:
-        held.append((name, np.full(len(at), keys[row]), at.astype(np.int32)))
-        n += len(at)
-        if n > _PIECE // 8:
-            yield _batch(held)
-            held, n = [], 0
-    if held:
-        yield _batch(held)
+def packed(x: np.ndarray) -> bytes:
+    """Differences, all first bytes, then all second bytes, and so on."""
+    return np.diff(x, prepend=x.dtype.type(0)).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
 
 
-def _batch(held) -> pa.RecordBatch:
-    name, key, at = (np.concatenate(x) for x in zip(*held, strict=True))
-    return pa.RecordBatch.from_arrays([as_long(name), pa.array(key), pa.array(at)], names=["name", "key", "at"])
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(data, np.uint8).reshape(size, len(data) // size)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(kind).ravel(), dtype=kind)
 
 
-def sample_names(texts: DataFrame, length: int) -> DataFrame:
-    """name, key, at of every sampled suffix; texts: key, text."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            def found(batch=batch):
-                for row, data in enumerate(_texts(batch.column(1))):
-                    places = sampled(len(data), length)
-                    for i in range(0, len(places), _PIECE):
-                        some = places[i : i + _PIECE]
-                        yield row, names(data, some, length - MODULUS + 1), some
+def _group(names: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order by name, and for each in that order the least and the greatest rank that its name has."""
+    order = np.argsort(names)
+    names, rank = names[order], rank[order]
+    first = np.concatenate([[True], names[1:] != names[:-1]])
+    starts, of = np.flatnonzero(first), np.cumsum(first) - 1
+    return order, np.minimum.reduceat(rank, starts)[of], np.maximum.reduceat(rank, starts)[of]
 
-            yield from _rows(batch.column(0).to_numpy(), found())
 
-    return texts.mapInArrow(work, "name long, key long, at int")
+def named(texts: DataFrame, length: int, turn: int, buckets: int, first: bool) -> DataFrame:
+    """The names of one turn, in rows of a slice and a bucket; texts: key, text and for strings of the whole length also spans.
 
+    first: of a name all but the strings of the first document are marked, and names are given whole;
+    else all are marked if two documents have it, and 32 bits of a name are given. What the
+    slice alone shows to be marked goes in rows without names.
+    """
 
-def merged_names(texts: DataFrame, length: int) -> DataFrame:
-    """name, key, at of every string of `length` bytes that holds a chosen sampled prefix; texts: key, text, places."""
+    def flush(number: int, held: list) -> Iterator[pa.RecordBatch]:
+        name, key, at = (np.concatenate(x) for x in zip(*held, strict=True))
+        if not len(name):
+            return
+        order, low, high = _group(name, key)
+        key_in_order = key[order]
+        marked = np.zeros(len(name), bool)
+        marked[order] = key_in_order > low if first else low < high
+        send = np.zeros(len(name), bool)
+        if first:
+            send = ~marked
+        else:
+            sorted_names = name[order]
+            send[order] = (low == high) | np.concatenate([[True], sorted_names[1:] != sorted_names[:-1]])
+        rows = [(number % buckets, b"", key[marked], at[marked])] if marked.any() else []
+        name, key, at = name[send], key[send], at[send]
+        bucket = ((name >> np.uint64(32)) // np.uint64(PASSES) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        bucket, name, key, at = bucket[order], name[order], key[order], at[order]
+        given = name if first else name.astype(np.uint32)
+        cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
+        rows += [(int(bucket[i]), given[i:j].tobytes(), key[i:j], at[i:j]) for i, j in zip(cuts, cuts[1:], strict=False) if i < j]
+        columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int64()), *(pa.array(x, pa.binary()) for x in ([r[1] for r in rows], [packed(r[2]) for r in rows], [packed(r[3]) for r in rows]))]
+        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "slice", "names", "keys", "at"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            def found(batch=batch):
-                for row, data in enumerate(_texts(batch.column(1))):
-                    places = batch.column(2)[row].values.to_numpy()
-                    places = places[places < len(data)]  # others are of another row with this key
-                    near = np.zeros(len(data) + 1, np.int32)
-                    np.add.at(near, np.maximum(places - MODULUS + 1, 0), 1)
-                    np.add.at(near, places + 1, -1)
-                    starts = np.flatnonzero(np.cumsum(near)[: max(0, len(data) - length + 1)] > 0)
-                    for i in range(0, len(starts), _PIECE):
-                        some = starts[i : i + _PIECE]
-                        yield row, names(data, some, length), some
-
-            yield from _rows(batch.column(0).to_numpy(), found())
-
-    return texts.mapInArrow(work, "name long, key long, at int")
-
-
-def repeats(rows: DataFrame) -> DataFrame:
-    """The rows whose name stands in another document too, with the first one."""
-    shared = rows.groupBy("name").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last").select("name", "first")
-    return rows.join(shared, "name")
+            keys = batch.column(0).to_numpy()
+            everything, offsets = text_bytes(batch.column(1))
+            for i, j in slices(offsets, _PIECE):
+                data, begin = everything[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                sizes = np.diff(begin)
+                doc = np.repeat(np.arange(j - i, dtype=np.int32), sizes)
+                at = np.arange(len(data)) - begin[doc]
+                room = at + length <= sizes[doc]
+                if batch.num_columns > 2:
+                    change = np.zeros(len(data) + 1, np.int32)
+                    for row in range(i, j):
+                        spans = batch.column(2)[row].values
+                        for side, step in (("begin", 1), ("end", -1)):  # spans may be of another row with this key
+                            np.add.at(change, begin[row - i] + np.minimum(spans.field(side).to_numpy(), sizes[row - i]), step)
+                    room &= np.cumsum(change)[:-1] > 0
+                else:
+                    room &= _SAMPLED[at % MODULUS]
+                places = np.flatnonzero(room)
+                name = names(data, places, length)
+                mine = (name >> np.uint64(32)) % np.uint64(PASSES) == turn
+                places, name = places[mine], name[mine]
+                held.append((name, keys[i:j][doc[places]], at[places].astype(np.int32)))
+                size += len(data)
+                if size >= SLICE_BYTES:
+                    yield from flush(number, held)
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield from flush(number, held)
+
+    return texts.mapInArrow(work, _ROWS)
+
+
+_SAMPLED = np.isin(np.arange(MODULUS), COVER)
+
+
+def met(rows: DataFrame, first: bool, before: int, after: int) -> DataFrame:
+    """key, begin, end: the bytes from `before` bytes before a marked string's place up to `after` behind it, joined where they touch."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        slice_of, name, keys, at = table["slice"].to_numpy(), *(table[n].to_pylist() for n in ("names", "keys", "at"))
+        sent = [i for i, x in enumerate(name) if x]
+        out = [i for i, x in enumerate(name) if not x]
+        done = [(slice_of[i], keys[i], at[i]) for i in out]
+        if sent:
+            key = [unpacked(keys[i], np.int64) for i in sent]
+            counts = [len(k) for k in key]
+            of = np.repeat(np.arange(len(sent)), counts)
+            key = np.concatenate(key)
+            order, low, high = _group(np.frombuffer(b"".join(name[i] for i in sent), np.uint64 if first else np.uint32), key if first else slice_of[sent][of])
+            marked = np.zeros(len(key), bool)
+            marked[order] = key[order] > low if first else low < high
+            ends = np.cumsum(counts)
+            for n, i in enumerate(sent):
+                some = slice(ends[n] - counts[n], ends[n])
+                if marked[some].any():
+                    done.append((slice_of[i], packed(key[some][marked[some]]), packed(unpacked(at[i], np.int32)[marked[some]])))
+        return pa.table({"slice": pa.array([d[0] for d in done], pa.int64()), "keys": pa.array([d[1] for d in done], pa.binary()), "at": pa.array([d[2] for d in done], pa.binary())})
+
+    def join(table: pa.Table) -> pa.Table:
+        key = np.concatenate([unpacked(x, np.int64) for x in table["keys"].to_pylist()])
+        at = np.concatenate([unpacked(x, np.int32) for x in table["at"].to_pylist()])
+        order = np.lexsort((at, key))
+        key, begin = key[order], np.maximum(at[order] - before, 0)
+        end = at[order] + after
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (begin[1:] > end[:-1])])
+        starts = np.flatnonzero(new)
+        last = np.concatenate([starts[1:], [len(key)]]) - 1
+        return pa.table({"key": key[starts], "begin": begin[starts], "end": end[last]})
+
+    marked = rows.groupBy("bucket").applyInArrow(meet, "slice long, keys binary, at binary")
+    return marked.groupBy("slice").applyInArrow(join, "key long, begin int, end int")
+
+
+def shared_spans(texts: DataFrame, length: int, size: int, first: bool, before: int, after: int) -> DataFrame:
+    """The spans of met(), by key, with texts of about `size` strings in all; key, spans."""
+    buckets = max(LEAST_BUCKETS, size // (PASSES * BUCKET_NAMES))
+    found = [stored(met(named(texts, length, turn, buckets, first), first, before, after), tidy=True) for turn in range(PASSES)]
+    return functools.reduce(DataFrame.union, found)
+
+
+def by_key(spans: DataFrame) -> DataFrame:
+    return spans.groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
 
 @shields("n_bytes", "n_removed", "n_spans", "kept")
@@ -134,14 +227,15 @@ def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "tex
     """
     plain = documents
     known = plain.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).filter(F.octet_length("text") >= length)
-    whole = stored(known.select("key", F.sha2("text", 256).alias("sum"), F.xxhash64("text").alias("h")))
-    copies = stored(whole.join(whole.groupBy("sum").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "sum").filter("key > first").select("key").distinct())
+    whole = stored(known.select("key", F.sha2("text", 256).alias("sum"), F.octet_length("text").cast("long").alias("size")))
+    copies = stored(whole.join(whole.groupBy("sum").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "sum").filter("key > first").select("key").distinct(), tidy=True)
     once = known.join(copies, "key", "left_anti")
-    candidates = repeats(sample_names(once, length)).groupBy("key").agg(F.collect_set("at").alias("places"))
-    held = stored(candidates)
-    found = repeats(stored(merged_names(once.join(held, "key").select("key", "text", "places"), length))).filter(F.col("key") > F.col("first"))
-    starts = found.groupBy("key").agg(F.collect_set("at").alias("_starts"))
-    marks = starts.select("key", "_starts", F.lit(False).alias("_whole")).union(copies.select("key", F.array().cast("array<int>"), F.lit(True)))
+    size = whole.agg(F.sum("size")).first()[0] or 0
+    near = shared_spans(once, length - MODULUS + 1, size * len(COVER) // MODULUS, False, MODULUS - 1, 1)
+    size = near.agg(F.sum(F.col("end") - F.col("begin"))).first()[0] or 0
+    held = stored(once.join(by_key(near), "key").select("key", "text", "spans"), tidy=True)
+    starts = by_key(shared_spans(held, length, size, True, 0, length)).withColumnRenamed("spans", "_spans")
+    marks = starts.select("key", "_spans", F.lit(False).alias("_whole")).union(copies.select("key", F.array().cast("array<struct<begin:int,end:int>>"), F.lit(True)))
     joined = plain.join(marks.withColumnRenamed("key", "_k"), F.col(key) == F.col("_k"), "left").drop("_k")
     fields = [f for f in plain.schema.fields if f.name != text]
     added = [StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [StructField("kept", BinaryType())]
@@ -152,15 +246,13 @@ def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "tex
             keep = [k for k in range(batch.num_columns - 2) if k != place]
             rows = []
             for row, data in enumerate(_texts(batch.column(place))):
-                starts, gone = batch.column(batch.num_columns - 2)[row], np.zeros(len(data), bool)
+                marks, gone = batch.column(batch.num_columns - 2)[row], np.zeros(len(data), bool)
                 if batch.column(batch.num_columns - 1)[row].as_py():
                     gone[:] = True
-                elif starts.is_valid and len(starts):
+                elif marks.is_valid and len(marks):
                     change = np.zeros(len(data) + 1, np.int32)
-                    at = starts.values.to_numpy()
-                    at = at[at + length <= len(data)]
-                    np.add.at(change, at, 1)
-                    np.add.at(change, at + length, -1)
+                    for side, step in (("begin", 1), ("end", -1)):
+                        np.add.at(change, np.minimum(marks.values.field(side).to_numpy(), len(data)), step)
                     gone = np.cumsum(change)[:-1] > 0
                 spans = int(np.count_nonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)) == 1))
                 rows.append((len(data), int(gone.sum()), spans, data[~gone].tobytes()))
