@@ -489,6 +489,19 @@ def test_passage_held_twice(spark):
     assert got[6]["n_repeated"] >= 1900 and got[6]["others"] == [5]
 
 
+def test_seeds_side_by_side_meet_as_one(spark):
+    """Only seeds of several documents become rows; those that always stand together are one match of a pair, cut where a third document has a part."""
+    rng = random.Random(34)
+    passage = words(rng, 40, 10_000)
+    texts = [(i, f"{words(rng, 50, 10_000)} {passage} {words(rng, 50, 10_000)}") for i in (1, 2)]
+    for more, want in (([], [(50, 50, 36)]), ([(3, " ".join(passage.split()[:14]))], [(50, 50, 10), (60, 60, 26)])):
+        df = spark.createDataFrame(texts + more, "key long, text string")
+        near = df.join(chain_dedup.shared_places(df, 5, 1, 300), "key").select("key", "text", "spans")
+        rows = chain_dedup.seed_rows(near, 5, 1)
+        assert rows.filter("key = 1").count() == 36
+        assert sorted((r["at"], r["other_at"], r["n"]) for r in chain_dedup.matches(rows).collect() if (r["key"], r["other"]) == (2, 1)) == want
+
+
 def test_passage_whose_halves_are_elsewhere_first(spark, monkeypatch):
     """Pairs are found although all their seeds stood in other documents first; long lists in blocks too."""
     monkeypatch.setattr(chain_dedup, "BLOCK_PLACES", 4)
