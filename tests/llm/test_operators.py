@@ -517,6 +517,52 @@ def test_passage_whose_halves_are_elsewhere_first(spark, monkeypatch):
     assert got[30]["others"] == [11] and got[30]["n_repeated"] == 188
 
 
+def test_passage_classes_need_no_pairs_of_large_groups(spark, monkeypatch):
+    """Near copies, holders of one passage and of common lines: classes and words as from all pairs, but rows in proportion to documents."""
+    monkeypatch.setattr(chain_dedup, "BLOCK_PLACES", 8)
+    monkeypatch.setattr(chain_dedup, "MOST_TRIED", 64)
+    rng = random.Random(35)
+    passage, line, other = words(rng, 40, 10_000), words(rng, 13, 10_000), words(rng, 12, 10_000)
+    copy = words(rng, 90, 10_000).split()
+    half = [words(rng, 9, 10_000) for _ in range(4)]
+    rows = [(i, f"{words(rng, 50, 10_000)} {passage} {words(rng, 50, 10_000)}") for i in range(30)]
+    rows += [(i, " ".join(w if rng.random() > 0.04 else f"edit{rng.randrange(10**6)}" for w in copy)) for i in range(100, 130)]
+    rows += [(i, f"{words(rng, 30, 10_000)} {line} {words(rng, 20 + i % 7 * 10, 10_000)} {other} {words(rng, 30, 10_000)}") for i in range(200, 230)]
+    rows += [(i, f"{words(rng, 40, 10_000)} {f' w{i} '.join(half)} {words(rng, 40, 10_000)}") for i in range(300, 312)]  # no run of ten words in common
+    rows += [(400, rows[5][1]), (401, "short text"), (402, "short text"), (403, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    links, want = chain_dedup.passages(df).select("key", "other", "begin", "end").collect(), {}
+    parent = {r[0]: r[0] for r in rows}
+    for r in sorted(links):
+        a, b = r["key"], r["other"]
+        while parent[a] != a:
+            a = parent[a]
+        while parent[b] != b:
+            b = parent[b]
+        parent[max(a, b)] = min(a, b)
+        want.setdefault(r["key"], set()).update(range(r["begin"], r["end"]))
+    found = chain_dedup.class_passages(df).collect()
+    assert len({(r["key"], r["other"]) for r in links}) > 900 and len({(r["key"], r["other"]) for r in found}) < 350
+    got = {r["doc_id"]: r for r in chain_dedup.passage_classes(df).collect()}
+    assert len(got) == len(rows)
+    for key in parent:
+        root = key
+        while parent[root] != root:
+            root = parent[root]
+        assert got[key]["component_id"] == root
+        assert abs(got[key]["n_repeated"] - len(want.get(key, ()))) <= 2  # words beyond the seeds that agree by chance
+    assert {got[i]["component_id"] for i in range(200, 230)} == set(range(200, 230)) and got[400]["component_id"] == 0
+    assert got[300]["component_id"] == got[311]["component_id"] == 300 and all(got[i]["n_passages"] == 1 for i in range(1, 30))
+
+
+def test_few_words_in_common_are_told_without_alignment():
+    rng = np.random.default_rng(36)
+    for _ in range(200):
+        a, b = rng.integers(0, 30, rng.integers(0, 60)), rng.integers(0, 30, rng.integers(0, 60))
+        b = np.concatenate([a[:20], b[: rng.integers(0, 8)], a[20:]]) if rng.random() < 0.7 else b
+        assert chain_dedup.alike_enough(a, b, 60, 0.7) == (chain_dedup.alike(a, b, 60) >= 0.7)
+
+
 def test_recall_of_edited_passages(spark):
     """Passages of 30 to 60 words with an edit every 6 to 10 words, and exact ones of 30 to 38, are all found."""
     rng = random.Random(33)
