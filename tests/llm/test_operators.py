@@ -5,13 +5,15 @@ import hashlib
 import math
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from voltline.llm import chain_dedup, ctw, decontaminate, language_id, line_dedup, line_quality, mixing, ngram_join, suffix_dedup, token_counts
+from voltline.llm import chain_dedup, ctw, decontaminate, language_id, line_dedup, line_quality, mixing, ngram_join, store, suffix_dedup, token_counts
 from voltline.llm.components import components
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -116,6 +118,42 @@ def test_shingle_join_blocks_and_frequent_shingles(spark, monkeypatch):
     assert got == {i: top(i) for i in range(60)} and len(set(got.values())) > 1
 
 
+def test_shingle_join_in_turns_leaves_no_intermediate_tables(spark, docs, monkeypatch):
+    """Sets compared in many turns give the same; what is left is what the result reads, and no list is written for a signature of one set."""
+    plain = found(ngram_join.join_by_shingles(docs), "doc_id", "n_shingles", "component_id")
+    monkeypatch.setattr(ngram_join, "TURN", 1000)
+    paths: list[str] = []
+    with store.noting(paths):
+        out = ngram_join.join_by_shingles(docs)
+    assert found(out, "doc_id", "n_shingles", "component_id") == plain
+    left = {p for p in paths if any(Path(p.removeprefix("file:")).glob("*.parquet"))}
+    assert len(paths) > 2 * len(left) and len(left) <= 8, (len(paths), len(left))
+
+
+def test_table_of_frequencies_grows_with_the_corpus(spark):
+    """A place holds about as many shingles in a large corpus as in a small one; its level says how many sets hold it, in their order."""
+    assert [ngram_join.table_bits(n) for n in (0, 25_000_000, 125_000_000, 1_500_000_000, 7_500_000_000)] == [21, 21, 22, 26, 26]
+    counts = np.arange(100_000)
+    levels = ngram_join.level(counts)
+    assert (np.diff(levels.astype(int)) >= 0).all() and levels[127] == 127 and levels[-1] > levels[20_000] > levels[1_000] > levels[130]
+    rng = random.Random(4)
+    rows = [(i, "a b c " + words(rng, 30, 500)) for i in range(300)]
+    table = ngram_join.frequencies(spark.createDataFrame(rows, "key long, text string").select("text").repartition(3), 3, 16)
+    want = np.zeros(1 << 16, np.int64)
+    for _, tokens in ngram_join.sets_of(pa.array([t for _, t in rows]), 3):
+        np.add.at(want, (tokens >> np.uint64(48)).astype(np.int64), 1)
+    assert want.max() >= 300 and (table == ngram_join.level(want)).all()
+
+
+def test_lists_hold_the_sets_of_shared_signatures(spark):
+    """Only signatures of several different sets make lists; a copy adds nothing; sizes stand beside the smallest key."""
+    text = "a b c d e f"
+    df = spark.createDataFrame([(5, text), (2, text), (9, text + " g"), (7, "p q r s")], "key long, text string")
+    table = np.zeros(1 << 16, np.uint8)
+    rows = ngram_join.lists_of(ngram_join.postings(df, table, 0.0, 3, 50)).collect()
+    assert rows and {(r["key"], r["n"], r["c"], r["lead"], r["low"], r["high"]) for r in rows} == {(2, 4, 2, 2, 4, 4), (9, 5, 2, 2, 4, 4)}
+
+
 def test_signatures_of_linked_sets_meet():
     """Prefixes with combinations: any two sets within the limit share a signature, whatever the classes."""
     rng = np.random.default_rng(5)

@@ -16,7 +16,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     component; each is written to the shared folder. NULL ends and loops are no links.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
-    edges, before = stored(edges), None
+    edges, before = stored(edges, tidy=True), None
     while True:
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if state == before:
@@ -27,4 +27,4 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.join(lowest, F.col("u") == F.col("k")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
         small = large.join(down, F.col("u") == F.col("k"))
-        edges = stored(small.select("v", "m").union(down.select("k", "m")).toDF("u", "v").filter("u <> v").distinct())
+        edges = stored(small.select("v", "m").union(down.select("k", "m")).toDF("u", "v").filter("u <> v").distinct(), tidy=True)

@@ -6,42 +6,51 @@ in which t losses always leave a signature: a rare shingle is one by itself; of
 frequent class, k together are one, so only those beyond the first k-1 of their subclass count
 and the prefix is extended. Two linked sets then share a signature within their prefixes.
 
-Frequencies are counted over the whole corpus in a table of fixed size by hash; whatever it
-says, the order is one order for all sets, so links are never lost, and rare shingles in crowded
-places only make longer lists.
+Frequencies are counted over the whole corpus in a table by hash that grows with it up to MOST_BITS;
+whatever it says, the order is one order for all sets, so links are never lost, and rare shingles
+in crowded places only make longer lists.
 
 A signature's documents are first compared with its smallest one only. What those links have
 joined needs no more comparing. Of the rest, short lists compare documents of different
 components; long lists are compared in blocks, unlinked documents against all others. No pairs
-of a large group are ever written out.
+of a large group are ever written out. Sizes tell most pairs that can't link before they are
+written; sets are compared in turns of a share of the corpus, and what a step leaves goes with it.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import key_marks, key_place, stored
+from .store import key_marks, key_place, noting, removed, stored, tidied
+from .suffix_dedup import packed, unpacked
 from .words import as_long, find_words, mix, shingles, slices, text_bytes
 
 SHINGLE_WORDS = 3
 PERCENT = 90
-#: Places of the table of frequencies.
-SKETCH_BITS = 21
+#: Places of the table of frequencies, the fewest and the most, and how many shingles one has to hold on average before there are more.
+SKETCH_BITS, MOST_BITS = 21, 26
+LOAD = 32
 #: A shingle is of class k = 1, 2, 3 by how far its place is above the table's mean load.
 CLASSES = (32, 1024)
 #: Lists up to this long compare pairs of documents, longer ones go to blocks.
 SHORT = 32
 _BLOCK, _MEMBERS = 256, 2048
-_SLICES = 64
+_SLICES = 256
+#: Places counted together, and different sets that a task knows again.
+_COUNTED, _KNOWN = 1 << 22, 1 << 17
 _PARITY = 1024
+#: Pairs whose sets have up to one in so many of the corpus' shingles are compared at once.
+TURN = 4
 
 
 def sets_of(batch: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -72,31 +81,53 @@ def fingerprints(documents: DataFrame, key: str, text: str, size: int) -> DataFr
     return documents.select(F.col(key).cast("long"), text).mapInArrow(work, "key long, n_shingles long, f1 long, f2 long, bits array<long>")
 
 
-def frequencies(texts: DataFrame, size: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """How many sets hold a shingle of each place of the table; texts: one column."""
+def table_bits(n_shingles: int) -> int:
+    """Places, as a power of two, of the table of frequencies of so many shingles."""
+    return min(MOST_BITS, max(SKETCH_BITS, math.ceil(math.log2(max(1, n_shingles) / LOAD))))
+
+
+def level(counts: np.ndarray) -> np.ndarray:
+    """Counts in one byte, in their order: up to 128 as they are, beyond that eight steps to each doubling."""
+    return np.minimum(np.where(counts < 128, counts, 128 + 8 * np.log2(np.maximum(counts, 128) / 128)), 255).astype(np.uint8)
+
+
+def frequencies(texts: DataFrame, size: int, bits: int) -> np.ndarray:
+    """The level() of how many sets hold a shingle of each place of the table; texts: one column.
+
+    Places go along in order, as the distances between them, so that a task sends what it has read and no tables.
+    """
     width = (1 << bits) // _SLICES
 
+    def rows(held: list[np.ndarray]) -> pa.RecordBatch:
+        places = np.sort(np.concatenate(held))
+        cuts = np.searchsorted(places, np.arange(_SLICES + 1) * width)
+        parts = [packed((places[i:j] % width).astype(np.int32)) for i, j in zip(cuts, cuts[1:], strict=False)]
+        return pa.RecordBatch.from_pydict({"slice": np.arange(_SLICES, dtype=np.int32), "part": parts})
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << bits, np.uint32)
+        held, n = [], 0
         for batch in batches:
             for _, tokens in sets_of(batch.column(0), size):
-                np.add.at(table, (tokens >> np.uint64(64 - bits)).astype(np.int64), 1)
-        yield pa.RecordBatch.from_pydict({"slice": np.arange(_SLICES, dtype=np.int32), "part": [table[i * width : (i + 1) * width].tobytes() for i in range(_SLICES)]})
-
-    def add(parts: Iterator[pd.DataFrame]) -> pd.DataFrame:
-        first = parts["part"].iloc[0]
-        total = np.frombuffer(first, np.uint32).copy()
-        for p in parts["part"].iloc[1:]:
-            total += np.frombuffer(p, np.uint32)
-        return pd.DataFrame({"slice": [int(parts["slice"].iloc[0])], "part": [total.tobytes()]})
-
-    summed = texts.mapInArrow(count, "slice int, part binary")
-    # partial sums first: no task gathers a part from every other one
-    halves = summed.groupBy("slice", F.pmod(F.spark_partition_id(), F.lit(16)).alias("lane")).applyInPandas(add, "slice int, part binary")
-    rows = halves.groupBy("slice").applyInPandas(add, "slice int, part binary").collect()
-    table = np.zeros(1 << bits, np.uint32)
-    for r in rows:
-        table[r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["part"], np.uint32)
+                held.append((tokens >> np.uint64(64 - bits)).astype(np.int64))
+                n += len(tokens)
+                if n >= _COUNTED:
+                    yield rows(held)
+                    held, n = [], 0
+        if held:
+            yield rows(held)
+
+    def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, number = np.zeros(width, np.int64), 0
+        for p in parts:
+            number = p.column(0)[0].as_py()
+            for part in p.column(1):
+                np.add.at(total, unpacked(part.as_py(), np.int32), 1)
+        yield pa.RecordBatch.from_pydict({"slice": np.array([number], np.int32), "part": [level(total).tobytes()]})
+
+    table = np.zeros(1 << bits, np.uint8)
+    with tidied(texts.sparkSession):
+        for r in texts.mapInArrow(count, "slice int, part binary").groupBy("slice").applyInArrow(add, "slice int, part binary").collect():
+            table[r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["part"], np.uint8)
     return table
 
 
@@ -133,29 +164,50 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, classes: np.ndarray, perc
     return np.fromiter(out, np.uint64, len(out))
 
 
-def postings(texts: DataFrame, table: np.ndarray, size: int, percent: int, classes: tuple[int, ...] = CLASSES) -> DataFrame:
-    """sig, set, key for every signature of every different set; texts: key, text. Of equal sets the smallest key stands."""
+def postings(texts: DataFrame, table: np.ndarray, load: float, size: int, percent: int, classes: tuple[int, ...] = CLASSES) -> DataFrame:
+    """sig, set, key, n for every signature of every different set, n being its size; texts: key, text. Of equal sets the smallest key stands."""
     bits = int(len(table)).bit_length() - 1
-    load = int(table.sum() / len(table))
-    limits = np.array([load + c for c in classes], np.uint32)
+    limits = level(np.array([load + c for c in classes]))
     shared = texts.sparkSession.sparkContext.broadcast(table)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        counts, known = shared.value, {}
         for batch in batches:
             keys = batch.column(0).to_numpy()
-            found, owner, sets = [], [], []
+            found, owner, sets, sizes = [], [], [], []
             for k, tokens in sets_of(batch.column(1), size):
                 if len(tokens):
+                    whole = int(mix(tokens).sum() + np.uint64(len(tokens)))
+                    if whole in known and known[whole] <= keys[k]:  # else copies in one task would meet again at each signature
+                        continue
+                    if len(known) == _KNOWN:
+                        known.clear()
+                    known[whole] = keys[k]
                     c = counts[(tokens >> np.uint64(64 - bits)).astype(np.int64)]
                     s = signatures(tokens, c, np.searchsorted(limits, c, "left") + 1, percent)
                     found.append(s)
                     owner.append(np.full(len(s), keys[k]))
-                    sets.append(np.full(len(s), mix(tokens).sum() + np.uint64(len(tokens)), np.uint64))
+                    sets.append(np.full(len(s), whole, np.uint64))
+                    sizes.append(np.full(len(s), len(tokens), np.int32))
             if found:
-                yield pa.RecordBatch.from_arrays([as_long(np.concatenate(found)), as_long(np.concatenate(sets)), pa.array(np.concatenate(owner))], names=["sig", "set", "key"])
+                yield pa.RecordBatch.from_arrays([as_long(np.concatenate(found)), as_long(np.concatenate(sets)), pa.array(np.concatenate(owner)), pa.array(np.concatenate(sizes))], names=["sig", "set", "key", "n"])
 
-    return texts.mapInArrow(work, "sig long, set long, key long").groupBy("sig", "set").agg(F.min("key").alias("key")).select("sig", "key")
+    # dealt by signature, so that sets and then lists are found where they are
+    rows = texts.mapInArrow(work, "sig long, set long, key long, n int").repartition("sig")
+    return rows.groupBy("sig", "set", "n").agg(F.min("key").alias("key"))
+
+
+def lists_of(posted: DataFrame) -> DataFrame:
+    """sig, key, n, c, lead, low, high: of signatures that several sets have, with their number, their smallest key and the sizes of its sets."""
+    each = Window.partitionBy("sig")
+    first, last = F.min(F.struct("key", "n")).over(each), F.min(F.struct("key", F.negative("n").alias("n"))).over(each)
+    listed = posted.select("sig", "key", "n", F.count("*").over(each).alias("c"), first.alias("first"), last.alias("last")).filter("c > 1")
+    return listed.select("sig", "key", "n", "c", F.col("first.key").alias("lead"), F.col("first.n").alias("low"), F.negative("last.n").alias("high"))
+
+
+def sized(a: str, b: str, percent: int) -> Column:
+    """If sets of these sizes can link."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
 def token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -178,23 +230,38 @@ def token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def possible(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that sizes and parities allow to link: sets can't differ in fewer shingles than in parities."""
+    """The pairs (a, b), with their sizes na and nb, that sizes and parities allow to link: sets can't differ in fewer shingles than in parities."""
     side = lambda k: prints.select(F.col("key").alias(k), F.col("n_shingles").alias(f"n{k}"), F.col("bits").alias(f"bits_{k}"))
     both = pairs.join(side("a"), "a").filter("na > 0").join(side("b"), "b")
     differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    sized = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return both.filter(sized & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))).select("a", "b").distinct()
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link."""
-    pairs = stored(pairs)
-    sets = stored(token_sets(texts, pairs.select(F.col("a").alias("key")).union(pairs.select("b")), size))
-    right = pairs.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("tb")), "b")
-    both = right.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("ta")), "a")
-    common = F.size(F.array_intersect("ta", "tb"))
-    counted = both.select("a", "b", common.alias("i"), (F.size("ta") + F.size("tb")).alias("s"))
-    return counted.filter(F.col("i") * 100 >= (F.col("s") - F.col("i")) * percent).select("a", "b")
+    return both.filter(sized("na", "nb", percent) & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))).select("a", "b", "na", "nb").distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, n_shingles: int) -> DataFrame:
+    """The pairs (a, b, na, nb) that link; n_shingles: of the whole corpus."""
+    spark = texts.sparkSession
+    held: list[str] = []
+    with noting(held):
+        pairs = stored(pairs, tidy=True)
+    turns = max(1, math.ceil(TURN * (pairs.agg(F.sum(F.col("na") + F.col("nb"))).first()[0] or 0) / max(1, n_shingles)))
+    out = [_compared(pairs.filter(F.pmod(F.xxhash64("b", "a"), F.lit(turns)) == turn).select("a", "b").distinct(), texts, size, percent) for turn in range(turns)]
+    linked = functools.reduce(DataFrame.union, out)
+    removed(spark, held, linked)
+    return linked
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    held: list[str] = []
+    with noting(held):
+        pairs = stored(pairs, tidy=True)
+        sets = stored(token_sets(texts, pairs.select(F.col("a").alias("key")).union(pairs.select("b")), size), tidy=True)
+        right = pairs.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("tb")), "b")
+        both = right.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("ta")), "a")
+        common = F.size(F.array_intersect("ta", "tb"))
+        counted = both.select("a", "b", common.alias("i"), (F.size("ta") + F.size("tb")).alias("s"))
+        linked = stored(counted.filter(F.col("i") * 100 >= (F.col("s") - F.col("i")) * percent).select("a", "b"), tidy=True)
+    removed(texts.sparkSession, held, linked)
+    return linked
 
 
 def _blocks(entries: DataFrame, groups: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -204,7 +271,7 @@ def _blocks(entries: DataFrame, groups: DataFrame, labels: DataFrame, texts: Dat
     named = g.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "g", F.coalesce("component", "key").alias("c"))
     sized = named.groupBy("g", "c").agg(F.count("*").alias("m"))
     largest = sized.groupBy("g").agg(F.max(F.struct("m", F.negative("c").alias("c"))).alias("x"), F.sum("m").alias("total")).select("g", F.negative(F.col("x.c")).alias("main"), "total", (F.col("total") - F.col("x.m")).alias("rest")).filter("rest > 0")
-    chosen = stored(named.join(largest, "g"))
+    chosen = stored(named.join(largest, "g"), tidy=True)
     placed = chosen.join(token_sets(texts, chosen, size), "key")
     h = F.abs(F.xxhash64("key") % (1 << 40))
     n_rest, n_all = F.ceil(F.col("rest") / _BLOCK).cast("long"), F.ceil(F.col("total") / _MEMBERS).cast("int")
@@ -247,34 +314,39 @@ def join_by_shingles(documents: DataFrame, key: str = "doc_id", text: str = "tex
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
-    prints = stored(fingerprints(documents, key, text, size))
+    spark = documents.sparkSession
+    prints = stored(fingerprints(documents, key, text, size), tidy=True)
     real = prints.filter("key IS NOT NULL AND n_shingles > 0")
     groups = real.groupBy("n_shingles", "f1", "f2").agg(F.min("key").alias("rep"), F.count("*").alias("copies")).filter("copies > 1")
-    same = stored(real.select("key", "n_shingles", "f1", "f2").join(groups, ["n_shingles", "f1", "f2"], "left").select("key", F.coalesce("rep", "key").alias("rep")))
+    same = stored(real.select("key", "n_shingles", "f1", "f2").join(groups, ["n_shingles", "f1", "f2"], "left").select("key", F.coalesce("rep", "key").alias("rep")), tidy=True)
     texts = documents.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
 
-    table = frequencies(texts.select("text"), size)
-    listed = stored(postings(texts, table, size, percent))
-    lists = listed.groupBy("sig").agg(F.count("*").alias("c"), F.min("key").alias("lead")).filter("c > 1")
-    entries = stored(listed.join(lists, "sig").select("sig", "key", "c", "lead"))
-
-    stars = entries.filter("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
-    links = stored(_verified(possible(stars, real, percent), texts, size, percent))
-    labels = components(links)
-
-    named = entries.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
-    named = stored(named)
-    mixed = named.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("sig")
-    open_ = stored(named.join(mixed, "sig"))
-    short = open_.filter(F.col("c") <= SHORT)
-    other = short.select("sig", F.col("key").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = short.join(other, "sig").filter((F.col("key") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & (F.col("key") != F.col("lead")))
-    more = _verified(possible(pairs.select(F.col("key").alias("a"), "b").distinct(), real, percent), texts, size, percent)
-    long_ = open_.filter(F.col("c") > SHORT)
-    regions = components(long_.select(F.col("lead").alias("a"), F.col("key").alias("b")))
-    far = _blocks(long_, regions, labels, texts, size, percent)
-    rest = stored(more.union(far))
-    final = components(links.union(rest))
+    total = real.agg(F.sum("n_shingles")).first()[0] or 0
+    table = frequencies(texts.select("text"), size, table_bits(total))
+    passing: list[str] = []
+    with noting(passing):
+        entries = stored(lists_of(postings(texts, table, total / len(table), size, percent)), tidy=True)
+        can = (F.col("n") * 100 >= F.col("low") * percent) & (F.col("high") * 100 >= F.col("n") * percent)
+        stars = entries.filter((F.col("key") != F.col("lead")) & can).select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
+        links = stored(_verified(possible(stars, real, percent), texts, size, percent, total), tidy=True)
+        labels = components(links)
+
+        named = entries.drop("low", "high").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
+        named = stored(named, tidy=True)
+        mixed = named.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("sig")
+        open_ = stored(named.join(mixed, "sig"), tidy=True)
+    removed(spark, passing, links.union(labels.toDF("a", "b")).union(open_.select("sig", "key")))
+    with noting(passing):
+        short = open_.filter(F.col("c") <= SHORT)
+        other = short.select("sig", F.col("key").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("nb"))
+        pairs = short.join(other, "sig").filter((F.col("key") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & (F.col("key") != F.col("lead")) & sized("n", "nb", percent))
+        more = _verified(possible(pairs.select(F.col("key").alias("a"), "b").distinct(), real, percent), texts, size, percent, total)
+        long_ = open_.filter(F.col("c") > SHORT)
+        regions = components(long_.select(F.col("lead").alias("a"), F.col("key").alias("b")))
+        far = _blocks(long_, regions, labels, texts, size, percent)
+        rest = stored(more.union(far), tidy=True)
+        final = components(links.union(rest))
+    removed(spark, passing, links.union(rest).union(final.toDF("a", "b")))
 
     same_key = same.groupBy("key").agg(F.min("rep").alias("rep"))
     extra = same.join(same_key.withColumnRenamed("rep", "low"), "key").filter("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
