@@ -836,6 +836,31 @@ def test_the_mix_does_not_follow_the_partitioning(spark, docs):
     assert len(tasks) > 1 and max(r["count"] for r in tasks) < 0.8 * slots.count()
 
 
+def test_pairs_of_documents_meet_in_turns(spark, docs, monkeypatch):
+    """Lists of units go along with pairs in turns that hold few of them, the shorter list to the longer one; passages stay the same."""
+    rng = random.Random(31)
+    line = words(rng, 40, 9_000)
+    rows = [(i, " ".join([words(rng, rng.randrange(5, 300), 9_000), line, words(rng, 10, 9_000), *([line] if i % 3 == 0 else [])])) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    columns = ("doc_id", "n_passages", "n_repeated", "component_id")
+    plain = [found(chain_dedup.passage_classes(d), *columns) for d in (df, docs)]
+    assert [r[0] for r in plain[0] if r[2] >= 40] == sorted(range(1, 30), key=lambda i: repr((i,))) and {r[3] for r in plain[0]} == {0}
+    monkeypatch.setattr(chain_dedup, "PAIR_UNITS", 0.2)
+    monkeypatch.setattr(chain_dedup, "MATCHED", 16)
+    sizes: list[int] = []
+    whole = chain_dedup.stored
+
+    def noted(frame, tidy=False):
+        out = whole(frame, tidy)
+        if out.columns == ["key", "other", "x0", "x1", "y0", "y1"]:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(chain_dedup, "stored", noted)
+    assert [found(chain_dedup.passage_classes(d), *columns) for d in (df, docs)] == plain
+    assert sum(n > 0 for n in sizes) > 4
+
+
 def test_stored_tables_of_earlier_stages_go(spark):
     from voltline.llm import store
 
